@@ -178,3 +178,96 @@ evaluation AS (
 def metric_stack() -> str:
     """All metric CTEs over the scores table."""
     return with_base(HIST, ECE, RANK, SWEEP, BEST, EVAL)
+
+
+# ── profiling (B) ─────────────────────────────────────────────────────────────────────────────────
+
+PROFILE_NUMERIC = [("target", "int"), ("total_price", "double"), ("acct_bal", "double"), ("n_lines", "bigint"),
+                   ("qty", "double"), ("disc", "double"), ("gross", "double"), ("net", "double"),
+                   ("previous", "int"), ("days_since", "int"), ("score", "double")]
+PROFILE_STRING = [("status", "string"), ("segment", "string"), ("region", "string"), ("priority", "string")]
+
+
+def pct(part: str, whole: str, d: int = 2) -> str:
+    return r4(f"CAST({part} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({whole} AS DOUBLE)", d)
+
+
+def profile_numeric_sql(table: str = "campaign") -> str:
+    parts = []
+    for c, dt in PROFILE_NUMERIC:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS feature, '{dt}' AS dtype, count(*) AS n_rows, count(DISTINCT {x}) AS n_unique,
+  count(*) - count({x}) AS n_missing, {pct(f'count(*) - count({x})', 'count(*)')} AS pct_missing,
+  CAST(sum(CASE WHEN {x} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_zeros, {r4(f'avg({x})', 6)} AS mean,
+  {r4(f'stddev_samp({x})', 6)} AS std, min({x}) AS min, {r4(f'quantile_cont({x}, 0.25)', 6)} AS q25,
+  {r4(f'quantile_cont({x}, 0.5)', 6)} AS median, {r4(f'quantile_cont({x}, 0.75)', 6)} AS q75, max({x}) AS max,
+  {r4(f'skewness({x})', 6)} AS skew FROM {table}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _mode_cte(c: str, table: str) -> str:
+    return (f"(SELECT {c} AS v, count(*) AS k FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY k DESC, v ASC LIMIT 1)")
+
+
+def profile_categorical_sql(table: str = "campaign") -> str:
+    parts = []
+    for c, dt in PROFILE_STRING:
+        parts.append(f"""SELECT '{c}' AS feature, '{dt}' AS dtype, (SELECT count(*) FROM {table}) AS n_rows,
+  (SELECT count(DISTINCT {c}) FROM {table}) AS n_unique,
+  (SELECT count(*) - count({c}) FROM {table}) AS n_missing,
+  (SELECT {pct(f'count(*) - count({c})', 'count(*)')} FROM {table}) AS pct_missing,
+  CAST(0 AS BIGINT) AS n_zeros, m.v AS top_value, CAST(m.k AS BIGINT) AS top_count,
+  (SELECT {pct('m.k', 'count(*)')} FROM {table}) AS top_pct
+  FROM {_mode_cte(c, table)} m""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def describe_sql(table: str = "campaign") -> str:
+    num = f"""SELECT feature, n_rows - n_missing AS count, CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top,
+  CAST(NULL AS BIGINT) AS freq, mean, std, min, q25 AS p25, median AS p50, q75 AS p75, max FROM ({profile_numeric_sql(table)})"""
+    cat = f"""SELECT feature, n_rows - n_missing AS count, n_unique AS "unique", top_value AS top, top_count AS freq,
+  CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS p25,
+  CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, CAST(NULL AS DOUBLE) AS max FROM ({profile_categorical_sql(table)})"""
+    return num + "\nUNION ALL\n" + cat
+
+
+def missing_sql(cols: list[str], table: str = "campaign") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, count(*) - count({c}) AS n_missing, {pct(f'count(*) - count({c})', 'count(*)')} AS pct_missing FROM {table}"
+        for c in cols)
+
+
+def value_counts_sql(table: str = "campaign") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, {c} AS value, count(*) AS count, {pct('count(*)', f'(SELECT count(*) FROM {table})')} AS pct "
+        f"FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}" for c, _ in PROFILE_STRING)
+
+
+def histogram_sql(bins: int = 40, table: str = "campaign") -> str:
+    parts = []
+    for c, _ in PROFILE_NUMERIC:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS feature, g.bin, {r4(f'(r.lo + (r.hi - r.lo) * CAST(g.bin AS DOUBLE) / CAST({bins} AS DOUBLE))', 6)} AS bin_lo,
+  {r4(f'(r.lo + (r.hi - r.lo) * CAST(g.bin + 1 AS DOUBLE) / CAST({bins} AS DOUBLE))', 6)} AS bin_hi,
+  CAST(coalesce(cnt.n, 0) AS BIGINT) AS count
+  FROM (SELECT min({x}) AS lo, max({x}) AS hi FROM {table}) r
+  CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(0, {bins})) g
+  LEFT JOIN (
+    SELECT CAST(CASE WHEN r2.hi = r2.lo THEN 0 ELSE least(floor(({x} - r2.lo) * CAST({bins} AS DOUBLE) / (r2.hi - r2.lo)), {bins - 1}) END AS INTEGER) AS bin,
+           count(*) AS n
+    FROM {table}, (SELECT min({x}) AS lo, max({x}) AS hi FROM {table}) r2 WHERE {x} IS NOT NULL GROUP BY 1) cnt ON cnt.bin = g.bin
+  WHERE r.lo IS NOT NULL""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def corr_sql(table: str = "campaign") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, {r4(f'corr(CAST({c} AS DOUBLE), CAST(target AS DOUBLE))', 6)} AS corr FROM {table}"
+        for c, _ in PROFILE_NUMERIC if c != "target")
+
+
+def target_rate_sql(table: str = "campaign") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, {c} AS value, {r4('avg(target)')} AS target_rate, count(*) AS count "
+        f"FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}" for c, _ in PROFILE_STRING)

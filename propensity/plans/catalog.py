@@ -158,3 +158,73 @@ def _evaluation(spark, sf):
 @query("evaluate_all", Q.metric_stack() + " SELECT * FROM evaluation")
 def q_evaluate_all(spark, sf):
     return _evaluation(spark, sf)
+
+
+# ── profiling (B) ──────────────────────────────────────────────────────────────────────────────────
+
+from propensity.operators import profile as pf  # noqa: E402
+
+
+def _profile_frame(spark, sf):
+    return cf.campaign_frame(spark, sf).drop("id")
+
+
+def _wrap(sql: str) -> str:
+    return Q.with_base() + " SELECT * FROM (" + sql + ")"
+
+
+@query("profile_numeric", _wrap(Q.profile_numeric_sql()))
+def q_profile_numeric(spark, sf):
+    return pf.profile_numeric(_profile_frame(spark, sf))
+
+
+@query("profile_categorical", _wrap(Q.profile_categorical_sql()))
+def q_profile_categorical(spark, sf):
+    return pf.profile_categorical(_profile_frame(spark, sf))
+
+
+@query("describe", _wrap(Q.describe_sql()))
+def q_describe(spark, sf):
+    return pf.describe(_profile_frame(spark, sf))
+
+
+_MISSING_COLS = ["target", "status", "segment", "region", "priority", "total_price", "acct_bal", "n_lines", "qty",
+                 "disc", "gross", "net", "previous", "days_since", "score"]
+
+
+@query("missing", _wrap(Q.missing_sql(_MISSING_COLS)))
+def q_missing(spark, sf):
+    return pf.missing(_profile_frame(spark, sf))
+
+
+@query("value_counts", _wrap(Q.value_counts_sql()))
+def q_value_counts(spark, sf):
+    return pf.value_counts(_profile_frame(spark, sf))
+
+
+@query("histogram40", _wrap(Q.histogram_sql()))
+def q_histogram40(spark, sf):
+    return pf.histograms(_profile_frame(spark, sf))
+
+
+@query("target_distribution", Q.with_base() + " SELECT target, count(*) AS count, "
+       + Q.r4("CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM campaign) AS DOUBLE)") + " AS share FROM campaign GROUP BY target")
+def q_target_distribution(spark, sf):
+    return pf.target_distribution(_profile_frame(spark, sf))
+
+
+@query("corr_with_target", _wrap(Q.corr_sql()))
+def q_corr_with_target(spark, sf):
+    return pf.corr_with_target(_profile_frame(spark, sf))
+
+
+@query("target_rate_by_category", _wrap(Q.target_rate_sql()))
+def q_target_rate_by_category(spark, sf):
+    return pf.target_rate_by_category(_profile_frame(spark, sf))
+
+
+@query("sentinel_share", Q.with_base() + " SELECT 'days_since' AS feature, CAST(999 AS DOUBLE) AS sentinel, "
+       "CAST(sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END) AS BIGINT) AS n_sentinel, "
+       + Q.pct("sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END)", "count(*)") + " AS pct_sentinel FROM campaign")
+def q_sentinel_share(spark, sf):
+    return pf.sentinel_share(_profile_frame(spark, sf), cf.SENTINEL_COL, cf.SENTINEL_VALUE)
