@@ -271,3 +271,54 @@ def target_rate_sql(table: str = "campaign") -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, {c} AS value, {r4('avg(target)')} AS target_rate, count(*) AS count "
         f"FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}" for c, _ in PROFILE_STRING)
+
+
+# ── evaluation tables (G) ─────────────────────────────────────────────────────────────────────────
+
+LABELLED = ["roc_auc", "gini", "ks_statistic", "pr_auc", "accuracy", "precision", "recall", "f1"]
+COUNTS = ["n_samples", "n_positive", "positive_rate"]
+
+
+def pick(split: str, col: str) -> str:
+    return f"max(CASE WHEN split = '{split}' THEN {col} END)"
+
+
+def eval_wide_sql() -> str:
+    cols = [f"{pick('val', 'threshold')} AS threshold"]
+    for s, ms in (("val", LABELLED + COUNTS), ("train", LABELLED + COUNTS), ("test", COUNTS)):
+        cols += [f"{pick(s, m)} AS {s}_{m}" for m in ms]
+    return metric_stack() + ", wide AS (SELECT model, " + ", ".join(cols) + " FROM evaluation GROUP BY model)"
+
+
+def run_metrics_sql() -> str:
+    pairs = [("auc", "roc_auc"), ("accuracy", "accuracy"), ("precision", "precision"), ("recall", "recall"),
+             ("ks", "ks_statistic"), ("gini", "gini"), ("brier", "brier_score"), ("ece", "ece")]
+    cols = [f"{pick(s, src)} AS {s}_{short}" for short, src in pairs for s in ("val", "train")]
+    return (metric_stack() + ", flat AS (SELECT model, " + ", ".join(cols) + " FROM evaluation GROUP BY model) "
+            "SELECT f.*, " + r4("b.threshold") + " AS threshold, " + r4("b.youden_index") + " AS youden_index, "
+            + r4("b.best_youden") + " AS best_youden, " + r4("(f.train_auc - f.val_auc)") + " AS overfit_gap_auc "
+            "FROM flat f JOIN best b ON b.model = f.model AND b.split = 'val'")
+
+
+def overfit_sql() -> str:
+    gap = r4("(train_roc_auc - val_roc_auc)")
+    return (eval_wide_sql() + " SELECT model, threshold, val_roc_auc, train_roc_auc, val_accuracy, train_accuracy, "
+            f"{gap} AS auc_gap, {gap} > 0.02 AS overfit FROM wide")
+
+
+def report_interleaved_sql() -> str:
+    cols = ["model", "threshold"] + [f"{s}_{m}" for m in LABELLED for s in ("val", "train")]
+    return eval_wide_sql() + " SELECT " + ", ".join(cols) + " FROM wide"
+
+
+def best_model_cte() -> str:
+    return """
+bestm AS (
+  SELECT model, threshold, roc_auc, accuracy FROM evaluation WHERE split = 'val'
+  ORDER BY roc_auc DESC NULLS LAST, model ASC LIMIT 1)"""
+
+
+def best_submission_sql() -> str:
+    return (metric_stack() + "," + best_model_cte() +
+            " SELECT s.id, CAST(s.proba >= b.threshold AS INTEGER) AS target FROM scores s JOIN bestm b USING (model) "
+            "WHERE s.split = 'test'")

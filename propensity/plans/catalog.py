@@ -228,3 +228,38 @@ def q_target_rate_by_category(spark, sf):
        + Q.pct("sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END)", "count(*)") + " AS pct_sentinel FROM campaign")
 def q_sentinel_share(spark, sf):
     return pf.sentinel_share(_profile_frame(spark, sf), cf.SENTINEL_COL, cf.SENTINEL_VALUE)
+
+
+# ── evaluation tables (G) ──────────────────────────────────────────────────────────────────────────
+
+@query("eval_wide", Q.eval_wide_sql() + " SELECT * FROM wide")
+def q_eval_wide(spark, sf):
+    return ev.long_to_wide(_evaluation(spark, sf))
+
+
+@query("run_metrics", Q.run_metrics_sql())
+def q_run_metrics(spark, sf):
+    scores = cf.scores_table(spark, sf)
+    thr = ev.chosen_thresholds(scores)
+    return ev.run_metrics(ev.evaluate_all(scores, thr), thr)
+
+
+@query("overfit_flag", Q.overfit_sql())
+def q_overfit_flag(spark, sf):
+    return ev.overfit_summary(_evaluation(spark, sf))
+
+
+@query("report_interleaved", Q.report_interleaved_sql())
+def q_report_interleaved(spark, sf):
+    return ev.report_interleaved(_evaluation(spark, sf))
+
+
+@query("best_model", Q.metric_stack() + "," + Q.best_model_cte() + " SELECT * FROM bestm")
+def q_best_model(spark, sf):
+    return ev.best_model(_evaluation(spark, sf))
+
+
+@query("best_submission", Q.best_submission_sql())
+def q_best_submission(spark, sf):
+    scores = cf.scores_table(spark, sf)
+    return ev.best_submission(scores, ev.evaluate_all(scores))
