@@ -1,6 +1,8 @@
 """Small column-expression helpers shared by the operators (all JVM-side, no UDFs)."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ def rnd(c: Column | str, decimals: int = DECIMALS) -> Column:
     return (F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
+def py_rnd(x: float, decimals: int = DECIMALS) -> float:
+    """Driver-side twin of ``rnd`` for values already collected (same IEEE steps)."""
+    scale = float(10 ** decimals)
+    return math.copysign(math.floor(abs(x) * scale + 0.5) / scale, x) if x else 0.0
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """``num / den`` with 0 for a zero (or NULL) denominator, as the reference's zero_division=0."""
     return F.when(F.coalesce(den, F.lit(0)) == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))

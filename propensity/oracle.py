@@ -322,3 +322,57 @@ def best_submission_sql() -> str:
     return (metric_stack() + "," + best_model_cte() +
             " SELECT s.id, CAST(s.proba >= b.threshold AS INTEGER) AS target FROM scores s JOIN bestm b USING (model) "
             "WHERE s.split = 'test'")
+
+
+# ── feature engineering (C) ───────────────────────────────────────────────────────────────────────
+
+DUMMIES = [("segment", "BUILDING", "segment_BUILDING"), ("segment", "FURNITURE", "segment_FURNITURE"),
+           ("segment", "HOUSEHOLD", "segment_HOUSEHOLD"), ("segment", "MACHINERY", "segment_MACHINERY"),
+           ("region", "AMERICA", "region_AMERICA"), ("region", "ASIA", "region_ASIA"),
+           ("region", "EUROPE", "region_EUROPE"), ("region", "MIDDLE EAST", "region_MIDDLE_EAST")]
+BASE_NUMERIC = ["priority", "total_price", "acct_bal", "n_lines", "qty", "disc", "gross", "net", "previous",
+                "days_since", "had_prior_order"]
+NUMERIC_COLUMNS = BASE_NUMERIC + [d[2] for d in DUMMIES]
+
+ENG = """
+eng AS (
+  SELECT id, split, target, segment, region,
+    CASE priority WHEN '1-URGENT' THEN CAST(0 AS DOUBLE) WHEN '2-HIGH' THEN CAST(1 AS DOUBLE)
+                  WHEN '3-MEDIUM' THEN CAST(2 AS DOUBLE) WHEN '5-LOW' THEN CAST(3 AS DOUBLE) END AS priority,
+    total_price, acct_bal, n_lines, qty, disc, gross, net, previous,
+    CASE WHEN days_since <> 999 THEN days_since END AS days_since,
+    CAST(CASE WHEN days_since <> 999 THEN 1 ELSE 0 END AS INTEGER) AS had_prior_order
+  FROM frame),
+num AS (
+  SELECT id, split, target, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in BASE_NUMERIC) + ", " + ", ".join(
+    f"CAST({c} = '{lv}' AS DOUBLE) AS {name}" for c, lv, name in DUMMIES) + """ FROM eng),
+med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) FILTER (WHERE split = 'train') AS {c}" for c in NUMERIC_COLUMNS) + """ FROM num),
+imp AS (SELECT n.id, n.split, n.target, """ + ", ".join(f"coalesce(n.{c}, m.{c}) AS {c}" for c in NUMERIC_COLUMNS) + """ FROM num n, med m),
+sc AS (SELECT """ + ", ".join(
+    f"avg({c}) FILTER (WHERE split = 'train') AS {c}__m, stddev_pop({c}) FILTER (WHERE split = 'train') AS {c}__s"
+    for c in NUMERIC_COLUMNS) + """ FROM imp),
+scaled AS (SELECT i.id, i.split, i.target, """ + ", ".join(
+    f"(i.{c} - s.{c}__m) / (CASE WHEN coalesce(s.{c}__s, 0) = 0 THEN 1.0 ELSE s.{c}__s END) AS {c}"
+    for c in NUMERIC_COLUMNS) + """ FROM imp i, sc s)"""
+
+
+def features_sql(select: str) -> str:
+    return with_base(ENG) + " " + select
+
+
+def round_cols(cols: list[str], d: int = 6, prefix: str = "") -> str:
+    return ", ".join(f"{r4(prefix + c, d)} AS {c}" for c in cols)
+
+
+def preprocess_report_sql() -> str:
+    parts = ["SELECT 'days_since' AS feature, 'sentinel_to_null' AS transformation, 'n_sentinel_replaced' AS stat, "
+             "CAST(sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM frame WHERE split = 'train'",
+             "SELECT 'priority', 'ordinal_encode', 'n_unknown_to_null', CAST(sum(CASE WHEN priority IS NOT NULL AND priority "
+             "NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') THEN 1 ELSE 0 END) AS DOUBLE) FROM frame WHERE split = 'train'",
+             "SELECT 'segment', 'one_hot_drop_first', 'n_levels', CAST(count(DISTINCT segment) AS DOUBLE) FROM frame WHERE split = 'train'",
+             "SELECT 'region', 'one_hot_drop_first', 'n_levels', CAST(count(DISTINCT region) AS DOUBLE) FROM frame WHERE split = 'train'"]
+    for c in NUMERIC_COLUMNS:
+        parts.append(f"SELECT '{c}', 'median_impute', 'median', {r4(c, 6)} FROM med")
+        parts.append(f"SELECT '{c}', 'standard_scale', 'mean', {r4(c + '__m', 6)} FROM sc")
+        parts.append(f"SELECT '{c}', 'standard_scale', 'std', {r4(f'(CASE WHEN coalesce({c}__s, 0) = 0 THEN 1.0 ELSE {c}__s END)', 6)} FROM sc")
+    return features_sql("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ")")

@@ -263,3 +263,98 @@ def q_best_model(spark, sf):
 def q_best_submission(spark, sf):
     scores = cf.scores_table(spark, sf)
     return ev.best_submission(scores, ev.evaluate_all(scores))
+
+
+# ── feature engineering (C) ────────────────────────────────────────────────────────────────────────
+
+from propensity.operators import features as fe  # noqa: E402
+
+
+def _split_frame(spark, sf):
+    return cf.labelled_and_test(spark, sf)
+
+
+def _fitted(spark, sf):
+    frame = _split_frame(spark, sf)
+    return frame, fe.fit_preprocessor(frame.filter(F.col("split") == "train"))
+
+
+@query("sentinel_flag", Q.features_sql("SELECT id, days_since, had_prior_order FROM eng"))
+def q_sentinel_flag(spark, sf):
+    return fe.engineer(_split_frame(spark, sf)).select("id", "days_since", "had_prior_order")
+
+
+@query("ordinal_encode", Q.features_sql("SELECT id, priority FROM eng"))
+def q_ordinal_encode(spark, sf):
+    return fe.engineer(_split_frame(spark, sf)).select("id", "priority")
+
+
+@query("one_hot", Q.features_sql("SELECT id, " + ", ".join(d[2] for d in Q.DUMMIES) + " FROM num"))
+def q_one_hot(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    dummies = fe.one_hot_exprs(pre.levels)
+    return frame.select("id", *[e.alias(n) for n, e in dummies.items()])
+
+
+@query("median_impute", Q.features_sql("SELECT id, split, " + Q.round_cols(Q.NUMERIC_COLUMNS) + " FROM imp"))
+def q_median_impute(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    num = pre.numeric(frame, keep=["id", "split"])
+    return num.select("id", "split", *[rnd(c, 6).alias(c) for c in pre.numeric_columns])
+
+
+@query("standard_scale", Q.features_sql("SELECT id, split, " + Q.round_cols(Q.NUMERIC_COLUMNS) + " FROM scaled"))
+def q_standard_scale(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    sc = pre.scaled(frame, keep=["id", "split"])
+    return sc.select("id", "split", *[rnd(c, 6).alias(c) for c in pre.numeric_columns])
+
+
+@query("scale_check", Q.features_sql(
+    "SELECT " + Q.r4("greatest(" + ", ".join(f"abs(avg({c}))" for c in Q.NUMERIC_COLUMNS) + ")", 6) + " AS max_abs_mean, "
+    + Q.r4("greatest(" + ", ".join(f"abs(stddev_pop({c}) - 1.0)" for c in Q.NUMERIC_COLUMNS) + ")", 6)
+    + " AS max_abs_std_dev FROM scaled WHERE split = 'train'"))
+def q_scale_check(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    return fe.scale_check(pre.scaled(frame.filter(F.col("split") == "train")), pre.numeric_columns)
+
+
+@query("align_columns", Q.features_sql(
+    "SELECT id, " + ", ".join(Q.NUMERIC_COLUMNS) + " FROM num WHERE split = 'test'"))
+def q_align_columns(spark, sf):
+    """Test rows one-hot encoded with their own levels (as the reference does per file), then aligned to
+    the training column list."""
+    frame, pre = _fitted(spark, sf)
+    test = fe.engineer(frame.filter(F.col("split") == "test"))
+    own = fe.fit_levels(test, list(pre.levels))
+    test_num = test.select("id", *[F.col(c).cast("double").alias(c) for c in Q.BASE_NUMERIC],
+                           *[e.alias(n) for n, e in fe.one_hot_exprs(own).items()])
+    return fe.align_columns(test_num, pre.numeric_columns, keep=["id"])
+
+
+@query("stratified_kfold", Q.with_base() + """
+  SELECT id, target, CAST((row_number() OVER (PARTITION BY target ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) - 1) % 5
+         AS INTEGER) AS fold FROM frame WHERE split <> 'test'""")
+def q_stratified_kfold(spark, sf):
+    labelled = _split_frame(spark, sf).filter(F.col("split") != "test")
+    return fe.stratified_kfold(labelled, 5).select("id", "target", "fold")
+
+
+SUBSAMPLE_N = 2000
+
+
+@query("stratified_subsample", Q.with_base() + f"""
+, tr AS (SELECT id, target FROM frame WHERE split = 'train'),
+st AS (SELECT count(*) AS n, sum(target) AS p FROM tr),
+k AS (SELECT greatest(1, CAST(floor({SUBSAMPLE_N} * (CAST(p AS DOUBLE) / CAST(n AS DOUBLE))) AS BIGINT)) AS n_pos FROM st),
+rk AS (SELECT id, target, row_number() OVER (PARTITION BY target ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) AS r FROM tr)
+SELECT id, target FROM rk, k WHERE (target = 1 AND r <= k.n_pos) OR (target = 0 AND r <= {SUBSAMPLE_N} - k.n_pos)""")
+def q_stratified_subsample(spark, sf):
+    train = _split_frame(spark, sf).filter(F.col("split") == "train")
+    return fe.stratified_subsample(train, SUBSAMPLE_N).select("id", "target")
+
+
+@query("preprocess_report", Q.preprocess_report_sql())
+def q_preprocess_report(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    return fe.preprocess_report(pre, frame.filter(F.col("split") == "train"))
