@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions.order import cumulative_within
 
-EDGE_COUNT = 1024  # approximate-quantile edges per column (buckets of ~1/1024 of the rows each)
+EDGE_COUNT = 256  # approximate-quantile edges per column (buckets of ~1/256 of the rows each)
 
 
 def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:

@@ -376,3 +376,65 @@ def preprocess_report_sql() -> str:
         parts.append(f"SELECT '{c}', 'standard_scale', 'mean', {r4(c + '__m', 6)} FROM sc")
         parts.append(f"SELECT '{c}', 'standard_scale', 'std', {r4(f'(CASE WHEN coalesce({c}__s, 0) = 0 THEN 1.0 ELSE {c}__s END)', 6)} FROM sc")
     return features_sql("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ")")
+
+
+# ── feature selection (D) ─────────────────────────────────────────────────────────────────────────
+
+POSITIONS = "positions AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', {i})" for i, c in enumerate(NUMERIC_COLUMNS)) + ") t(feature, position))"
+
+SEL = """
+trn AS (SELECT * FROM imp WHERE split = 'train'),
+""" + POSITIONS + """,
+rk AS (SELECT id, """ + ", ".join(
+    f"CAST(rank() OVER (ORDER BY {c}) AS DOUBLE) + (CAST(count(*) OVER (PARTITION BY {c}) AS DOUBLE) - 1) / 2.0 AS {c}"
+    for c in NUMERIC_COLUMNS) + """ FROM trn),
+ml AS (SELECT feature, value, target FROM (SELECT target, """ + ", ".join(NUMERIC_COLUMNS) + """ FROM trn)
+       UNPIVOT (value FOR feature IN (""" + ", ".join(NUMERIC_COLUMNS) + """))),
+vc AS (SELECT feature, value, count(*) AS cnt FROM ml GROUP BY feature, value),
+vr AS (SELECT *, sum(cnt) OVER (PARTITION BY feature ORDER BY value) - cnt AS below,
+              count(*) OVER (PARTITION BY feature) AS nd, sum(cnt) OVER (PARTITION BY feature) AS n FROM vc),
+vb AS (SELECT feature, value, CASE WHEN nd <= 32 THEN value ELSE CAST(floor(below * 32 / n) AS DOUBLE) END AS bin FROM vr),
+cell AS (SELECT m.feature, b.bin, m.target, count(*) AS n_by FROM ml m JOIN vb b USING (feature, value) GROUP BY ALL),
+cell2 AS (SELECT *, sum(n_by) OVER (PARTITION BY feature, bin) AS n_b, sum(n_by) OVER (PARTITION BY feature, target) AS n_y,
+                 sum(n_by) OVER (PARTITION BY feature) AS n FROM cell),
+mi AS (SELECT p.feature, p.position, greatest(coalesce(x.mi, 0.0), 0.0) AS mi FROM positions p LEFT JOIN (
+         SELECT feature, sum(CAST(n_by AS DOUBLE) / CAST(n AS DOUBLE) * ln(CAST(n_by AS DOUBLE) * CAST(n AS DOUBLE)
+                / (CAST(n_b AS DOUBLE) * CAST(n_y AS DOUBLE)))) AS mi FROM cell2 GROUP BY feature) x USING (feature)),
+mi6 AS (SELECT feature, position, """ + r4("mi", 6) + """ AS mi6 FROM mi),
+sp AS (""" + "\nUNION ALL ".join(
+    f"SELECT '{NUMERIC_COLUMNS[i]}' AS a, '{NUMERIC_COLUMNS[j]}' AS b, {i} AS pos_a, {j} AS pos_b, "
+    f"corr({NUMERIC_COLUMNS[i]}, {NUMERIC_COLUMNS[j]}) AS corr FROM rk"
+    for j in range(len(NUMERIC_COLUMNS)) for i in range(j)) + """),
+cand AS (SELECT row_number() OVER (ORDER BY s.pos_b, s.pos_a) AS step, s.a, s.b, ma.mi6 AS mi_a, mb.mi6 AS mi_b
+         FROM sp s JOIN mi6 ma ON ma.feature = s.a JOIN mi6 mb ON mb.feature = s.b WHERE abs(s.corr) > 0.9),
+walk(step, dropped) AS (
+  SELECT 0, CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT w.step + 1, CASE WHEN list_contains(w.dropped, c.a) OR list_contains(w.dropped, c.b) THEN w.dropped
+                          WHEN c.mi_b >= c.mi_a THEN list_append(w.dropped, c.a) ELSE list_append(w.dropped, c.b) END
+  FROM walk w JOIN cand c ON c.step = w.step + 1),
+s2 AS (SELECT p.feature, p.position, NOT list_contains((SELECT dropped FROM walk ORDER BY step DESC LIMIT 1), p.feature) AS kept
+       FROM positions p),
+s3 AS (SELECT m.feature FROM mi6 m JOIN s2 USING (feature) WHERE s2.kept ORDER BY m.mi6 DESC, m.position ASC LIMIT 12),
+both_pairs AS (SELECT a AS feature, b AS partner, pos_b AS ppos, abs(corr) AS c FROM sp
+               UNION ALL SELECT b, a, pos_a, abs(corr) FROM sp),
+bestp AS (SELECT feature, partner, c FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY c DESC, ppos ASC) AS r
+          FROM both_pairs) WHERE r = 1)"""
+
+
+def selection_sql(select: str) -> str:
+    return with_base(ENG, SEL).replace("WITH", "WITH RECURSIVE", 1) + " " + select
+
+
+def selection_report_sql() -> str:
+    return selection_sql("""
+SELECT p.feature, CAST(0.0 AS DOUBLE) AS missing_pct, """ + r4("m.mi") + """ AS mi_score,
+  coalesce(""" + r4("b.c") + """, 0.0) AS max_corr_with_other, coalesce(b.partner, '') AS max_corr_partner,
+  TRUE AS stage1_missing, s2.kept AS stage2_correlation, s3.feature IS NOT NULL AS stage3_mi,
+  s3.feature IS NOT NULL AS stage4_pfi,
+  CASE WHEN NOT s2.kept THEN 'stage2_correlation' WHEN s3.feature IS NULL THEN 'stage3_mi' ELSE 'selected' END AS dropped_at,
+  CASE WHEN NOT s2.kept THEN 'spearman corr with ' || b.partner WHEN s3.feature IS NULL THEN 'mi below top-k' ELSE '' END AS drop_reason,
+  s3.feature IS NOT NULL AS selected
+FROM positions p JOIN mi m USING (feature) JOIN s2 USING (feature) LEFT JOIN bestp b USING (feature)
+LEFT JOIN s3 USING (feature)""")

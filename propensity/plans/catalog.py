@@ -358,3 +358,71 @@ def q_stratified_subsample(spark, sf):
 def q_preprocess_report(spark, sf):
     frame, pre = _fitted(spark, sf)
     return fe.preprocess_report(pre, frame.filter(F.col("split") == "train"))
+
+
+# ── feature selection (D) ──────────────────────────────────────────────────────────────────────────
+
+from propensity.operators import select as sl  # noqa: E402
+
+MI_TOP_K_CAMPAIGN = 12  # the campaign frame has 19 model columns; keep 12 by MI
+
+
+def _train_numeric(spark, sf, impute=True):
+    frame, pre = _fitted(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    return pre.numeric(train, keep=["id", "target"], impute=impute), pre.numeric_columns
+
+
+@query("drop_high_missing", Q.features_sql(
+    "SELECT * FROM (" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, {Q.r4(f'CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 6)} AS missing_rate, "
+        f"CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) <= 0.5 AS kept FROM num WHERE split = 'train'"
+        for c in Q.NUMERIC_COLUMNS) + ")"))
+def q_drop_high_missing(spark, sf):
+    num, cols = _train_numeric(spark, sf, impute=False)
+    rates = sl.missing_rates(num, cols)
+    return rates.select("feature", rnd("missing_rate", 6).alias("missing_rate"),
+                        (F.col("missing_rate") <= sl.MISSING_THRESHOLD).alias("kept"))
+
+
+@query("spearman_matrix", Q.selection_sql("SELECT a, b, " + Q.r4("corr", 6) + " AS corr FROM sp"))
+def q_spearman_matrix(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    return sl.correlation_pairs(num, cols, "spearman").select("a", "b", rnd("corr", 6).alias("corr"))
+
+
+@query("pearson_matrix", Q.features_sql("SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{Q.NUMERIC_COLUMNS[i]}' AS a, '{Q.NUMERIC_COLUMNS[j]}' AS b, "
+    f"{Q.r4(f'corr({Q.NUMERIC_COLUMNS[i]}, {Q.NUMERIC_COLUMNS[j]})', 6)} AS corr FROM imp WHERE split = 'train'"
+    for j in range(len(Q.NUMERIC_COLUMNS)) for i in range(j)) + ")"))
+def q_pearson_matrix(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    return sl.correlation_pairs(num, cols, "pearson").select("a", "b", rnd("corr", 6).alias("corr"))
+
+
+@query("mutual_info", Q.selection_sql("SELECT feature, position, " + Q.r4("mi", 6) + " AS mi FROM mi"))
+def q_mutual_info(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    return sl.mutual_information(num, cols).select("feature", "position", rnd("mi", 6).alias("mi"))
+
+
+@query("top_k_mi", Q.selection_sql("SELECT feature, position, mi6 AS mi FROM mi6 ORDER BY mi6 DESC, position LIMIT 12"))
+def q_top_k_mi(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    mi = sl.mutual_information(num, cols).select("feature", "position", rnd("mi", 6).alias("mi"))
+    return sl.top_k_by_mi(mi, MI_TOP_K_CAMPAIGN)
+
+
+@query("drop_correlated", Q.selection_sql("SELECT feature, kept FROM s2"))
+def q_drop_correlated(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    _, survivors, _ = sl.select_features(num, cols, mi_top_k=MI_TOP_K_CAMPAIGN)
+    kept = set(survivors["stage2_correlation"])
+    return spark.createDataFrame([(c, c in kept) for c in cols], "feature string, kept boolean")
+
+
+@query("selection_report", Q.selection_report_sql())
+def q_selection_report(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    _, _, report = sl.select_features(num, cols, mi_top_k=MI_TOP_K_CAMPAIGN)
+    return report
