@@ -11,6 +11,7 @@ from propensity import oracle as Q
 from propensity.functions.exprs import rnd
 from propensity.operators import evaluate as ev
 from propensity.operators import metrics as mx
+from propensity.session import materialize
 from propensity.sources import campaign as cf
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -275,7 +276,8 @@ def _split_frame(spark, sf):
 
 
 def _fitted(spark, sf):
-    frame = _split_frame(spark, sf)
+    """Split frame checkpointed once (the fit reads it several times), plus the fitted state."""
+    frame = materialize(_split_frame(spark, sf))
     return frame, fe.fit_preprocessor(frame.filter(F.col("split") == "train"))
 
 
@@ -370,7 +372,7 @@ MI_TOP_K_CAMPAIGN = 12  # the campaign frame has 19 model columns; keep 12 by MI
 def _train_numeric(spark, sf, impute=True):
     frame, pre = _fitted(spark, sf)
     train = frame.filter(F.col("split") == "train")
-    return pre.numeric(train, keep=["id", "target"], impute=impute), pre.numeric_columns
+    return materialize(pre.numeric(train, keep=["id", "target"], impute=impute)), pre.numeric_columns
 
 
 @query("drop_high_missing", Q.features_sql(

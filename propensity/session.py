@@ -52,3 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint directory (for tables written to cut lineage)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint directory (survives executor
+    loss, unlike a local checkpoint) before a multi-pass fit reads the same rows several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
