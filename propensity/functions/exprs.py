@@ -35,6 +35,14 @@ def py_rnd(x: float, decimals: int = DECIMALS) -> float:
     return math.copysign(math.floor(abs(x) * scale + 0.5) / scale, x) if x else 0.0
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows where both are non-NULL; NULL (not an error, not NaN) when either
+    side is constant. ``covar_pop / (stddev_pop * stddev_pop)`` on the same pairs."""
+    xs = F.when(y.isNotNull(), x)
+    ys = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(xs) * F.stddev_pop(ys))
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """``num / den`` with 0 for a zero (or NULL) denominator, as the reference's zero_division=0."""
     return F.when(F.coalesce(den, F.lit(0)) == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))

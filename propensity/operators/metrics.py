@@ -59,8 +59,8 @@ def ranking_metrics(hist: DataFrame, group_cols: Sequence[str], decimals: int |
         F.max("n_pos").alias("n_pos"),
         F.max("n_neg").alias("n_neg"),
         F.sum(F.col("neg") * (F.col("ct") - F.col("pos") / 2.0)).alias("_auc_num"),
-        F.max(F.col("ct") / F.col("n_pos") - F.col("cf") / F.col("n_neg")).alias("_ks"),
-        F.sum(F.col("pos") / F.col("n_pos") * (F.col("ct") / (F.col("ct") + F.col("cf")))).alias("_ap"),
+        F.max(F.try_divide(F.col("ct"), F.col("n_pos")) - F.try_divide(F.col("cf"), F.col("n_neg"))).alias("_ks"),
+        F.sum(F.try_divide(F.col("pos"), F.col("n_pos")) * (F.col("ct") / (F.col("ct") + F.col("cf")))).alias("_ap"),
         F.sum(F.col("pos") * F.pow(F.col("proba") - 1.0, 2) + F.col("neg") * F.pow(F.col("proba"), 2)).alias("_sq"),
     )
     auc = F.when(both, F.col("_auc_num") / (F.col("n_pos") * F.col("n_neg")))
@@ -199,41 +199,44 @@ EVAL_COLUMNS = [
 ]
 
 
-def perf_rows(scores: DataFrame, thresholds: DataFrame, decimals: int = 4) -> DataFrame:
+def perf_rows(scores: DataFrame, thresholds: DataFrame, decimals: int = 4, keys: Sequence[str] = ("model",)) -> DataFrame:
     """Labelled splits (F13): ranking metrics plus decision metrics at each model's threshold.
-    ``n_positive`` counts predicted positives, as in the reference."""
-    g = ["model", "split"]
+    ``n_positive`` counts predicted positives, as in the reference. ``keys`` identify a model (and run)."""
+    k = list(keys)
+    g = [*k, "split"]
     hist = score_histogram(scores, g)
-    conf = confusion_at(hist, thresholds, g, ["model"])
+    conf = confusion_at(hist, thresholds, g, k)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     rates = _rates(tp, fp, fn, tn, decimals)
     dec = conf.select(*g, rnd("threshold", decimals).alias("threshold"),
-                      *[rates[k].alias(k) for k in ("accuracy", "precision", "recall", "f1", "positive_rate")],
+                      *[rates[m].alias(m) for m in ("accuracy", "precision", "recall", "f1", "positive_rate")],
                       (tp + fp + fn + tn).cast("long").alias("n_samples"), (tp + fp).cast("long").alias("n_positive"))
     rank = ranking_metrics(hist, g)
     out = dec.join(rank, g).select(
-        "model", "threshold", "split",
+        *k, "threshold", "split",
         rnd("roc_auc", decimals).alias("roc_auc"), rnd("gini", decimals).alias("gini"),
         rnd("ks_statistic", decimals).alias("ks_statistic"), rnd("pr_auc", decimals).alias("pr_auc"),
         rnd("brier_score", decimals).alias("brier_score"), rnd("ece", decimals).alias("ece"),
         "accuracy", "precision", "recall", "f1", "n_samples", "n_positive", "positive_rate",
     )
-    return out.select(*EVAL_COLUMNS)
+    return out.select(*[c for c in k if c != "model"], *EVAL_COLUMNS)
 
 
-def test_rows(scores: DataFrame, thresholds: DataFrame, split: str = "test", decimals: int = 4) -> DataFrame:
+def test_rows(scores: DataFrame, thresholds: DataFrame, split: str = "test", decimals: int = 4,
+              keys: Sequence[str] = ("model",)) -> DataFrame:
     """Unlabelled split (F14): counts only; every label-based metric is NULL."""
-    rows = scores.filter(F.col("split") == split).join(thresholds, "model")
-    agg = rows.groupBy("model", "threshold").agg(
+    k = list(keys)
+    rows = scores.filter(F.col("split") == split).join(thresholds, k)
+    agg = rows.groupBy(*k, "threshold").agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.sum(F.when(F.col("proba") >= F.col("threshold"), 1).otherwise(0)).cast("long").alias("n_positive"),
     )
     nulls = {c: F.lit(None).cast("double") for c in EVAL_COLUMNS[3:13]}
     return agg.select(
-        "model", rnd("threshold", decimals).alias("threshold"), F.lit(split).alias("split"),
-        *[v.alias(k) for k, v in nulls.items()],
+        *k, rnd("threshold", decimals).alias("threshold"), F.lit(split).alias("split"),
+        *[v.alias(c) for c, v in nulls.items()],
         "n_samples", "n_positive", rnd(safe_div(F.col("n_positive"), F.col("n_samples")), decimals).alias("positive_rate"),
-    ).select(*EVAL_COLUMNS)
+    ).select(*[c for c in k if c != "model"], *EVAL_COLUMNS)
 
 
 def decide(scores: DataFrame, thresholds: DataFrame, proba: str = "proba") -> DataFrame:

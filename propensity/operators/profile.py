@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from propensity.functions.exprs import rnd
+from propensity.functions.exprs import rnd, safe_corr
 from propensity.functions.quantiles import long_values, quantiles_from_counts, value_counts_with_buckets
 
 HIST_BINS = 40
@@ -198,7 +198,7 @@ def target_distribution(df: DataFrame, target: str = "target") -> DataFrame:
 def corr_with_target(df: DataFrame, target: str = "target", cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every numeric column with the target, in one aggregate."""
     num = [c for c in (cols if cols is not None else column_kinds(df)[0]) if c != target]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in num])
+    wide = df.agg(*[safe_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in num])
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in num])
     return wide.select(F.inline(items)).select("feature", rnd("corr", STAT_DECIMALS).alias("corr")).orderBy("corr")
 

@@ -15,6 +15,12 @@ def r4(expr: str, d: int = 4) -> str:
     return f"CAST(sign({expr}) * floor(abs({expr}) * {s} + 0.5) / {s} AS DOUBLE)"
 
 
+def scorr(x: str, y: str) -> str:
+    """Same as ``functions.exprs.safe_corr``: pairwise-complete, NULL for a constant side."""
+    return (f"(covar_pop({x}, {y}) / nullif(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) * "
+            f"stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END), 0))")
+
+
 def sdiv(num: str, den: str) -> str:
     return f"(CASE WHEN coalesce({den}, 0) = 0 THEN 0.0 ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END)"
 
@@ -263,7 +269,7 @@ def histogram_sql(bins: int = 40, table: str = "campaign") -> str:
 
 def corr_sql(table: str = "campaign") -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS feature, {r4(f'corr(CAST({c} AS DOUBLE), CAST(target AS DOUBLE))', 6)} AS corr FROM {table}"
+        f"SELECT '{c}' AS feature, {r4(scorr(f'CAST({c} AS DOUBLE)', 'CAST(target AS DOUBLE)'), 6)} AS corr FROM {table}"
         for c, _ in PROFILE_NUMERIC if c != "target")
 
 
@@ -404,7 +410,7 @@ mi AS (SELECT p.feature, p.position, greatest(coalesce(x.mi, 0.0), 0.0) AS mi FR
 mi6 AS (SELECT feature, position, """ + r4("mi", 6) + """ AS mi6 FROM mi),
 sp AS (""" + "\nUNION ALL ".join(
     f"SELECT '{NUMERIC_COLUMNS[i]}' AS a, '{NUMERIC_COLUMNS[j]}' AS b, {i} AS pos_a, {j} AS pos_b, "
-    f"corr({NUMERIC_COLUMNS[i]}, {NUMERIC_COLUMNS[j]}) AS corr FROM rk"
+    f"{scorr(NUMERIC_COLUMNS[i], NUMERIC_COLUMNS[j])} AS corr FROM rk"
     for j in range(len(NUMERIC_COLUMNS)) for i in range(j)) + """),
 cand AS (SELECT row_number() OVER (ORDER BY s.pos_b, s.pos_a) AS step, s.a, s.b, ma.mi6 AS mi_a, mb.mi6 AS mi_b
          FROM sp s JOIN mi6 ma ON ma.feature = s.a JOIN mi6 mb ON mb.feature = s.b WHERE abs(s.corr) > 0.9),
@@ -438,3 +444,127 @@ SELECT p.feature, CAST(0.0 AS DOUBLE) AS missing_pct, """ + r4("m.mi") + """ AS
   s3.feature IS NOT NULL AS selected
 FROM positions p JOIN mi m USING (feature) JOIN s2 USING (feature) LEFT JOIN bestp b USING (feature)
 LEFT JOIN s3 USING (feature)""")
+
+
+# ── runs (A4–A7, G5, G6, G10–G13) and chart tables (H) ───────────────────────────────────────────
+
+def runs_values(runs: list[tuple[str, str, str]]) -> str:
+    return "runs AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in runs) + \
+           ") t(run_id, model, threshold_split))"
+
+
+def run_stack(runs: list[tuple[str, str, str]]) -> str:
+    """Metric CTEs plus per-run thresholds and evaluation rows."""
+    return metric_stack() + "," + runs_values(runs) + """,
+rbest AS (SELECT r.run_id, b.model, b.threshold, b.youden_index, b.best_youden
+          FROM best b JOIN runs r ON r.model = b.model AND r.threshold_split = b.split),
+rconf AS (
+  SELECT t.run_id, h.model, h.split, t.threshold,
+         sum(CASE WHEN h.proba >= t.threshold THEN h.pos ELSE 0 END) AS tp,
+         sum(CASE WHEN h.proba >= t.threshold THEN h.neg ELSE 0 END) AS fp,
+         sum(CASE WHEN h.proba < t.threshold THEN h.pos ELSE 0 END) AS fn,
+         sum(CASE WHEN h.proba < t.threshold THEN h.neg ELSE 0 END) AS tn
+  FROM hist h JOIN rbest t USING (model) GROUP BY ALL),
+rperf AS (
+  SELECT c.run_id, c.model, """ + r4("c.threshold") + """ AS threshold, c.split,
+    """ + r4("m.roc_auc") + """ AS roc_auc, """ + r4("(m.roc_auc * 2.0 - 1.0)") + """ AS gini,
+    """ + r4("m.ks_statistic") + """ AS ks_statistic, """ + r4("m.pr_auc") + """ AS pr_auc,
+    """ + r4("m.brier_score") + """ AS brier_score, """ + r4("e.ece") + """ AS ece,
+    """ + ", ".join(f"{_conf_rates[k]} AS {k}" for k in ("accuracy", "precision", "recall", "f1")) + """,
+    CAST(tp + fp + fn + tn AS BIGINT) AS n_samples, CAST(tp + fp AS BIGINT) AS n_positive,
+    """ + _conf_rates["positive_rate"] + """ AS positive_rate
+  FROM rconf c JOIN rank_metrics m USING (model, split) JOIN ece e USING (model, split)),
+rtest AS (
+  SELECT t.run_id, s.model, """ + r4("t.threshold") + """ AS threshold, 'test' AS split,
+    CAST(NULL AS DOUBLE) AS roc_auc, CAST(NULL AS DOUBLE) AS gini, CAST(NULL AS DOUBLE) AS ks_statistic,
+    CAST(NULL AS DOUBLE) AS pr_auc, CAST(NULL AS DOUBLE) AS brier_score, CAST(NULL AS DOUBLE) AS ece,
+    CAST(NULL AS DOUBLE) AS accuracy, CAST(NULL AS DOUBLE) AS precision, CAST(NULL AS DOUBLE) AS recall,
+    CAST(NULL AS DOUBLE) AS f1, CAST(count(*) AS BIGINT) AS n_samples,
+    CAST(sum(CASE WHEN s.proba >= t.threshold THEN 1 ELSE 0 END) AS BIGINT) AS n_positive,
+    """ + r4(sdiv("sum(CASE WHEN s.proba >= t.threshold THEN 1 ELSE 0 END)", "count(*)")) + """ AS positive_rate
+  FROM scores s JOIN rbest t USING (model) WHERE s.split = 'test' GROUP BY t.run_id, s.model, t.threshold),
+reval AS (SELECT run_id, """ + EVAL_COLUMNS + """ FROM rperf UNION ALL SELECT run_id, """ + EVAL_COLUMNS + """ FROM rtest),
+rflat AS (SELECT run_id, """ + ", ".join(
+        f"{pick(s, src)} AS {s}_{short}" for short, src in
+        [("auc", "roc_auc"), ("accuracy", "accuracy"), ("precision", "precision"), ("recall", "recall"),
+         ("ks", "ks_statistic"), ("gini", "gini"), ("brier", "brier_score"), ("ece", "ece")]
+        for s in ("val", "train")) + """ FROM reval GROUP BY run_id),
+rmetrics AS (SELECT f.*, """ + r4("b.threshold") + " AS threshold, " + r4("b.youden_index") + " AS youden_index, " \
+        + r4("b.best_youden") + " AS best_youden, " + r4("(f.train_auc - f.val_auc)") + """ AS overfit_gap_auc
+  FROM rflat f JOIN rbest b USING (run_id))"""
+
+
+RUN_METRIC_KEYS = sorted([f"{s}_{m}" for m in ("auc", "accuracy", "precision", "recall", "ks", "gini", "brier", "ece")
+                          for s in ("val", "train")] + ["threshold", "youden_index", "best_youden", "overfit_gap_auc"])
+
+
+def runs_flat_sql(runs) -> str:
+    return run_stack(runs) + """
+SELECT m.run_id, r.model AS run_name, substr(m.run_id, 1, 15) AS ts, 'accuracy' AS param_secondary_metric,
+  r.threshold_split AS param_threshold_split, '0.02' AS param_tolerance, """ + ", ".join(f"m.{k}" for k in RUN_METRIC_KEYS) + """
+FROM rmetrics m JOIN runs r USING (run_id)"""
+
+
+def runs_comparison_sql(runs) -> str:
+    return run_stack(runs) + """
+SELECT m.run_id, r.model AS run_name, val_auc, train_auc, val_accuracy, train_accuracy, overfit_gap_auc, threshold
+FROM rmetrics m JOIN runs r USING (run_id)"""
+
+
+def eval_latest_sql(runs) -> str:
+    cols = [f"{pick('val', 'threshold')} AS threshold"]
+    for s, ms in (("val", LABELLED + COUNTS), ("train", LABELLED + COUNTS), ("test", COUNTS)):
+        cols += [f"{pick(s, m)} AS {s}_{m}" for m in ms]
+    return run_stack(runs) + """,
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, split ORDER BY run_id DESC) AS rn FROM reval) WHERE rn = 1)
+SELECT model, """ + ", ".join(cols) + " FROM latest GROUP BY model"
+
+
+def combined_roc_sql(runs) -> str:
+    return run_stack(runs) + """,
+lr AS (SELECT model, max(run_id) AS run_id FROM runs GROUP BY model),
+pts AS (SELECT model, proba AS threshold, """ + r4(sdiv("cf", "n_neg"), 8) + " AS fpr, " + r4(sdiv("ct", "n_pos"), 8) + """ AS tpr
+        FROM roc WHERE split = 'val'
+        UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM hist WHERE split = 'val')
+SELECT lr.run_id, p.model, p.threshold, p.fpr, p.tpr, """ + r4("m.roc_auc") + """ AS roc_auc
+FROM pts p JOIN lr USING (model) JOIN rank_metrics m ON m.model = p.model AND m.split = 'val'"""
+
+
+IMPORTANCE_FEATURES = ["total_price", "acct_bal", "n_lines", "qty", "disc", "gross", "net", "previous", "days_since"]
+
+
+def importance_sql(runs) -> str:
+    return run_stack(runs) + """,
+vj AS (SELECT r.run_id, s.proba, """ + ", ".join(f"c.{f}" for f in IMPORTANCE_FEATURES) + """
+       FROM scores s JOIN runs r USING (model) JOIN campaign c USING (id) WHERE s.split = 'val'),
+imp_long AS (SELECT * FROM (SELECT run_id, """ + ", ".join(
+        f"abs({scorr(f'CAST({f} AS DOUBLE)', 'proba')}) AS {f}" for f in IMPORTANCE_FEATURES) + """ FROM vj GROUP BY run_id)
+    UNPIVOT (imp FOR feature IN (""" + ", ".join(IMPORTANCE_FEATURES) + """))),
+imp_f AS (SELECT * FROM imp_long WHERE imp >= 0.05),
+imp AS (SELECT run_id, feature, """ + r4("imp / sum(imp) OVER (PARTITION BY run_id) * 100.0") + """ AS importance_pct FROM imp_f)"""
+
+
+def importance_across_sql(runs) -> str:
+    ids = sorted(r[0] for r in runs)
+    return importance_sql(runs) + " SELECT feature, " + ", ".join(
+        f"coalesce(max(CASE WHEN run_id = '{i}' THEN importance_pct END), 0.0) AS \"{i}\"" for i in ids) + \
+        " FROM imp GROUP BY feature"
+
+
+HISTORY = """
+hpath AS (
+  SELECT h.model, h.split, g.iteration, h.pos, h.neg,
+         least(greatest(0.5 + (h.proba - 0.5) * CAST(g.iteration AS DOUBLE) / 10.0, 0.001), 0.999) AS p
+  FROM hist h, (SELECT CAST(range AS INTEGER) AS iteration FROM range(1, 21)) g WHERE h.split <> 'test'),
+hagg AS (
+  SELECT model, split, iteration,
+         -sum(pos * ln(p) + neg * ln(1 - p)) / sum(pos + neg) AS logloss,
+         sum(CASE WHEN p >= 0.5 THEN neg ELSE pos END) / sum(pos + neg) AS error
+  FROM hpath GROUP BY model, split, iteration),
+history AS (
+  SELECT model, iteration, split, 'logloss' AS metric, """ + r4("logloss", 6) + """ AS value FROM hagg
+  UNION ALL SELECT model, iteration, split, 'error', """ + r4("error", 6) + """ FROM hagg)"""
+
+
+def history_sql(select: str) -> str:
+    return metric_stack() + "," + HISTORY + " " + select

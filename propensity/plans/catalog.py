@@ -395,7 +395,7 @@ def q_spearman_matrix(spark, sf):
 
 @query("pearson_matrix", Q.features_sql("SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT '{Q.NUMERIC_COLUMNS[i]}' AS a, '{Q.NUMERIC_COLUMNS[j]}' AS b, "
-    f"{Q.r4(f'corr({Q.NUMERIC_COLUMNS[i]}, {Q.NUMERIC_COLUMNS[j]})', 6)} AS corr FROM imp WHERE split = 'train'"
+    f"{Q.r4(Q.scorr(Q.NUMERIC_COLUMNS[i], Q.NUMERIC_COLUMNS[j]), 6)} AS corr FROM imp WHERE split = 'train'"
     for j in range(len(Q.NUMERIC_COLUMNS)) for i in range(j)) + ")"))
 def q_pearson_matrix(spark, sf):
     num, cols = _train_numeric(spark, sf)
@@ -428,3 +428,102 @@ def q_selection_report(spark, sf):
     num, cols = _train_numeric(spark, sf)
     _, _, report = sl.select_features(num, cols, mi_top_k=MI_TOP_K_CAMPAIGN)
     return report
+
+
+# ── runs and chart tables (A4–A7, G5, G6, G10–G13, H) ──────────────────────────────────────────────
+
+from propensity.operators import runs as rn  # noqa: E402
+
+# The demo runs evaluated from the scores table (run id, model, split the threshold is
+# tuned on); the first is an older run of m1 tuned on the training split.
+RUNS = [
+    ("20261130_090000_m1_optuna", "m1", "train"),
+    ("20261201_080000_m1_optuna", "m1", "val"),
+    ("20261201_081500_m2_optuna", "m2", "val"),
+    ("20261201_083000_m3_optuna", "m3", "val"),
+    ("20261201_084500_m4_optuna", "m4", "val"),
+]
+
+
+def _run_parts(spark, sf):
+    scores = materialize(cf.scores_table(spark, sf))
+    runs = rn.runs_descriptor(spark, RUNS)
+    thr = rn.run_thresholds(scores, runs)
+    rsc = rn.run_scores(scores, runs)
+    return scores, runs, thr, rsc
+
+
+@query("runs_flat", Q.runs_flat_sql(RUNS))
+def q_runs_flat(spark, sf):
+    scores, runs, thr, rsc = _run_parts(spark, sf)
+    table = rn.runs_table(rn.run_evaluation(rsc, thr), thr, runs)
+    return rn.runs_flat(table)
+
+
+@query("runs_comparison", Q.runs_comparison_sql(RUNS))
+def q_runs_comparison(spark, sf):
+    return rn.runs_comparison(q_runs_flat(spark, sf))
+
+
+@query("eval_latest", Q.eval_latest_sql(RUNS))
+def q_eval_latest(spark, sf):
+    scores, runs, thr, rsc = _run_parts(spark, sf)
+    return rn.latest_evaluation(rn.run_evaluation(rsc, thr))
+
+
+@query("combined_roc", Q.combined_roc_sql(RUNS))
+def q_combined_roc(spark, sf):
+    scores, runs, thr, rsc = _run_parts(spark, sf)
+    return rn.combined_roc(rsc, runs)
+
+
+def _importance(spark, sf):
+    scores, runs, thr, rsc = _run_parts(spark, sf)
+    return rn.score_input_importance(rsc, cf.campaign_frame(spark, sf), Q.IMPORTANCE_FEATURES)
+
+
+@query("importance_across_runs", Q.importance_across_sql(RUNS))
+def q_importance_across_runs(spark, sf):
+    return rn.importance_across_runs(_importance(spark, sf), [r[0] for r in RUNS])
+
+
+@query("top_n_importance", Q.importance_sql(RUNS) + """
+  SELECT * FROM (SELECT run_id, feature, importance_pct,
+                        row_number() OVER (PARTITION BY run_id ORDER BY importance_pct DESC, feature ASC) AS rank FROM imp)
+  WHERE rank <= 3""")
+def q_top_n_importance(spark, sf):
+    return rn.top_n_per_group(_importance(spark, sf), "run_id", "importance_pct", 3).withColumn("rank", F.col("rank").cast("long"))
+
+
+def _history(spark, sf):
+    return rn.history_path(cf.scores_table(spark, sf))
+
+
+@query("training_history", Q.history_sql("SELECT * FROM history"))
+def q_training_history(spark, sf):
+    return _history(spark, sf)
+
+
+@query("best_iteration", Q.history_sql("""
+  SELECT model, metric, iteration AS best_iteration, value AS best_value FROM (
+    SELECT *, row_number() OVER (PARTITION BY model, metric ORDER BY CASE WHEN metric IN ('logloss', 'error')
+           THEN value ELSE -value END, iteration) AS r FROM history WHERE split = 'val') WHERE r = 1"""))
+def q_best_iteration(spark, sf):
+    return rn.best_iteration(_history(spark, sf))
+
+
+@query("loss_curve_gap", Q.history_sql("""
+  , fin AS (SELECT model, split, value FROM (SELECT *, row_number() OVER (PARTITION BY model, split ORDER BY iteration DESC) AS r
+            FROM history WHERE metric = 'logloss') WHERE r = 1)
+  SELECT model, max(CASE WHEN split = 'train' THEN value END) AS train_final, max(CASE WHEN split = 'val' THEN value END) AS val_final,
+         """ + Q.r4("(max(CASE WHEN split = 'val' THEN value END) - max(CASE WHEN split = 'train' THEN value END))", 6)
+    + " AS gap FROM fin GROUP BY model").replace(" \n  , fin", ", fin"))
+def q_loss_curve_gap(spark, sf):
+    return rn.loss_curve_gap(_history(spark, sf))
+
+
+@query("all_curves", Q.history_sql("""
+  SELECT model, iteration, split, CASE WHEN metric = 'error' THEN 'accuracy' ELSE metric END AS metric,
+         CASE WHEN metric = 'error' THEN """ + Q.r4("(1 - value)", 6) + " ELSE value END AS value FROM history"))
+def q_all_curves(spark, sf):
+    return rn.all_curves(_history(spark, sf))
