@@ -527,3 +527,163 @@ def q_loss_curve_gap(spark, sf):
          CASE WHEN metric = 'error' THEN """ + Q.r4("(1 - value)", 6) + " ELSE value END AS value FROM history"))
 def q_all_curves(spark, sf):
     return rn.all_curves(_history(spark, sf))
+
+
+# ── models, search, importance, calibration, scoring (rows-only checks) ────────────────────────────
+
+import uuid  # noqa: E402
+
+from propensity.operators import calibrate as cal  # noqa: E402
+from propensity.operators import models as md  # noqa: E402
+from propensity.operators import score as sc  # noqa: E402
+from propensity.operators import search as se  # noqa: E402
+from propensity.session import shared_path  # noqa: E402
+
+SEARCH_TRIALS = 6  # the reference runs 30 trials per model; the registered query keeps the check short
+SEARCH_PARALLELISM = 3
+
+
+def _model_scores(name):
+    def run(spark, sf):
+        frame, pre = _fitted(spark, sf)
+        fitted = md.fit_model(name, pre, frame.filter(F.col("split") == "train"))
+        return fitted.score(pre, frame)
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name in md.TRAINERS:
+    query(_name)(_model_scores(_name))
+
+
+@query("model_evaluation")
+def q_model_evaluation(spark, sf):
+    """Two trained models measured like the stand-in scores: thresholds on val, every metric per split."""
+    frame, pre = _fitted(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    scores = None
+    for name in ("gbt_leafwise", "svc_linear"):
+        s = md.fit_model(name, pre, train).score(pre, frame)
+        scores = s if scores is None else scores.unionByName(s)
+    return ev.evaluate_all(materialize(scores))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    fitted = md.fit_model("gbt_leafwise", pre, frame.filter(F.col("split") == "train"))
+    return spark.createDataFrame(md.feature_importance(fitted), "feature string, importance_pct double")
+
+
+@query("gbt_history")
+def q_gbt_history(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    fitted = md.fit_model("gbt_depthwise", pre, frame.filter(F.col("split") == "train"))
+    return md.staged_history(fitted, pre, frame.filter(F.col("split") != "test"))
+
+
+def _pfi(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    num = materialize(pre.numeric(frame.filter(F.col("split") != "test"), keep=["id", "split", "target"]))
+    return se.permutation_importance(num.filter(F.col("split") == "train"), num.filter(F.col("split") == "val"),
+                                     pre.numeric_columns)
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    return _pfi(spark, sf)
+
+
+@query("top_n_pfi")
+def q_top_n_pfi(spark, sf):
+    return se.top_n_pfi(_pfi(spark, sf), 10)
+
+
+@query("random_search")
+def q_random_search(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    _, trials = se.random_search("gbt_depthwise", pre, frame.filter(F.col("split") == "train"),
+                                 frame.filter(F.col("split") == "val"), SEARCH_TRIALS, parallelism=SEARCH_PARALLELISM)
+    return trials
+
+
+@query("cv_objective")
+def q_cv_objective(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    value, per = se.cv_objective("svc_linear", pre, frame.filter(F.col("split") != "test"), {}, k=3)
+    return spark.createDataFrame([(p["fold"], p["val_auc"], p["train_auc"], value) for p in per],
+                                 "fold int, val_auc double, train_auc double, objective double")
+
+
+@query("select_pipeline")
+def q_select_pipeline(spark, sf):
+    """All four stages, the last one permutation importance on a baseline booster."""
+    frame, pre = _fitted(spark, sf)
+    num = materialize(pre.numeric(frame.filter(F.col("split") != "test"), keep=["id", "split", "target"]))
+    train, val = num.filter(F.col("split") == "train"), num.filter(F.col("split") == "val")
+    pfi = (lambda cols: se.permutation_importance(train, val, cols))
+    _, _, report = sl.select_features(train, pre.numeric_columns, mi_top_k=MI_TOP_K_CAMPAIGN, pfi=pfi, pfi_top_n=8)
+    return report
+
+
+def _trained_run(spark, sf):
+    frame, pre = _fitted(spark, sf)
+    fitted = md.fit_model("gbt_leafwise", pre, frame.filter(F.col("split") == "train"))
+    val_scores = fitted.score(pre, frame.filter(F.col("split") == "val"))
+    thr = mx.best_threshold(mx.threshold_sweep(mx.score_histogram(val_scores, ["model"]), ["model"]), ["model"]).first()
+    path = shared_path(spark, "runs", f"{uuid.uuid4().hex}_gbt_leafwise")
+    sc.save_run(spark, path, pre, fitted, float(thr["threshold"]))
+    return frame, pre, fitted, path
+
+
+@query("score_new")
+def q_score_new(spark, sf):
+    """Save a trained run, load it back and score the unlabelled orders with the saved threshold."""
+    frame, _, _, path = _trained_run(spark, sf)
+    run = sc.load_run(spark, path)
+    return sc.score_new(run, frame.filter(F.col("split") == "test").drop("target", "split"))
+
+
+@query("save_load_roundtrip")
+def q_save_load_roundtrip(spark, sf):
+    """Scores of the reloaded run equal the in-memory model's scores (column ``same``)."""
+    frame, pre, fitted, path = _trained_run(spark, sf)
+    mem = fitted.score(pre, frame, keep=["id"]).select("id", F.col("proba").alias("proba_mem"))
+    run = sc.load_run(spark, path)
+    disk = run.model.score(run.pre, frame, keep=["id"]).select("id", F.col("proba").alias("proba_loaded"))
+    return mem.join(disk, "id").withColumn("same", F.col("proba_mem") == F.col("proba_loaded"))
+
+
+def _cal_input(spark, sf):
+    return materialize(cf.scores_table(spark, sf).filter(F.col("model").isin("m1", "m3")))
+
+
+@query("platt")
+def q_platt(spark, sf):
+    return cal.platt(_cal_input(spark, sf))
+
+
+@query("isotonic")
+def q_isotonic(spark, sf):
+    return cal.isotonic(_cal_input(spark, sf))
+
+
+@query("calibrated_threshold")
+def q_calibrated_threshold(spark, sf):
+    scores = _cal_input(spark, sf)
+    return cal.rethreshold(cal.platt(scores).unionByName(cal.isotonic(scores)))
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Unlabelled orders arrive as Parquet files; a Structured Streaming query scores them with the saved
+    run into a Parquet sink (availableNow trigger); the sink is read back."""
+    from propensity.streaming.scoring import stream_scores
+    frame, _, _, path = _trained_run(spark, sf)
+    base = shared_path(spark, "streams", uuid.uuid4().hex)
+    src = frame.filter(F.col("split") == "test").drop("target", "split")
+    src.repartition(4).write.mode("overwrite").parquet(f"{base}/in")
+    run = sc.load_run(spark, path)
+    q = stream_scores(spark, run, f"{base}/in", src.schema, f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
