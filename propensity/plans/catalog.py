@@ -104,11 +104,11 @@ def q_ece(spark, sf):
 
 
 @query("reliability_bins", Q.metric_stack() + " SELECT model, split, bin, CAST(n AS BIGINT) AS n, "
-       + Q.r4("mean_proba", 6) + " AS mean_proba, " + Q.r4("frac_positive", 6) + " AS frac_positive FROM cal")
+       + Q.r4("mean_proba", 9) + " AS mean_proba, " + Q.r4("frac_positive", 9) + " AS frac_positive FROM cal")
 def q_reliability_bins(spark, sf):
     t = mx.calibration_table(_hist(spark, sf), ["model", "split"])
     return t.select("model", "split", "bin", F.col("n").cast("long").alias("n"),
-                    rnd("mean_proba", 6).alias("mean_proba"), rnd("frac_positive", 6).alias("frac_positive"))
+                    rnd("mean_proba", 9).alias("mean_proba"), rnd("frac_positive", 9).alias("frac_positive"))
 
 
 @query("roc_points", Q.metric_stack() + """
