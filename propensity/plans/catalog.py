@@ -687,3 +687,32 @@ def q_stream_score(spark, sf):
     q = stream_scores(spark, run, f"{base}/in", src.schema, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+# ── second labelled frame: documents ⋈ labels ───────────────────────────────────────────────────────
+
+DOCS = """WITH docs AS (SELECT d.doc_id AS id, d.n_chars, d.lang, d.source, CAST(l.{t} AS INTEGER) AS target
+                  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+@query("docs_target_rate", DOCS.format(t="quality") + " SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {c} AS value, {Q.r4('avg(target)')} AS target_rate, count(*) AS count "
+    f"FROM docs WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("lang", "source")) + ")")
+def q_docs_target_rate(spark, sf):
+    return pf.target_rate_by_category(cf.documents_frame(spark, sf, "quality"), "target", ["lang", "source"])
+
+
+@query("docs_toxic_ranking", DOCS.format(t="toxic") + """,
+scores AS (SELECT 'length' AS model, 'all' AS split, id, target,
+                  CAST(n_chars AS DOUBLE) / (CAST(n_chars AS DOUBLE) + CAST(1000 AS DOUBLE)) AS proba FROM docs)""" + "," +
+       Q.HIST + "," + Q.ECE + "," + Q.RANK + """
+SELECT model, split, """ + ", ".join(f"{Q.r4(c)} AS {c}" for c in ("roc_auc", "ks_statistic", "pr_auc", "brier_score"))
+       + ", " + Q.r4("e.ece") + " AS ece FROM rank_metrics JOIN ece e USING (model, split)")
+def q_docs_toxic_ranking(spark, sf):
+    """High-imbalance case: a length score against the toxic label."""
+    docs = cf.documents_frame(spark, sf, "toxic")
+    n = F.col("n_chars").cast("double")
+    scores = docs.select(F.lit("length").alias("model"), F.lit("all").alias("split"), "id", "target",
+                         (n / (n + F.lit(1000.0))).alias("proba"))
+    r = mx.ranking_metrics(mx.score_histogram(scores, ["model", "split"]), ["model", "split"])
+    return r.select("model", "split", *[rnd(c).alias(c) for c in ("roc_auc", "ks_statistic", "pr_auc", "brier_score", "ece")])
