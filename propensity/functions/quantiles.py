@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 
 from propensity.functions.order import cumulative_within
 
-EDGE_COUNT = 256  # approximate-quantile edges per column (buckets of ~1/256 of the rows each)
+MIN_EDGES, MAX_EDGES = 32, 1024  # approximate-quantile edges per column, scaled with the input's partitions
+
+
+def edge_count(df: DataFrame) -> int:
+    """More input partitions → more (smaller) rank buckets, so a bucket stays a task-sized piece of work."""
+    return max(MIN_EDGES, min(MAX_EDGES, 4 * df.rdd.getNumPartitions()))
 
 
 def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -30,11 +35,13 @@ def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -
     return df.select(F.inline(items)).filter(F.col("value").isNotNull())
 
 
-def value_counts_with_buckets(df: DataFrame, cols: Sequence[str], edges: int = EDGE_COUNT) -> DataFrame:
+def value_counts_with_buckets(df: DataFrame, cols: Sequence[str], edges: int | None = None) -> DataFrame:
     """``(feature, value, cnt, bkt)``: distinct values per column with a rank-balanced bucket."""
     cols = list(cols)
+    edges = edges or edge_count(df)
     probs = [i / edges for i in range(1, edges)]
-    approx = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * edges).alias(c) for c in cols]).first()
+    # edges only need to balance buckets roughly: accuracy 2 * edges keeps the sketch small
+    approx = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 2 * edges).alias(c) for c in cols]).first()
     splits = []
     for c in cols:
         inner = sorted({float(v) for v in (approx[c] or []) if v is not None}) or [0.0]

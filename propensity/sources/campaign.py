@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions.order import hash_bucket, md5_key, month_bucket, row_number_within
 from propensity.functions.sizing import broadcast_if_bounded
+from propensity.session import materialize
 from propensity.sources.tables import table
 
 SPLIT_SEED = 42
@@ -117,8 +118,12 @@ def stratified_split(
 
 def labelled_and_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign frame with a ``split`` column: train / val among finished orders, test (target NULL)
-    for orders still in progress."""
-    frame = campaign_frame(spark, sf_dir)
+    for orders still in progress.
+
+    The frame is checkpointed first: the split reads it several times (class sizes, bucket sizes, ranks,
+    the test branch), and recomputing the line-item aggregate for each read would multiply the cost of
+    the largest table."""
+    frame = materialize(campaign_frame(spark, sf_dir))
     labelled = stratified_split(frame.filter(F.col("status") != TEST_STATUS))
     test = frame.filter(F.col("status") == TEST_STATUS).withColumn("target", F.lit(None).cast("int"))
     return labelled.unionByName(test.withColumn("split", F.lit("test")))
