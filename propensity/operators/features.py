@@ -224,6 +224,11 @@ def columns_to_originals(columns: Sequence[str], levels: dict[str, list[str]]) -
     return seen
 
 
+def slice_variant(df: DataFrame, selected: Sequence[str], keep: Sequence[str] = ("id", "split", "target")) -> DataFrame:
+    """Project a variant onto the selected model columns (column pruning reaches the scan)."""
+    return df.select(*[c for c in keep if c in df.columns], *selected)
+
+
 def stratified_kfold(df: DataFrame, k: int = 5, id_col: str = "id", target: str = "target", seed: int = cf.SPLIT_SEED) -> DataFrame:
     """``fold = (rank in class by md5(id-seed) - 1) % k``: class shares equal in every fold."""
     ranked = row_number_within(df.withColumn("_h", md5_key(id_col, seed)), [target], [F.col("_h"), F.col(id_col)],

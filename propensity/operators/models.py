@@ -193,17 +193,26 @@ class FittedModel:
         self.pipeline.write().overwrite().save(path)
 
 
-def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None) -> FittedModel:
-    """Fit one trainer on the training rows (``train`` holds raw campaign columns)."""
+def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None,
+              early_stop: DataFrame | None = None, validation_tol: float = 0.01) -> FittedModel:
+    """Fit one trainer on the training rows (``train`` holds raw campaign columns).
+
+    E13: with ``early_stop`` (validation rows) a boosting model trains on train + validation rows with
+    ``validationIndicatorCol`` and stops once the validation loss no longer improves by ``validation_tol``."""
     tr = TRAINERS[name]
     p = {**DEFAULT_PARAMS[name], **(params or {})}
-    inp, cols = (tree_input if tr.variant == "tree" else scaled_input)(pre, train)
+    if early_stop is not None and name.startswith("gbt"):
+        train = train.withColumn("_is_val", F.lit(False)).unionByName(early_stop.withColumn("_is_val", F.lit(True)))
+    inp, cols = (tree_input if tr.variant == "tree" else scaled_input)(
+        pre, train, keep=("id", "split", "target", *(["_is_val"] if "_is_val" in train.columns else [])))
     fourier = None
     if name in ("svc_rff", "rff_logistic"):
         fourier = fourier_weights(len(cols), int(p["n_features"]), p["kernel"], float(p["length_scale"]), SEED)
         inp = fourier_features(inp, cols, *fourier)
     n_rows = inp.count() if name.startswith("svc") else 1
     pipe = build_pipeline(name, p, cols, pre.spec.nominal, n_rows)
+    if "_is_val" in inp.columns:
+        pipe.getStages()[-1].setValidationIndicatorCol("_is_val").set(pipe.getStages()[-1].validationTol, validation_tol)
     model = pipe.fit(with_label(inp))
     return FittedModel(name, p, model, cols, tr.variant, fourier)
 

@@ -179,6 +179,12 @@ def q_profile_numeric(spark, sf):
     return pf.profile_numeric(_profile_frame(spark, sf))
 
 
+@query("profile_numeric_approx")
+def q_profile_numeric_approx(spark, sf):
+    """Sketch-based profile (rows-only: approximate distinct counts and quantiles)."""
+    return pf.profile_numeric_approx(_profile_frame(spark, sf))
+
+
 @query("profile_categorical", _wrap(Q.profile_categorical_sql()))
 def q_profile_categorical(spark, sf):
     return pf.profile_categorical(_profile_frame(spark, sf))
@@ -716,3 +722,17 @@ def q_docs_toxic_ranking(spark, sf):
                          (n / (n + F.lit(1000.0))).alias("proba"))
     r = mx.ranking_metrics(mx.score_histogram(scores, ["model", "split"]), ["model", "split"])
     return r.select("model", "split", *[rnd(c).alias(c) for c in ("roc_auc", "ks_statistic", "pr_auc", "brier_score", "ece")])
+
+
+@query("selected_variant", Q.selection_sql(
+    ", allrows AS (SELECT * FROM imp) SELECT id, split, feature, " + Q.r4("value", 6) + " AS value FROM (SELECT id, split, "
+    + ", ".join(Q.NUMERIC_COLUMNS) + " FROM allrows) UNPIVOT (value FOR feature IN (" + ", ".join(Q.NUMERIC_COLUMNS)
+    + ")) WHERE feature IN (SELECT feature FROM s3)"))
+def q_selected_variant(spark, sf):
+    """Every row of the numeric variant sliced to the MI-stage survivors, in long form."""
+    frame, pre = _fitted(spark, sf)
+    train = materialize(pre.numeric(frame.filter(F.col("split") == "train"), keep=["id", "target"]))
+    selected, _, _ = sl.select_features(train, pre.numeric_columns, mi_top_k=MI_TOP_K_CAMPAIGN)
+    sliced = fe.slice_variant(pre.numeric(frame, keep=["id", "split"]), selected, keep=["id", "split"])
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in selected])
+    return sliced.select("id", "split", F.inline(items)).select("id", "split", "feature", rnd("value", 6).alias("value"))

@@ -56,7 +56,12 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint directory (survives executor
-    loss, unlike a local checkpoint) before a multi-pass fit reads the same rows several times."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing a Parquet stage table under the shared checkpoint directory and reading it
+    back. The rows are computed once (a bare reliable checkpoint would compute them twice), the table
+    survives executor loss (unlike a local checkpoint), and later reads get column pruning and filter
+    pushdown at the scan."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_path(spark, "stage", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

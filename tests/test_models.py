@@ -25,3 +25,15 @@ def test_permutation_importance_shape(spark):
     pfi = E.queries()["permutation_importance"](spark, SMALL).collect()
     assert len(pfi) == 19
     assert all(r.pfi_std is not None and r.pfi_std >= 0 for r in pfi)
+
+
+def test_gbt_early_stopping_uses_validation_rows(spark):
+    from propensity.operators import features as fe
+    from propensity.operators import models as md
+    from propensity.session import materialize
+    from propensity.sources import campaign as cf
+    frame = materialize(cf.labelled_and_test(spark, SMALL))
+    train, val = frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "val")
+    pre = fe.fit_preprocessor(train)
+    fitted = md.fit_model("gbt_depthwise", pre, train, {"n_estimators": 30}, early_stop=val, validation_tol=0.05)
+    assert 1 <= len(md.gbt_stage(fitted).trees) <= 30
