@@ -283,7 +283,7 @@ def _split_frame(spark, sf):
 
 def _fitted(spark, sf):
     """Split frame checkpointed once (the fit reads it several times), plus the fitted state."""
-    frame = materialize(_split_frame(spark, sf))
+    frame = _split_frame(spark, sf)  # already a stage table
     return frame, fe.fit_preprocessor(frame.filter(F.col("split") == "train"))
 
 

@@ -126,7 +126,8 @@ def labelled_and_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = materialize(campaign_frame(spark, sf_dir))
     labelled = stratified_split(frame.filter(F.col("status") != TEST_STATUS))
     test = frame.filter(F.col("status") == TEST_STATUS).withColumn("target", F.lit(None).cast("int"))
-    return labelled.unionByName(test.withColumn("split", F.lit("test")))
+    # written once more: every consumer (scores, fits, metrics) reads the split rows many times
+    return materialize(labelled.unionByName(test.withColumn("split", F.lit("test"))))
 
 
 def model_scores(frame: DataFrame) -> list[tuple[str, Column]]:

@@ -75,3 +75,19 @@ def test_subsample_bigger_than_table_keeps_all(spark, framed):
     assert fe.stratified_subsample(train, 10 ** 9).count() == train.count()
     small = fe.stratified_subsample(train, 50)
     assert small.count() == 50 and small.filter("target = 1").count() >= 1
+
+
+def test_sweep_and_auc_identical_for_1_and_64_shuffle_partitions(spark):
+    from propensity.operators import metrics as mx
+    res = []
+    for n in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            scores = cf.scores_table(spark, SMALL)
+            hist = mx.score_histogram(scores, ["model", "split"])
+            sweep = sorted(tuple(r) for r in mx.threshold_sweep(hist, ["model", "split"]).collect())
+            auc = sorted(tuple(r) for r in mx.ranking_metrics(hist, ["model", "split"], 10).collect())
+            res.append((sweep, auc))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert res[0] == res[1]
