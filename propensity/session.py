@@ -62,6 +62,7 @@ def materialize(df):
     pushdown at the scan."""
     import uuid
     spark = df.sparkSession
-    path = shared_path(spark, "stage", uuid.uuid4().hex)
+    # scoped by application: an operator drops one folder per finished application
+    path = shared_path(spark, "stage", spark.sparkContext.applicationId, uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
