@@ -426,7 +426,7 @@ s3 AS (SELECT m.feature FROM mi6 m JOIN s2 USING (feature) WHERE s2.kept ORDER B
 both_pairs AS (SELECT a AS feature, b AS partner, pos_b AS ppos, abs(corr) AS c FROM sp
                UNION ALL SELECT b, a, pos_a, abs(corr) FROM sp),
 bestp AS (SELECT feature, partner, c FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY c DESC, ppos ASC) AS r
-          FROM both_pairs) WHERE r = 1)"""
+          FROM both_pairs WHERE c IS NOT NULL) WHERE r = 1)"""
 
 
 def selection_sql(select: str) -> str:

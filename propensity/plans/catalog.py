@@ -736,3 +736,23 @@ def q_selected_variant(spark, sf):
     sliced = fe.slice_variant(pre.numeric(frame, keep=["id", "split"]), selected, keep=["id", "split"])
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in selected])
     return sliced.select("id", "split", F.inline(items)).select("id", "split", "feature", rnd("value", 6).alias("value"))
+
+
+@query("select_raw")
+def q_select_raw(spark, sf):
+    """D9 (``on="raw"``): selection on the tree variant before imputation — real missing shares, pairwise-
+    complete correlations among numeric columns, nominal columns indexed (alphabetical) so MI can rank them
+    with everything else. Stages 1–3; the importance stage needs the imputed variant."""
+    from pyspark.ml.feature import StringIndexer
+    frame, pre = _fitted(spark, sf)
+    train = frame.filter(F.col("split") == "train")
+    tree = pre.tree(train, keep=["id", "target"])
+    nominal = list(pre.spec.nominal)
+    idx = StringIndexer(inputCols=nominal, outputCols=[f"{c}__i" for c in nominal], stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(tree)
+    raw = idx.transform(tree).drop(*nominal)
+    raw = raw.select("id", "target", *[F.col(c).cast("double").alias(c.removesuffix("__i")) for c in raw.columns
+                                       if c not in ("id", "target")])
+    cols = [c for c in raw.columns if c not in ("id", "target")]
+    _, _, report = sl.select_features(materialize(raw), cols, mi_top_k=MI_TOP_K_CAMPAIGN)
+    return report
