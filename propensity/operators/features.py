@@ -74,12 +74,11 @@ def dummy_name(col: str, level: str) -> str:
 
 
 def fit_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct levels per nominal column from the training rows (one aggregate)."""
-    if not cols:
-        return {}
+    """Sorted distinct levels per nominal column from the training rows. Each read is bounded
+    (distinct → ordered top ``MAX_LEVELS + 1``, merged per task), so a high-cardinality column fails fast
+    instead of gathering its values anywhere."""
     levels = {}
     for c in cols:
-        # distinct → bounded read: at most MAX_LEVELS + 1 values ever reach the driver
         got = [r[0] for r in train.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
                .limit(MAX_LEVELS + 1).collect()]
         if len(got) > MAX_LEVELS:
