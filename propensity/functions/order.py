@@ -102,3 +102,10 @@ def cumulative_within(
 def month_bucket(ts: Column) -> Column:
     """Month number of a date or timestamp: a monotone bucket for date-ordered sequences."""
     return F.year(ts) * 12 + F.month(ts)
+
+
+def day_key_bucket(ts: Column, key: Column, key_span: int = 1 << 20) -> Column:
+    """Monotone bucket along ``(date, key)``: the day, then a range of the tie-breaking key inside it, so
+    even one entity with a third of all rows on a single day is spread over many buckets."""
+    return F.struct(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("d"),
+                    F.floor(key / F.lit(key_span)).alias("k"))
