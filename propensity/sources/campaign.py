@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.functions.order import day_key_bucket, hash_bucket, md5_key, row_number_within
+from propensity.functions.order import hash_bucket, md5_key, month_key_bucket, row_number_within
 from propensity.functions.sizing import broadcast_if_bounded
 from propensity.session import materialize
 from propensity.sources.tables import table
@@ -57,7 +57,7 @@ def campaign_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: id, target, status, nominal/ordinal/numeric features and a score.
 
     ``previous`` and ``days_since`` need each customer's orders in date order. A customer may own a
-    large share of all orders, so the sequence is numbered per (customer, day, order-key range) with
+    large share of all orders, so the sequence is numbered per (customer, month, order-key range) with
     offsets from a count table instead of one window per customer.
     """
     orders = table(spark, sf_dir, "orders").select(
@@ -67,7 +67,7 @@ def campaign_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders,
         ["o_custkey"],
         [F.col("o_orderdate"), F.col("o_orderkey")],
-        day_key_bucket(F.col("o_orderdate"), F.col("o_orderkey")),
+        month_key_bucket(F.col("o_orderdate"), F.col("o_orderkey")),
         out="_rn",
         lag_of="o_orderdate",
         lag_out="_prev_date",

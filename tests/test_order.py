@@ -29,3 +29,15 @@ def test_cumulative_matches_plain_window(spark):
     ref = df.select("g", "p", F.sum("x").over(w).alias("rx"), F.sum("y").over(w).alias("ry"))
     bad = got.join(ref, ["g", "p"]).filter((F.col("cx") != F.col("rx")) | (F.col("cy") != F.col("ry")))
     assert bad.count() == 0 and got.count() == df.count()
+
+
+def test_month_key_bucket_hot_customer(spark):
+    from propensity.functions.order import month_key_bucket
+    rows = [(i, 7 if i % 3 else i % 50, f"2020-0{1 + i % 3}-1{i % 10}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, c long, d string").withColumn("d", F.to_timestamp("d"))
+    got = row_number_within(df, ["c"], [F.col("d"), F.col("k")], month_key_bucket(F.col("d"), F.col("k"), 64),
+                            out="rn", lag_of="d", lag_out="prev")
+    w = Window.partitionBy("c").orderBy("d", "k")
+    ref = df.select("k", F.row_number().over(w).alias("rn2"), F.lag("d").over(w).alias("prev2"))
+    bad = got.join(ref, "k").filter((F.col("rn") != F.col("rn2")) | ~F.col("prev").eqNullSafe(F.col("prev2")))
+    assert bad.count() == 0
