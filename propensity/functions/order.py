@@ -104,8 +104,10 @@ def month_bucket(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts)
 
 
-def month_key_bucket(ts: Column, key: Column, key_span: int = 1 << 20) -> Column:
-    """Monotone bucket along ``(date, key)`` with ``key`` unique: the month, then a range of
-    ``key_span`` keys inside it. A bucket never holds more than ``key_span`` rows, so even one entity with
-    a third of all rows is spread over many tasks, while ordinary entities get one bucket per month."""
-    return F.struct(month_bucket(ts).alias("m"), F.floor(key / F.lit(key_span)).alias("k"))
+def day_key_bucket(ts: Column, key: Column, key_span: int = 1 << 20) -> Column:
+    """Monotone bucket along ``(date, key)`` with ``key`` unique: the day, then a range of ``key_span`` keys
+    inside it. Monotone because rows of one day are ordered by key (a month-level bucket with key ranges
+    would not be: a later day can carry a smaller key). A bucket never holds more than ``key_span`` rows,
+    so even one entity with a third of all rows is spread over many tasks."""
+    return F.struct(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("d"),
+                    F.floor(key / F.lit(key_span)).alias("k"))
