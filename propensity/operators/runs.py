@@ -20,7 +20,7 @@ MAX_RUNS_BROADCAST = 100_000
 RUN_KEYS = ["run_id", "model"]
 
 
-def run_id(ts: str, model: str, tag: str = "optuna") -> str:
+def run_id(ts: str, model: str, tag: str = "search") -> str:
     """``<yyyymmdd_hhmmss>_<model>_<tag>``: sorts by time as a string."""
     return f"{ts}_{model}_{tag}"
 

@@ -443,11 +443,11 @@ from propensity.operators import runs as rn  # noqa: E402
 # The demo runs evaluated from the scores table (run id, model, split the threshold is
 # tuned on); the first is an older run of m1 tuned on the training split.
 RUNS = [
-    ("20261130_090000_m1_optuna", "m1", "train"),
-    ("20261201_080000_m1_optuna", "m1", "val"),
-    ("20261201_081500_m2_optuna", "m2", "val"),
-    ("20261201_083000_m3_optuna", "m3", "val"),
-    ("20261201_084500_m4_optuna", "m4", "val"),
+    ("20261130_090000_m1_search", "m1", "train"),
+    ("20261201_080000_m1_search", "m1", "val"),
+    ("20261201_081500_m2_search", "m2", "val"),
+    ("20261201_083000_m3_search", "m3", "val"),
+    ("20261201_084500_m4_search", "m4", "val"),
 ]
 
 
