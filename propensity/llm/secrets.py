@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.llm.common import record_batch
@@ -147,5 +147,8 @@ def digest_columns(found: DataFrame, rules=RULES) -> DataFrame:
     """The contract's columns: counts by kind, the digest of the joined spans and the spans."""
     findings = F.coalesce("findings", F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>"))
     spans = F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
-    counts = [F.size(F.filter(findings, lambda f, k=r.kind: f["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in rules]
-    return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(findings, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("path").alias("doc_id"), *[count(r.kind) for r in rules], F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
