@@ -294,7 +294,14 @@ def _shared(blobs: list[bytes], hot_packs: int) -> Iterator[bytes]:
     twice = np.unique(every[1:][every[1:] == every[:-1]])
     many = np.unique(every[hot_packs:][every[hot_packs:] == every[:-hot_packs]])
     for x in lists:
-        yield _blob(0, 0, *(np.packbits(np.isin(x, some, kind="sort")) for some in (twice, many)))[2]
+        yield _blob(0, 0, np.packbits(_among(x, twice)), np.packbits(_among(x, many)))[2]
+
+
+def _among(x: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the ascending ``some``; costs by the size of ``x``, not of ``some``."""
+    if not len(some):
+        return np.zeros(len(x), bool)
+    return some[np.minimum(np.searchsorted(some, x), len(some) - 1)] == x
 
 
 # ---------------------------------------------------------------- step 2: dictionary
