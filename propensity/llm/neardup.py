@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.functions.sizing import broadcast_if_bounded
 from propensity.llm.common import record_batch, utf8_rows
 from propensity.llm.components import components
 from propensity.session import materialize
@@ -40,6 +41,7 @@ PERMUTATIONS, ROWS, SEED = 120, 5, 3
 NEAR = 0.65
 BUCKET_ROWS, CHUNK_SHINGLES, MAX_CACHED_WORDS = 4096, 400_000, 400_000
 STEP = 2048
+MAX_BROADCAST_ROWS = 1_000_000  # of 32 bytes
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -237,7 +239,8 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int, percent: i
     sizes = sizes.select("component", chunks.alias("chunks"))
     dealt = clusters.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    rows = texts.join(dealt.select("id", "component", "chunk", "chunks"), "id")
+    # texts move only if there are more candidates than can be sent to every executor
+    rows = texts.join(broadcast_if_bounded(dealt.select("id", "component", "chunk", "chunks"), MAX_BROADCAST_ROWS), "id")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
