@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from propensity.functions.sizing import small_table
 from propensity.llm.common import record_batch
 from propensity.session import materialize, shared_path
 
@@ -44,7 +45,7 @@ TRAILER = "<QQQQI4x8s"  # table place, table size, index place, index size, flag
 BLOCK_IDS = 1 << 16
 END_ID = 2
 CACHE_PIECES = 500_000
-READ_IDS = 1 << 20
+MAX_FILES = 1_000_000  # rows of the table of file offsets that may go to every executor
 
 
 # ---------------------------------------------------------------- planes
@@ -325,8 +326,9 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
 
     # one row per file: offsets are a running sum over files, never over documents
     before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = manifest.select(F.col("part"), F.coalesce(before, F.lit(0)).alias("_before"))
-    spread = manifest.where("n_docs > 0").repartition(F.col("part"))
+    offsets = small_table(manifest.select(F.col("part"), F.coalesce(before, F.lit(0)).alias("_before")), MAX_FILES)
+    full = manifest.where("n_docs > 0")
+    spread = full.repartition(max(1, full.count()), "part")  # a task per file or so
     found = spread.select("file", "part").mapInArrow(read, _DOCS)
     return found.join(offsets, "part").select("doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")
 
