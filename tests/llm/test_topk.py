@@ -29,7 +29,7 @@ def test_edge_cases(spark):
     rng = np.random.default_rng(0)
     data = [(i, f32(rng.normal(size=6))) for i in range(120)]
     data += [(0, f32(rng.normal(size=6))), (7, data[7][1]), (7, data[7][1]), (None, f32(np.ones(6))), (200, None), (201, []),
-             (202, [1.0, None, 0, 0, 0, 0]), (203, [float("nan")] * 6), (204, [float("inf")] * 6), (250, f32([1, 2])), (251, f32([3, 4])), (300, [0.0] * 6)]
+             (202, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (203, [float("nan")] * 6), (204, [float("inf")] * 6), (250, f32([1, 2])), (251, f32([3, 4])), (300, [0.0] * 6)]
     assert run(spark, data) == brute(data)
 
 
