@@ -41,7 +41,7 @@ PER_LANG, EPOCHS, LAMBDA, SEED = 400, 10, 1e-4, 11
 FOLDS, HELD_OUT = 3, 1
 MAX_LANGS = 10_000
 UND = "und"
-_OTHER = re.compile(r"[\W\d_]+")
+_MARKS = re.compile("\x03+")
 
 
 def family_of(lang: str) -> str:
@@ -55,7 +55,7 @@ def held_out(doc_id: Column) -> Column:
 def letters(token: str) -> str:
     """Lower-case letters of a token, other characters as one boundary mark each run; "" without letters."""
     token = token.lower()
-    return token if token.isalpha() else _OTHER.sub("\x03", token).strip("\x03")
+    return token if token.isalpha() else _MARKS.sub("\x03", "".join([c if c.isalpha() else "\x03" for c in token])).strip("\x03")
 
 
 def train_machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, seed: int) -> tuple[np.ndarray, float]:

@@ -14,7 +14,7 @@ products where they are exact, 64-bit integers beyond that.
 Edge cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with a
 null id; vectors are compared with those of their own dimension only; repeated rows are separate candidates, but
 no row with the query's own id is its candidate; a query id on several rows asks with its smallest vector; ties go
-to the smaller id; fewer than k candidates give fewer rows; an empty table gives an empty result.
+to the smaller id; components beyond the 64-bit range saturate; fewer than k candidates give fewer rows; an empty table gives an empty result.
 """
 from __future__ import annotations
 

@@ -68,5 +68,5 @@ def test_language_edges(spark, odd_documents, no_documents):
     assert none is None and {r.lang_pred for r in langid.identify(odd_documents, none).collect()} == {"und"}
     one = langid.fit(odd_documents.withColumn("lang", F.lit("xx")))
     assert {r.lang_pred for r in langid.identify(odd_documents, one).collect()} == {"xx", "und"}
-    digits = spark.createDataFrame([(1, "123 456 !!"), (2, "ſ")], "doc_id long, text string")
+    digits = spark.createDataFrame([(1, "123 456 !! ² ½ _"), (2, "ſ")], "doc_id long, text string")
     assert [r.lang_pred == "und" for r in langid.identify(digits, one).orderBy("doc_id").collect()] == [True, False]
