@@ -17,6 +17,13 @@ HASH_BUCKET_DIGITS = 4  # 16^4 = 65,536 buckets for md5-ordered ranks
 SCORE_BUCKETS = 65536  # buckets over [0, 1] for score-ordered cumulative sums
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL; the keys appear once."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    cond = [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys]
+    return left.join(named, cond).drop(*[f"_right_{k}" for k in keys])
+
+
 def md5_key(id_col: str, seed: int) -> Column:
     """Deterministic shuffle key: md5 of ``<id>-<seed>`` (same hex string in Spark and DuckDB)."""
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
@@ -28,9 +35,16 @@ def hash_bucket(key: Column, digits: int = HASH_BUCKET_DIGITS) -> Column:
 
 
 def score_bucket(score: Column, buckets: int = SCORE_BUCKETS) -> Column:
-    """Monotone bucket of a score; values outside [0, 1] are clamped to the end buckets."""
-    b = F.floor(score * F.lit(float(buckets))).cast("long")
-    return F.least(F.greatest(b, F.lit(0).cast("long")), F.lit(buckets).cast("long"))
+    """Monotone bucket of any real score, as a struct compared field by field: equal-width steps of [0, 1], then
+    binary magnitude (sixteen steps an octave) of the distance from 0 and from 1. Scores that crowd near 0 or
+    near 1, and raw margins outside [0, 1], are spread instead of piling up in an end bucket."""
+    step = F.least(F.greatest(F.floor(score * F.lit(float(buckets))), F.lit(0)), F.lit(buckets)).cast("long")
+
+    def octave(x: Column) -> Column:  # grows with x, NULL-free
+        return F.when(x > 0, F.floor(F.log2(F.greatest(x, F.lit(1e-300))) * 16.0)).when(
+            x < 0, -F.floor(F.log2(F.greatest(-x, F.lit(1e-300))) * 16.0) - 40_000).otherwise(F.lit(-20_000)).cast("long")
+
+    return F.struct(step.alias("step"), octave(score).alias("low"), (-octave(F.lit(1.0) - score)).alias("high"))
 
 
 def row_number_within(
@@ -62,7 +76,7 @@ def row_number_within(
         cols.append(F.lag("_last").over(by_bucket).alias("_carry"))
     offsets = sizes.select(*cols)
     fine = Window.partitionBy(*group_cols, "_bkt").orderBy(*order_cols)
-    res = staged.join(offsets, [*group_cols, "_bkt"]).withColumn(out, F.row_number().over(fine) + F.col("_off"))
+    res = join_null_safe(staged, offsets, [*group_cols, "_bkt"]).withColumn(out, F.row_number().over(fine) + F.col("_off"))
     if lag_of:
         res = res.withColumn(lag_out or f"prev_{lag_of}", F.coalesce(F.lag(lag_of).over(fine), F.col("_carry")))
         res = res.drop("_carry")
@@ -94,20 +108,12 @@ def cumulative_within(
     )
     val_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     fine = Window.partitionBy(*group_cols, "_bkt").orderBy(val_order).rowsBetween(Window.unboundedPreceding, 0)
-    out = staged.join(offsets, [*group_cols, "_bkt"])
+    out = join_null_safe(staged, offsets, [*group_cols, "_bkt"])
     out = out.withColumns({name: F.sum(src).over(fine) + F.col(f"_o_{name}") for name, src in sums.items()})
     return out.drop("_bkt", *[f"_o_{name}" for name in sums])
 
 
-def month_bucket(ts: Column) -> Column:
-    """Month number of a date or timestamp: a monotone bucket for date-ordered sequences."""
-    return F.year(ts) * 12 + F.month(ts)
-
-
-def day_key_bucket(ts: Column, key: Column, key_span: int = 1 << 20) -> Column:
-    """Monotone bucket along ``(date, key)`` with ``key`` unique: the day, then a range of ``key_span`` keys
-    inside it. Monotone because rows of one day are ordered by key (a month-level bucket with key ranges
-    would not be: a later day can carry a smaller key). A bucket never holds more than ``key_span`` rows,
-    so even one entity with a third of all rows is spread over many tasks."""
-    return F.struct(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).alias("d"),
-                    F.floor(key / F.lit(key_span)).alias("k"))
+def day_bucket(ts: Column) -> Column:
+    """Day number of a date or timestamp: a monotone bucket along ``(date, key)``. A customer has at most one
+    bucket per day of history (a few thousand), however many orders they own."""
+    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))

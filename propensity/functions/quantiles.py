@@ -17,18 +17,24 @@ from pyspark.sql import functions as F
 
 from propensity.functions.order import cumulative_within
 
-MIN_EDGES, MAX_EDGES = 32, 1024  # approximate-quantile edges per column, scaled with the input's partitions
+MIN_EDGES = 32  # approximate-quantile edges per column
 
 
 def edge_count(df: DataFrame) -> int:
-    """More input partitions → more (smaller) rank buckets, so a bucket stays a task-sized piece of work."""
-    return max(MIN_EDGES, min(MAX_EDGES, 4 * df.rdd.getNumPartitions()))
+    """Rank buckets follow the session's shuffle parallelism, which is set for the data's size, so a bucket stays a
+    task-sized piece of work; pass ``edges`` to choose another number."""
+    return max(MIN_EDGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def number(col: str):
+    """The column as a double, NaN as NULL."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
 
 
 def long_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Unpivot numeric columns to ``(feature, value[, extra...])`` with value as double (NULLs dropped)."""
     items = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"),
+        F.struct(F.lit(c).alias("feature"), number(c).alias("value"),
                  *[F.col(e).alias(e) for e in extra])
         for c in cols
     ])
@@ -41,13 +47,13 @@ def value_counts_with_buckets(df: DataFrame, cols: Sequence[str], edges: int | N
     edges = edges or edge_count(df)
     probs = [i / edges for i in range(1, edges)]
     # edges only need to balance buckets roughly: accuracy 2 * edges keeps the sketch small
-    approx = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 2 * edges).alias(c) for c in cols]).first()
+    approx = df.agg(*[F.percentile_approx(number(c), probs, 2 * edges).alias(c) for c in cols]).first()
     splits = []
     for c in cols:
         inner = sorted({float(v) for v in (approx[c] or []) if v is not None}) or [0.0]
         splits.append([float("-inf"), *inner, float("inf")])
     buck = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[f"_b_{c}" for c in cols], handleInvalid="keep")
-    staged = buck.transform(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    staged = buck.transform(df.select(*[number(c).alias(c) for c in cols]))
     items = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"_b_{c}").cast("int").alias("bkt"))
         for c in cols

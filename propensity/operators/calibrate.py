@@ -24,15 +24,23 @@ def _logit(df: DataFrame) -> DataFrame:
         df.withColumn("_logit", F.log(p / (1 - p))))
 
 
+def _weighted(rows: DataFrame, fit_split: str) -> DataFrame:
+    """Fit rows: one per distinct score and label, weighted by its count (map-side combined), so a fit reads as
+    many rows as there are scores."""
+    hist = mx.score_histogram(rows.filter(F.col("split") == fit_split), [])
+    both = F.array(F.struct(F.lit(1.0).alias("label"), F.col("pos").cast("double").alias("weight")),
+                   F.struct(F.lit(0.0).alias("label"), F.col("neg").cast("double").alias("weight")))
+    return hist.select("proba", F.inline(both)).filter(F.col("weight") > 0)
+
+
 def platt(scores: DataFrame, fit_split: str = "val", suffix: str = "_platt") -> DataFrame:
     """I4: per model, logistic regression of the target on logit(score), fitted on ``fit_split``."""
     out = None
     for (model,) in scores.select("model").distinct().collect():  # one small fit per model
-        rows = _logit(scores.filter(F.col("model") == model))
-        fit = rows.filter((F.col("split") == fit_split) & F.col("target").isNotNull()) \
-            .withColumn("label", F.col("target").cast("double"))
-        lr = LogisticRegression(featuresCol="_cal_x", labelCol="label", maxIter=100).fit(fit)
-        cal = lr.transform(rows).select(F.lit(model + suffix).alias("model"), "split", "id", "target",
+        rows = scores.filter(F.col("model") == model)
+        fit = _logit(_weighted(rows, fit_split))
+        lr = LogisticRegression(featuresCol="_cal_x", labelCol="label", weightCol="weight", maxIter=100).fit(fit)
+        cal = lr.transform(_logit(rows)).select(F.lit(model + suffix).alias("model"), "split", "id", "target",
                                         positive_proba().alias("proba"))
         out = cal if out is None else out.unionByName(cal)
     return out
@@ -43,9 +51,8 @@ def isotonic(scores: DataFrame, fit_split: str = "val", suffix: str = "_isotonic
     out = None
     for (model,) in scores.select("model").distinct().collect():
         rows = scores.filter(F.col("model") == model)
-        fit = rows.filter((F.col("split") == fit_split) & F.col("target").isNotNull()) \
-            .withColumn("label", F.col("target").cast("double"))
-        iso = IsotonicRegression(featuresCol="proba", labelCol="label", predictionCol="_cal").fit(fit)
+        iso = IsotonicRegression(featuresCol="proba", labelCol="label", weightCol="weight", predictionCol="_cal").fit(
+            _weighted(rows, fit_split))
         cal = iso.transform(rows).select(F.lit(model + suffix).alias("model"), "split", "id", "target",
                                          F.col("_cal").alias("proba"))
         out = cal if out is None else out.unionByName(cal)
@@ -54,5 +61,5 @@ def isotonic(scores: DataFrame, fit_split: str = "val", suffix: str = "_isotonic
 
 def rethreshold(calibrated: DataFrame, split: str = "val") -> DataFrame:
     """Sweep and Youden-band choice on calibrated validation scores."""
-    hist = mx.score_histogram(calibrated.filter(F.col("split") == split), ["model"])
-    return mx.best_threshold(mx.threshold_sweep(hist, ["model"]), ["model"])
+    rows = mx.labelled_rows(calibrated.filter(F.col("split") == split), ["model"])
+    return mx.best_threshold(mx.threshold_sweep(rows, ["model"]), ["model"])

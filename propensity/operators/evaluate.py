@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import rnd
+from propensity.functions.sizing import small_table
 from propensity.operators.metrics import (
     DEFAULT_TOLERANCE,
     EVAL_COLUMNS,
+    MAX_THRESHOLDS,
     best_threshold,
+    labelled_rows,
     perf_rows,
-    score_histogram,
     test_rows,
     threshold_sweep,
 )
@@ -27,15 +29,15 @@ OVERFIT_GAP = 0.02
 def chosen_thresholds(scores: DataFrame, split: str = "val", secondary: str = "accuracy",
                       tolerance: float = DEFAULT_TOLERANCE) -> DataFrame:
     """Best threshold per model on one labelled split: ``(model, threshold, youden_index, best_youden)``."""
-    hist = score_histogram(scores.filter(F.col("split") == split), ["model"])
-    best = best_threshold(threshold_sweep(hist, ["model"]), ["model"], secondary, tolerance)
+    rows = labelled_rows(scores.filter(F.col("split") == split), ["model"])
+    best = best_threshold(threshold_sweep(rows, ["model"]), ["model"], secondary, tolerance)
     return best.select("model", "threshold", "youden_index", "best_youden", "n_candidates")
 
 
 def evaluate_all(scores: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
     """Models × splits table (G1, G2): labelled splits get every metric, the test split counts only."""
     thr = thresholds if thresholds is not None else chosen_thresholds(scores)
-    thr = thr.select("model", "threshold")
+    thr = small_table(thr.select("model", "threshold"), MAX_THRESHOLDS)  # once for all splits
     labelled = scores.filter(F.col("split") != "test")
     return perf_rows(labelled, thr).unionByName(test_rows(scores, thr)).select(*EVAL_COLUMNS)
 

@@ -20,8 +20,6 @@ from propensity.functions.order import hash_bucket, md5_key, row_number_within
 from propensity.functions.quantiles import exact_quantiles
 from propensity.sources import campaign as cf
 
-MAX_LEVELS = 1000  # one-hot is for low-cardinality nominal columns; more levels is a spec error
-
 
 @dataclass(frozen=True)
 class FeatureSpec:
@@ -73,25 +71,40 @@ def dummy_name(col: str, level: str) -> str:
     return f"{col}_{re.sub(r'[^0-9A-Za-z]+', '_', level)}"
 
 
+def dummy_names(levels: dict[str, list[str]]) -> dict[tuple[str, str], str]:
+    """Column name of every (nominal, level) but the base levels. Levels that clean up to one name (``B C``,
+    ``B-C``) are numbered in level order, so no dummy hides another."""
+    names: dict[tuple[str, str], str] = {}
+    taken: set[str] = set()
+    for c, lvs in levels.items():
+        for lv in lvs[1:]:
+            name, n = dummy_name(c, lv), 1
+            while name in taken:
+                n += 1
+                name = f"{dummy_name(c, lv)}__{n}"
+            taken.add(name)
+            names[c, lv] = name
+    return names
+
+
 def fit_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct levels per nominal column from the training rows. Each read is bounded
-    (distinct → ordered top ``MAX_LEVELS + 1``, merged per task), so a high-cardinality column fails fast
-    instead of gathering its values anywhere."""
-    levels = {}
-    for c in cols:
-        got = [r[0] for r in train.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
-               .limit(MAX_LEVELS + 1).collect()]
-        if len(got) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; one-hot is for low-cardinality columns")
-        levels[c] = got
-    return levels
+    """Sorted distinct levels per nominal column from the training rows, all columns in one aggregate. One-hot
+    makes a model column per level, so the levels are as many as the model has columns."""
+    if not cols:
+        return {}
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in cols])
+    found = train.select(F.inline(items)).where(F.col("level").isNotNull()).distinct()
+    levels: dict[str, list[str]] = {c: [] for c in cols}
+    for r in found.collect():
+        levels[r["feature"]].append(r["level"])
+    return {c: sorted(lvs) for c, lvs in levels.items()}
 
 
 def one_hot_exprs(levels: dict[str, list[str]]) -> dict[str, Column]:
     """K-1 dummy columns per nominal column; the alphabetically first train level is the base.
-    Levels unseen in training give all zeros."""
-    return {dummy_name(c, lv): (F.col(c) == F.lit(lv)).cast("double")
-            for c, lvs in levels.items() for lv in lvs[1:]}
+    Levels unseen in training and NULL give all zeros."""
+    return {name: F.coalesce(F.col(c).cast("string") == F.lit(lv), F.lit(False)).cast("double")
+            for (c, lv), name in dummy_names(levels).items()}
 
 
 def fit_medians(train: DataFrame, cols: Sequence[str]) -> dict[str, float]:
@@ -182,7 +195,7 @@ def fit_preprocessor(train: DataFrame, spec: FeatureSpec = CAMPAIGN_SPEC) -> Pre
     dummies = list(one_hot_exprs(levels))
     numeric_columns = base + dummies
     num_no_impute = Preprocessor(spec, levels, {}, {}, numeric_columns).numeric(train, impute=False)
-    medians = fit_medians(num_no_impute, numeric_columns)
+    medians = fit_medians(num_no_impute, base)  # dummies are never NULL
     pre = Preprocessor(spec, levels, medians, {}, numeric_columns)
     pre.scaler = fit_scaler(pre.numeric(train), numeric_columns)
     return pre
@@ -206,15 +219,15 @@ def scale_check(scaled_train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def expand_to_columns(originals: Sequence[str], levels: dict[str, list[str]]) -> list[str]:
     """C14: original names → model columns (a nominal expands to its exact dummy list)."""
-    out = []
+    out, names = [], dummy_names(levels)
     for c in originals:
-        out += [dummy_name(c, lv) for lv in levels[c][1:]] if c in levels else [c]
+        out += [names[c, lv] for lv in levels[c][1:]] if c in levels else [c]
     return out
 
 
 def columns_to_originals(columns: Sequence[str], levels: dict[str, list[str]]) -> list[str]:
     """Model columns → original names, first occurrence wins."""
-    back = {dummy_name(c, lv): c for c, lvs in levels.items() for lv in lvs[1:]}
+    back = {name: c for (c, _), name in dummy_names(levels).items()}
     seen: list[str] = []
     for c in columns:
         o = back.get(c, c)

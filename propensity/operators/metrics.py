@@ -1,10 +1,11 @@
 """Metrics and thresholds (F1–F15) for many models at once.
 
-Every metric starts from one shuffle: the score histogram, one row per (group, distinct score) with its
-positive and negative counts (partial aggregation runs map-side, so a score shared by a third of the rows
-costs nothing extra). Ranking metrics need running sums in score order; those come from
-``cumulative_within``, which never puts a whole group into one task. The threshold sweep is one more
-small aggregation over the histogram, never rows × thresholds.
+Ranking metrics start from the score histogram, one row per (group, distinct score) with its positive and
+negative counts (partial aggregation runs map-side, so a score shared by a third of the rows costs nothing
+extra), and need running sums in score order; those come from ``cumulative_within``, which never puts a whole
+group into one task. Threshold and calibration metrics don't need distinct scores: given the narrow
+``labelled_rows`` they aggregate on 82 threshold steps, 10 bins or 4 cells per group before the shuffle, so
+continuous scores move no more rows than coarse ones. Both inputs have the same columns.
 """
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import (
+    CALIBRATION_BINS,
     THRESHOLD_K_MAX,
     THRESHOLD_K_MIN,
     calibration_bin,
@@ -22,8 +24,10 @@ from propensity.functions.exprs import (
     threshold_index,
 )
 from propensity.functions.order import cumulative_within, score_bucket
+from propensity.functions.sizing import small_table
 
 DEFAULT_TOLERANCE = 0.02
+MAX_THRESHOLDS = 100_000  # one row per model (and run)
 SWEEP_METRICS = ("accuracy", "precision", "recall", "specificity", "f1", "youden_index")
 
 
@@ -37,6 +41,12 @@ def score_histogram(scores: DataFrame, group_cols: Sequence[str], target: str =
     )
 
 
+def labelled_rows(scores: DataFrame, group_cols: Sequence[str], target: str = "target", proba: str = "proba") -> DataFrame:
+    """``(group..., proba, pos, neg)`` with one row per labelled row: a projection, no shuffle."""
+    return scores.filter(F.col(target).isNotNull()).select(
+        *group_cols, F.col(proba).alias("proba"), F.col(target).cast("long").alias("pos"), (1 - F.col(target)).cast("long").alias("neg"))
+
+
 def group_totals(hist: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     return hist.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
@@ -78,20 +88,25 @@ def ranking_metrics(hist: DataFrame, group_cols: Sequence[str], decimals: int |
 
 
 def calibration_table(hist: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Per (group, bin): count, mean score, fraction positive (reliability diagram data, F8)."""
+    """Per (group, bin): count, mean score, fraction positive (reliability diagram data, F8). Every group has all
+    bins; an empty one has count 0 and NULL means."""
+    g = list(group_cols)
     n = F.col("pos") + F.col("neg")
-    return (
+    bins = (
         hist.withColumn("bin", calibration_bin(F.col("proba")))
-        .groupBy(*group_cols, "bin")
+        .groupBy(*g, "bin")
         .agg(F.sum(n).alias("n"), F.sum(F.col("proba") * n).alias("_sum_p"), F.sum("pos").alias("_sum_y"))
-        .select(*group_cols, "bin", "n",
-                (F.col("_sum_p") / F.col("n")).alias("mean_proba"),
-                (F.col("_sum_y") / F.col("n")).alias("frac_positive"))
     )
+    filled = bins.groupBy(*g).agg(F.collect_list(F.struct("bin", "n", "_sum_p", "_sum_y")).alias("_have"))  # ten at most
+    every = F.transform(F.sequence(F.lit(0), F.lit(CALIBRATION_BINS - 1)), lambda b: F.struct(
+        b.alias("bin"), F.get(F.filter("_have", lambda x: x["bin"] == b), F.lit(0)).alias("x")))
+    return filled.select(*g, F.inline(every)).select(
+        *g, "bin", F.coalesce("x.n", F.lit(0)).alias("n"),
+        (F.col("x._sum_p") / F.col("x.n")).alias("mean_proba"), (F.col("x._sum_y") / F.col("x.n")).alias("frac_positive"))
 
 
 def expected_calibration_error(hist: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """ECE (F7): bins weighted by their share of rows; empty bins never appear, so they are skipped."""
+    """ECE (F7): bins weighted by their share of rows; empty bins weigh nothing."""
     g = list(group_cols)
     bins = calibration_table(hist, g)
     w = F.col("n") * F.abs(F.col("mean_proba") - F.col("frac_positive"))
@@ -184,7 +199,7 @@ def threshold_band(sweep: DataFrame, group_cols: Sequence[str], secondary: str =
 def confusion_at(hist: DataFrame, thresholds: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
     """tn, fp, fn, tp per group at a threshold per ``key_cols`` (F9), from the histogram."""
     g = list(group_cols)
-    decided = hist.join(thresholds, list(key_cols)).withColumn("_yes", F.col("proba") >= F.col("threshold"))
+    decided = hist.join(small_table(thresholds, MAX_THRESHOLDS), list(key_cols)).withColumn("_yes", F.col("proba") >= F.col("threshold"))
     return decided.groupBy(*g, "threshold").agg(
         F.sum(F.when(~F.col("_yes"), F.col("neg")).otherwise(0)).cast("long").alias("tn"),
         F.sum(F.when(F.col("_yes"), F.col("neg")).otherwise(0)).cast("long").alias("fp"),
@@ -205,7 +220,7 @@ def perf_rows(scores: DataFrame, thresholds: DataFrame, decimals: int = 4, keys:
     k = list(keys)
     g = [*k, "split"]
     hist = score_histogram(scores, g)
-    conf = confusion_at(hist, thresholds, g, k)
+    conf = confusion_at(labelled_rows(scores, g), thresholds, g, k)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     rates = _rates(tp, fp, fn, tn, decimals)
     dec = conf.select(*g, rnd("threshold", decimals).alias("threshold"),
@@ -226,7 +241,7 @@ def test_rows(scores: DataFrame, thresholds: DataFrame, split: str = "test", dec
               keys: Sequence[str] = ("model",)) -> DataFrame:
     """Unlabelled split (F14): counts only; every label-based metric is NULL."""
     k = list(keys)
-    rows = scores.filter(F.col("split") == split).join(thresholds, k)
+    rows = scores.filter(F.col("split") == split).join(small_table(thresholds, MAX_THRESHOLDS), k)
     agg = rows.groupBy(*k, "threshold").agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.sum(F.when(F.col("proba") >= F.col("threshold"), 1).otherwise(0)).cast("long").alias("n_positive"),
@@ -241,4 +256,4 @@ def test_rows(scores: DataFrame, thresholds: DataFrame, split: str = "test", dec
 
 def decide(scores: DataFrame, thresholds: DataFrame, proba: str = "proba") -> DataFrame:
     """Decision at threshold (F15): ``proba >= t`` as 0/1, per row; a narrow projection."""
-    return scores.join(thresholds, "model").withColumn("decision", (F.col(proba) >= F.col("threshold")).cast("int"))
+    return scores.join(small_table(thresholds, MAX_THRESHOLDS), "model").withColumn("decision", (F.col(proba) >= F.col("threshold")).cast("int"))

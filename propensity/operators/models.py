@@ -33,23 +33,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import rnd
-from propensity.operators.features import Preprocessor
+from propensity.operators.features import Preprocessor, columns_to_originals
 
 SEED = 42
 
 
 # ── model inputs ──────────────────────────────────────────────────────────────────────────────────
 
-def tree_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> tuple[DataFrame, list[str]]:
-    """Tree variant: imputed ordinal/numeric columns plus the raw nominal strings (indexed in the pipeline)."""
-    dummies = {c for c in pre.numeric_columns if c not in pre.spec.tree_columns()}
-    base = [c for c in pre.numeric_columns if c not in dummies]
-    num = pre.numeric(df, keep=[*keep, *pre.spec.nominal])
-    return num.select(*keep, *base, *pre.spec.nominal), base
+KEEP = ("id", "split", "target")
 
 
-def scaled_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> tuple[DataFrame, list[str]]:
-    return pre.scaled(df, keep=list(keep)), list(pre.numeric_columns)
+def missing_flag(col: str) -> str:
+    return f"{col}__missing"
+
+
+def tree_columns(pre: Preprocessor, columns: Sequence[str] | None = None) -> tuple[list[str], list[str]]:
+    """(ordinal/numeric columns, nominal columns) of the tree variant. ``columns`` (selected model columns, dummies
+    included) maps back to the columns they come from."""
+    wanted = set(columns_to_originals(columns, pre.levels)) if columns is not None else None
+    every = pre.spec.tree_columns()
+    own = [c for c in every if wanted is None or c in wanted]
+    return [c for c in own if c not in pre.spec.nominal], [c for c in own if c in pre.spec.nominal]
+
+
+def tree_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = KEEP, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Tree variant: imputed ordinal/numeric columns, an indicator for each that has a median to impute (trees have no
+    missing branch of their own), and the raw nominal strings (indexed in the pipeline)."""
+    base, nominal = tree_columns(pre, columns)
+    flagged = [c for c in base if pre.medians.get(c) is not None]
+    raw = pre.numeric(df, keep=[*keep, *nominal], impute=False)
+    out = raw.select(*keep, *[F.coalesce(F.col(c), F.lit(float(pre.medians.get(c) or 0.0))).alias(c) for c in base],
+                     *[F.col(c).isNull().cast("double").alias(missing_flag(c)) for c in flagged], *nominal)
+    return out, [*base, *map(missing_flag, flagged)]
+
+
+def scaled_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = KEEP, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    own = list(pre.numeric_columns) if columns is None else [c for c in pre.numeric_columns if c in set(columns)]
+    return pre.scaled(df, keep=list(keep)).select(*keep, *own), own
 
 
 def with_label(df: DataFrame, target: str = "target") -> DataFrame:
@@ -111,11 +131,11 @@ TRAINERS = {
 }
 
 DEFAULT_PARAMS = {
-    "gbt_leafwise": {"num_leaves": 15, "learning_rate": 0.1, "n_estimators": 20, "feature_fraction": 1.0,
+    "gbt_leafwise": {"num_leaves": 31, "learning_rate": 0.1, "n_estimators": 100, "feature_fraction": 1.0,
                      "bagging_fraction": 1.0, "min_child_samples": 20},
-    "gbt_depthwise": {"max_depth": 4, "eta": 0.1, "n_estimators": 20, "subsample": 1.0, "colsample_bytree": 1.0,
+    "gbt_depthwise": {"max_depth": 6, "eta": 0.1, "n_estimators": 100, "subsample": 1.0, "colsample_bytree": 1.0,
                       "min_child_weight": 1},
-    "mlp": {"hidden": [64], "max_iter": 50, "step_size": 0.03},
+    "mlp": {"n_layers": 1, "hidden_size": 64, "max_iter": 50, "step_size": 0.01},
     "svc_linear": {"C": 1.0, "max_iter": 50},
     "svc_poly": {"C": 1.0, "degree": 2, "max_iter": 50},
     "svc_rff": {"C": 1.0, "kernel": "rbf", "length_scale": 3.0, "n_features": 100, "max_iter": 50},
@@ -123,31 +143,37 @@ DEFAULT_PARAMS = {
 }
 
 
-def _gbt(params: dict, name: str) -> GBTClassifier:
+MIN_BINS = 64
+
+
+def _gbt(params: dict, name: str, max_levels: int) -> GBTClassifier:
+    """``max_levels``: levels of the widest nominal column (with one for unseen); a tree needs as many bins."""
+    bins = max(MIN_BINS, max_levels + 1)
     if name == "gbt_leafwise":
-        depth = max(1, min(10, math.ceil(math.log2(max(2, int(params["num_leaves"]))))))
+        depth = max(1, math.ceil(math.log2(max(2, int(params["num_leaves"])))))
         return GBTClassifier(maxDepth=depth, stepSize=float(params["learning_rate"]), maxIter=int(params["n_estimators"]),
                              featureSubsetStrategy=str(float(params["feature_fraction"])) if params["feature_fraction"] < 1 else "all",
                              subsamplingRate=float(params["bagging_fraction"]),
-                             minInstancesPerNode=int(params["min_child_samples"]), maxBins=64, seed=SEED)
+                             minInstancesPerNode=int(params["min_child_samples"]), maxBins=bins, seed=SEED)
     return GBTClassifier(maxDepth=int(params["max_depth"]), stepSize=float(params["eta"]), maxIter=int(params["n_estimators"]),
                          featureSubsetStrategy=str(float(params["colsample_bytree"])) if params["colsample_bytree"] < 1 else "all",
                          subsamplingRate=float(params["subsample"]), minInstancesPerNode=int(params["min_child_weight"]),
-                         maxBins=64, seed=SEED)
+                         maxBins=bins, seed=SEED)
 
 
-def build_pipeline(name: str, params: dict, input_cols: Sequence[str], nominal: Sequence[str], n_rows: int) -> Pipeline:
+def build_pipeline(name: str, params: dict, input_cols: Sequence[str], nominal: Sequence[str], n_rows: int,
+                   max_levels: int = 0) -> Pipeline:
     """Stages from the model input columns to a ``probability`` column."""
     p = {**DEFAULT_PARAMS[name], **params}
     if name.startswith("gbt"):
         idx = [f"{c}__idx" for c in nominal]
         return Pipeline(stages=[
-            StringIndexer(inputCols=list(nominal), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            VectorAssembler(inputCols=[*input_cols, *idx], outputCol="features", handleInvalid="keep"),
-            _gbt(p, name),
+            *([StringIndexer(inputCols=list(nominal), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc")] if nominal else []),
+            VectorAssembler(inputCols=[*input_cols, *idx], outputCol="features", handleInvalid="error"),
+            _gbt(p, name, max_levels),
         ])
     if name == "mlp":
-        layers = [len(input_cols), *[int(h) for h in p["hidden"]], 2]
+        layers = [len(input_cols), *[int(p["hidden_size"])] * int(p["n_layers"]), 2]
         return Pipeline(stages=[VectorAssembler(inputCols=list(input_cols), outputCol="features"),
                                 MultilayerPerceptronClassifier(layers=layers, maxIter=int(p["max_iter"]),
                                                                stepSize=float(p["step_size"]), seed=SEED)])
@@ -177,9 +203,12 @@ class FittedModel:
     input_cols: list[str]
     variant: str
     fourier: tuple[np.ndarray, np.ndarray] | None = None
+    columns: list[str] | None = None  # selected model columns; None: all
 
     def prepare(self, pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> DataFrame:
-        inp = tree_input(pre, df, keep)[0] if self.variant == "tree" else scaled_input(pre, df, keep)[0]
+        if self.variant not in ("tree", "scaled"):
+            raise ValueError(f"unknown variant {self.variant!r}; a run is saved as 'tree' or 'scaled'")
+        inp = (tree_input if self.variant == "tree" else scaled_input)(pre, df, keep, self.columns)[0]
         if self.fourier is not None:
             inp = fourier_features(inp, self.input_cols, *self.fourier)
         return inp
@@ -194,8 +223,9 @@ class FittedModel:
 
 
 def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None,
-              early_stop: DataFrame | None = None, validation_tol: float = 0.01) -> FittedModel:
-    """Fit one trainer on the training rows (``train`` holds raw campaign columns).
+              early_stop: DataFrame | None = None, validation_tol: float = 0.01, columns: Sequence[str] | None = None) -> FittedModel:
+    """Fit one trainer on the training rows (``train`` holds raw campaign columns), on the selected model ``columns``
+    if they are given.
 
     E13: with ``early_stop`` (validation rows) a boosting model trains on train + validation rows with
     ``validationIndicatorCol`` and stops once the validation loss no longer improves by ``validation_tol``."""
@@ -204,17 +234,19 @@ def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | Non
     if early_stop is not None and name.startswith("gbt"):
         train = train.withColumn("_is_val", F.lit(False)).unionByName(early_stop.withColumn("_is_val", F.lit(True)))
     inp, cols = (tree_input if tr.variant == "tree" else scaled_input)(
-        pre, train, keep=("id", "split", "target", *(["_is_val"] if "_is_val" in train.columns else [])))
+        pre, train, (*KEEP, *(["_is_val"] if "_is_val" in train.columns else [])), columns)
     fourier = None
     if name in ("svc_rff", "rff_logistic"):
         fourier = fourier_weights(len(cols), int(p["n_features"]), p["kernel"], float(p["length_scale"]), SEED)
         inp = fourier_features(inp, cols, *fourier)
     n_rows = inp.count() if name.startswith("svc") else 1
-    pipe = build_pipeline(name, p, cols, pre.spec.nominal, n_rows)
+    nominal = tree_columns(pre, columns)[1]
+    widest = max((len(pre.levels.get(c, ())) + 1 for c in nominal), default=0)
+    pipe = build_pipeline(name, p, cols, nominal, n_rows, widest)
     if "_is_val" in inp.columns:
         pipe.getStages()[-1].setValidationIndicatorCol("_is_val").set(pipe.getStages()[-1].validationTol, validation_tol)
     model = pipe.fit(with_label(inp))
-    return FittedModel(name, p, model, cols, tr.variant, fourier)
+    return FittedModel(name, p, model, cols, tr.variant, fourier, None if columns is None else list(columns))
 
 
 def gbt_stage(fitted: FittedModel):
@@ -224,11 +256,14 @@ def gbt_stage(fitted: FittedModel):
 def feature_importance(fitted: FittedModel) -> list[tuple[str, float]]:
     """Tree importances as percentages (2 dp) over the assembled input names, sorted desc."""
     gbt = gbt_stage(fitted)
-    names = [*fitted.input_cols, *[f"{c}__idx" for c in fitted.pipeline.stages[0].getInputCols()]]
+    assembler = fitted.pipeline.stages[-2]
     imp = gbt.featureImportances.toArray()
     total = float(imp.sum()) or 1.0
-    rows = [(n.removesuffix("__idx"), round(float(v) / total * 100.0, 2)) for n, v in zip(names, imp)]
-    return sorted(rows, key=lambda r: (-r[1], r[0]))
+    rows: dict[str, float] = {}
+    for n, v in zip(assembler.getInputCols(), imp):  # a column and its missing indicator count together
+        name = n.removesuffix("__idx").removesuffix(missing_flag(""))
+        rows[name] = rows.get(name, 0.0) + float(v)
+    return sorted(((n, round(v / total * 100.0, 2)) for n, v in rows.items()), key=lambda r: (-r[1], r[0]))
 
 
 def staged_history(fitted: FittedModel, pre: Preprocessor, df: DataFrame, target: str = "target") -> DataFrame:

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propensity.functions.exprs import rnd, safe_corr
-from propensity.functions.quantiles import long_values, quantiles_from_counts, value_counts_with_buckets
+from propensity.functions.quantiles import long_values, number, quantiles_from_counts, value_counts_with_buckets
+from propensity.functions.sizing import small_table
+from propensity.session import materialize
 
 HIST_BINS = 40
+MAX_CLASSES = 10_000
 STAT_DECIMALS = 6
 
 
@@ -47,7 +50,7 @@ def moments(df: DataFrame, num: Sequence[str], cat: Sequence[str]) -> DataFrame:
     ``sqrt(n(n-1))/(n-2)``); ``std`` is the sample standard deviation."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in num:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [
             F.count(x).alias(f"{c}__cnt"),
             F.sum(F.when(x == 0, 1).otherwise(0)).cast("long").alias(f"{c}__zeros"),
@@ -81,13 +84,12 @@ def moments(df: DataFrame, num: Sequence[str], cat: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*items)))
 
 
-def string_counts(df: DataFrame, cat: Sequence[str]) -> DataFrame:
-    """``(feature, value, count)`` for every string column in one unpivot + aggregate."""
+def string_counts(df: DataFrame, cat: Sequence[str], nulls: bool = False) -> DataFrame:
+    """``(feature, value, count)`` for every string column in one unpivot + aggregate; with ``nulls`` NULL counts as
+    a value, so a column's counts add up to all rows."""
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cat])
-    return (
-        df.select(F.inline(items)).filter(F.col("value").isNotNull())
-        .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    )
+    long = df.select(F.inline(items))
+    return (long if nulls else long.filter(F.col("value").isNotNull())).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
 def profile_numeric_approx(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
@@ -113,8 +115,9 @@ def profile_numeric_approx(df: DataFrame, cols: Sequence[str] | None = None, acc
 def profile_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """B1 for numeric columns: counts, missing, zeros, mean, std, min, quartiles, max, skew."""
     num = list(cols) if cols is not None else column_kinds(df)[0]
+    df = materialize(df.select(*num))  # read for edges, counts and moments
     mom = moments(df, num, [])
-    counts = value_counts_with_buckets(df, num)
+    counts = materialize(value_counts_with_buckets(df, num))  # one row per distinct value
     q = quantiles_from_counts(counts, [0.25, 0.5, 0.75], ["q25", "median", "q75"])
     uniq = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
     d = STAT_DECIMALS
@@ -180,9 +183,10 @@ def missing(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per string column and value, count and percentage of all rows (NULLs not listed)."""
     cat = list(cols) if cols is not None else column_kinds(df)[1]
-    n = F.lit(df.count())  # a scalar, computed once
-    return string_counts(df, cat).select(
-        "feature", "value", F.col("count").cast("long").alias("count"), _pct(F.col("count"), n).alias("pct"))
+    counts = string_counts(df, cat, nulls=True)
+    rows = F.broadcast(counts.groupBy("feature").agg(F.sum("count").alias("_n")))  # one row per column
+    return counts.filter(F.col("value").isNotNull()).join(rows, "feature").select(
+        "feature", "value", F.col("count").cast("long").alias("count"), _pct(F.col("count"), F.col("_n")).alias("pct"))
 
 
 def histograms(df: DataFrame, cols: Sequence[str] | None = None, bins: int = HIST_BINS) -> DataFrame:
@@ -210,9 +214,9 @@ def histograms(df: DataFrame, cols: Sequence[str] | None = None, bins: int = HIS
 
 def target_distribution(df: DataFrame, target: str = "target") -> DataFrame:
     """Rows per class and their share."""
-    n = F.lit(df.count())  # a scalar, computed once
-    return df.groupBy(target).agg(F.count(F.lit(1)).alias("count")).select(
-        F.col(target).alias("target"), "count", rnd(F.col("count") / n).alias("share"))
+    counts = small_table(df.groupBy(target).agg(F.count(F.lit(1)).alias("count")), MAX_CLASSES)
+    n = F.lit(counts.agg(F.sum("count")).first()[0])  # the sum of the class counts
+    return counts.select(F.col(target).alias("target"), "count", rnd(F.col("count") / n).alias("share"))
 
 
 def corr_with_target(df: DataFrame, target: str = "target", cols: Sequence[str] | None = None) -> DataFrame:

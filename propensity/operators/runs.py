@@ -7,12 +7,13 @@ window and pivot queries over those tables, never loops over folders.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import rnd, safe_corr
-from propensity.functions.sizing import broadcast_if_bounded
+from propensity.functions.sizing import broadcast_if_bounded, small_table
 from propensity.operators import evaluate as ev
 from propensity.operators import metrics as mx
 
@@ -20,9 +21,9 @@ MAX_RUNS_BROADCAST = 100_000
 RUN_KEYS = ["run_id", "model"]
 
 
-def run_id(ts: str, model: str, tag: str = "search") -> str:
+def run_id(model: str, tag: str = "search", at: datetime | None = None) -> str:
     """``<yyyymmdd_hhmmss>_<model>_<tag>``: sorts by time as a string."""
-    return f"{ts}_{model}_{tag}"
+    return f"{at or datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{model}_{tag}"
 
 
 def runs_descriptor(spark: SparkSession, runs: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -32,8 +33,8 @@ def runs_descriptor(spark: SparkSession, runs: Sequence[tuple[str, str, str]]) -
 
 def run_thresholds(scores: DataFrame, runs: DataFrame, secondary: str = "accuracy") -> DataFrame:
     """Best threshold of each run on the split the run tunes on."""
-    hist = mx.score_histogram(scores.filter(F.col("split") != "test"), ["model", "split"])
-    best = mx.best_threshold(mx.threshold_sweep(hist, ["model", "split"]), ["model", "split"], secondary)
+    rows = mx.labelled_rows(scores.filter(F.col("split") != "test"), ["model", "split"])
+    best = mx.best_threshold(mx.threshold_sweep(rows, ["model", "split"]), ["model", "split"], secondary)
     return best.join(broadcast_if_bounded(runs, MAX_RUNS_BROADCAST),
                      (best.model == runs.model) & (best.split == runs.threshold_split)) \
         .select("run_id", best.model, "threshold", "youden_index", "best_youden")
@@ -47,7 +48,7 @@ def run_scores(scores: DataFrame, runs: DataFrame) -> DataFrame:
 
 def run_evaluation(rscores: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Per run, model and split: the evaluation row (G1, G2) with ``run_id`` in front."""
-    thr = thresholds.select(*RUN_KEYS, "threshold")
+    thr = small_table(thresholds.select(*RUN_KEYS, "threshold"), MAX_RUNS_BROADCAST)
     labelled = rscores.filter(F.col("split") != "test")
     return mx.perf_rows(labelled, thr, keys=RUN_KEYS).unionByName(mx.test_rows(rscores, thr, keys=RUN_KEYS))
 
@@ -97,7 +98,7 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 def combined_roc(rscores: DataFrame, runs: DataFrame) -> DataFrame:
     """ROC points and area of every model's latest run, scores joined to labels by id."""
     latest = latest_runs(runs)
-    val = rscores.filter(F.col("split") == "val").join(broadcast_if_bounded(latest, MAX_RUNS_BROADCAST), RUN_KEYS)
+    val = rscores.filter(F.col("split") == "val").join(small_table(latest, MAX_RUNS_BROADCAST), RUN_KEYS)
     hist = mx.score_histogram(val, RUN_KEYS)
     auc = mx.ranking_metrics(hist, RUN_KEYS).select(*RUN_KEYS, rnd("roc_auc").alias("roc_auc"))
     pts = mx.roc_points(hist, RUN_KEYS)
@@ -107,13 +108,13 @@ def combined_roc(rscores: DataFrame, runs: DataFrame) -> DataFrame:
 
 # ── importances ───────────────────────────────────────────────────────────────────────────────────
 
-def score_input_importance(rscores: DataFrame, frame: DataFrame, features: Sequence[str], min_abs: float = 0.05) -> DataFrame:
+def score_input_importance(rscores: DataFrame, frame: DataFrame, features: Sequence[str]) -> DataFrame:
     """Model-agnostic importance per run: ``|corr(feature, proba)|`` on validation rows, as a percentage
-    of the run's total; features under ``min_abs`` are not reported (so runs list different features)."""
+    of the run's total; a feature without a defined correlation (constant score) is not reported."""
     val = rscores.filter(F.col("split") == "val").join(frame.select("id", *features), "id")
     wide = val.groupBy("run_id").agg(*[F.abs(safe_corr(F.col(f).cast("double"), F.col("proba"))).alias(f) for f in features])
     items = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("imp")) for f in features])
-    long = wide.select("run_id", F.inline(items)).filter(F.col("imp") >= min_abs)
+    long = wide.select("run_id", F.inline(items)).filter(F.col("imp").isNotNull())
     total = long.groupBy("run_id").agg(F.sum("imp").alias("_t"))
     return long.join(total, "run_id").select("run_id", "feature", rnd(F.col("imp") / F.col("_t") * 100.0, 4).alias("importance_pct"))
 

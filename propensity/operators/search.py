@@ -23,22 +23,23 @@ from propensity.functions.order import hash_bucket, row_number_within
 from propensity.operators import metrics as mx
 from propensity.operators import models as md
 from propensity.operators.features import Preprocessor, stratified_kfold
+from propensity.session import materialize
 
 OVERFIT_PENALTY = 0.5
+BASELINE_TREES = 200  # fixed value: trees of the permutation-importance baseline
 
-# Search spaces: ("int", low, high, step) | ("float", low, high, log) | ("choice", options)
+# Search ranges, ("int", low, high, step) | ("float", low, high, log) | ("choice", options).
 SPACES = {
-    "gbt_leafwise": {"num_leaves": ("int", 7, 63, 8), "learning_rate": ("float", 0.02, 0.3, True),
-                     "n_estimators": ("int", 10, 40, 10), "feature_fraction": ("float", 0.6, 1.0, False),
-                     "bagging_fraction": ("float", 0.6, 1.0, False), "min_child_samples": ("int", 5, 50, 5)},
-    "gbt_depthwise": {"max_depth": ("int", 3, 6, 1), "eta": ("float", 0.02, 0.3, True), "n_estimators": ("int", 10, 40, 10),
-                      "subsample": ("float", 0.6, 1.0, False), "colsample_bytree": ("float", 0.6, 1.0, False),
-                      "min_child_weight": ("int", 1, 10, 1)},
-    "mlp": {"hidden": ("choice", [[32], [64], [64, 32]]), "step_size": ("float", 0.01, 0.1, True),
-            "max_iter": ("int", 30, 80, 10)},
-    "svc_linear": {"C": ("float", 0.01, 10.0, True)},
-    "svc_poly": {"C": ("float", 0.01, 10.0, True), "degree": ("choice", [2, 3])},
-    "svc_rff": {"C": ("float", 0.01, 10.0, True), "kernel": ("choice", ["rbf", "matern", "rq"]),
+    "gbt_leafwise": {"n_estimators": ("int", 100, 2000, 50), "learning_rate": ("float", 1e-3, 0.3, True),
+                     "num_leaves": ("int", 20, 300, 10), "min_child_samples": ("int", 10, 200, 10),
+                     "feature_fraction": ("float", 0.4, 1.0, False), "bagging_fraction": ("float", 0.4, 1.0, False)},
+    "gbt_depthwise": {"n_estimators": ("int", 100, 2000, 50), "max_depth": ("int", 3, 10, 1), "eta": ("float", 1e-3, 0.3, True),
+                      "subsample": ("float", 0.4, 1.0, False), "colsample_bytree": ("float", 0.3, 1.0, False),
+                      "min_child_weight": ("int", 1, 50, 1)},
+    "mlp": {"n_layers": ("int", 1, 3, 1), "hidden_size": ("choice", [64, 128, 256]), "step_size": ("float", 1e-4, 1e-2, True)},
+    "svc_linear": {"C": ("float", 1e-2, 100.0, True)},
+    "svc_poly": {"C": ("float", 1e-2, 100.0, True), "degree": ("int", 2, 5, 1)},
+    "svc_rff": {"C": ("float", 1e-2, 100.0, True), "kernel": ("choice", ["rbf", "matern", "rq"]),
                 "length_scale": ("float", 0.5, 5.0, True)},
     "rff_logistic": {"kernel": ("choice", ["rbf", "matern", "rq"]), "length_scale": ("float", 0.5, 5.0, True),
                      "reg": ("float", 1e-4, 1e-1, True)},
@@ -70,20 +71,22 @@ def auc_by_split(scores: DataFrame) -> dict[str, float]:
     return {r["split"]: r["roc_auc"] for r in mx.ranking_metrics(hist, ["split"]).select("split", "roc_auc").collect()}
 
 
-def evaluate_trial(name: str, pre: Preprocessor, train: DataFrame, val: DataFrame, params: dict) -> tuple[float, dict]:
-    fitted = md.fit_model(name, pre, train, params)
+def evaluate_trial(name: str, pre: Preprocessor, train: DataFrame, val: DataFrame, params: dict,
+                   columns: Sequence[str] | None = None) -> tuple[float, dict]:
+    """One trial: fit (a boosting model stops early on the validation rows) and measure both splits."""
+    fitted = md.fit_model(name, pre, train, params, early_stop=val, columns=columns)
     aucs = auc_by_split(fitted.score(pre, train.unionByName(val)))
     return objective(aucs["val"], aucs["train"]), aucs
 
 
 def cv_objective(name: str, pre: Preprocessor, labelled: DataFrame, params: dict, k: int = 5) -> tuple[float, list[dict]]:
-    """Folds over train+val (``fold`` column); mean validation AUC minus the penalty on the *mean* gap."""
-    folds = stratified_kfold(labelled, k)
+    """Folds over train+val (``fold`` column, written once); mean validation AUC minus the penalty on the *mean* gap."""
+    folds = materialize(stratified_kfold(labelled, k))
     per = []
     for f in range(k):
         tr = folds.filter(F.col("fold") != f).drop("fold").withColumn("split", F.lit("train"))
         va = folds.filter(F.col("fold") == f).drop("fold").withColumn("split", F.lit("val"))
-        fitted = md.fit_model(name, pre, tr, params)
+        fitted = md.fit_model(name, pre, tr, params, early_stop=va)
         aucs = auc_by_split(fitted.score(pre, tr.unionByName(va)))
         per.append({"fold": f, "val_auc": aucs["val"], "train_auc": aucs["train"]})
     mv = sum(p["val_auc"] for p in per) / k
@@ -92,19 +95,24 @@ def cv_objective(name: str, pre: Preprocessor, labelled: DataFrame, params: dict
 
 
 def random_search(name: str, pre: Preprocessor, train: DataFrame, val: DataFrame, n_trials: int = 30, seed: int = 42,
-                  parallelism: int = 4) -> tuple[dict, DataFrame]:
+                  parallelism: int = 4, columns: Sequence[str] | None = None) -> tuple[dict, DataFrame]:
     """Seeded random search; returns the best parameters and the trials table
-    ``(number, value, datetime_start, datetime_complete, duration, params, state)``."""
+    ``(number, value, datetime_start, datetime_complete, duration, params, state)``.
+
+    A trial that fails is recorded as such and the study goes on; a study without any complete trial raises the
+    first failure."""
     rng = random.Random(seed)
     drawn = [sample(SPACES[name], rng) for _ in range(n_trials)]
+    failures: list[Exception] = []
 
     def run(i: int):
         start = datetime.now(timezone.utc)
         t0 = time.time()
         try:
-            value, _ = evaluate_trial(name, pre, train, val, drawn[i])
+            value, _ = evaluate_trial(name, pre, train, val, drawn[i], columns)
             state = "COMPLETE"
-        except Exception:  # noqa: BLE001 - a failed trial is recorded, the study goes on
+        except Exception as e:  # noqa: BLE001 - recorded in the table, raised below if nothing worked
+            failures.append(e)
             value, state = None, "FAIL"
         return (i, value, start, datetime.now(timezone.utc), time.time() - t0,
                 {k: str(v) for k, v in drawn[i].items()}, state)
@@ -115,8 +123,9 @@ def random_search(name: str, pre: Preprocessor, train: DataFrame, val: DataFrame
     trials = spark.createDataFrame(rows, "number int, value double, datetime_start timestamp, datetime_complete timestamp, "
                                          "duration double, params map<string,string>, state string")
     done = [r for r in rows if r[1] is not None]
-    best = max(done, key=lambda r: (r[1], -r[0])) if done else None
-    return (drawn[best[0]] if best else {}), trials
+    if not done:
+        raise RuntimeError(f"all {n_trials} trials of {name} failed") from failures[0]
+    return drawn[max(done, key=lambda r: (r[1], -r[0]))[0]], trials
 
 
 # ── permutation importance (D6, D7) ───────────────────────────────────────────────────────────────
@@ -127,33 +136,47 @@ def _baseline(train: DataFrame, cols: Sequence[str], n_estimators: int, seed: in
     return pipe.fit(train.withColumn("label", F.col("target").cast("double")))
 
 
-def permutation_importance(train: DataFrame, val: DataFrame, cols: Sequence[str], repeats: int = 5,
-                           n_estimators: int = 20, seed: int = 42, id_col: str = "id") -> DataFrame:
+def _steps(n: int, repeats: int, seed: int) -> list[tuple[int, int]]:
+    """One affine permutation ``(a * i + b) mod n`` of 0 … n-1 per repeat (a coprime to n, not 1 where possible)."""
+    rng, out = random.Random(seed), []
+    while len(out) < repeats:
+        a, b = rng.randrange(1, max(2, n)), rng.randrange(max(1, n))
+        if math.gcd(a, n) == 1 and (a != 1 or n < 4):
+            out.append((a, b))
+    return out
+
+
+def permutation_importance(train: DataFrame, val: DataFrame, cols: Sequence[str], repeats: int = 5, n_estimators: int = BASELINE_TREES,
+                           seed: int = 42, id_col: str = "id", parallelism: int = 4) -> DataFrame:
     """Drop in validation AUC when one column is shuffled, mean and population std over repeats.
 
-    Every (column, repeat) permutation is built at once: the value at rank i of ``md5(id, column, repeat)``
-    moves to the row at rank i of ``md5(id, seed)``, ranks computed per group with bucket offsets. All
-    permuted copies are scored in one transform and measured by one grouped AUC."""
+    Validation rows are ranked once in md5 order (a random order) and written; repeat k gives the row at rank i the
+    column's value from rank ``(a_k * i + b_k) mod n``. One job per column joins that narrow column back, scores
+    the repeats and measures them; only one AUC per repeat reaches the driver."""
     cols = list(cols)
     model = _baseline(train, cols, n_estimators, seed)
-    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
-    long = val.select(id_col, F.inline(items)).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    src_key = F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.col("feature"), F.col("repeat").cast("string")))
-    src = row_number_within(long.withColumn("_h", src_key), ["feature", "repeat"], [F.col("_h"), F.col(id_col)],
-                            hash_bucket(F.col("_h")), out="rank").select("feature", "repeat", "rank", "v")
-    dst_key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
-    dst = row_number_within(val.select(id_col).withColumn("_h", dst_key), [], [F.col("_h"), F.col(id_col)],
-                            hash_bucket(F.col("_h")), out="rank").select(id_col, "rank")
-    moved = src.join(dst, "rank").select(id_col, "feature", "repeat", F.col("v").alias("_pv"))
-    copies = moved.join(val.select(id_col, "target", *cols), id_col).select(
-        "feature", "repeat", "target", *[F.when(F.col("feature") == c, F.col("_pv")).otherwise(F.col(c)).alias(c) for c in cols])
-    scored = model.transform(copies).select("feature", "repeat", "target", md.positive_proba().alias("proba"))
-    perm_auc = mx.ranking_metrics(mx.score_histogram(scored, ["feature", "repeat"]), ["feature", "repeat"]) \
-        .select("feature", "repeat", "roc_auc")
-    base = model.transform(val.select("target", *cols)).select(F.lit(0).alias("g"), "target", md.positive_proba().alias("proba"))
+    key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
+    rows = materialize(row_number_within(val.select(id_col, "target", *cols).withColumn("_h", key), [], [F.col("_h"), F.col(id_col)],
+                                         hash_bucket(F.col("_h")), out="_rank").drop("_h", id_col))
+    n = rows.count()
+    base = model.transform(rows).select(F.lit(0).alias("g"), "target", md.positive_proba().alias("proba"))
     base_auc = mx.ranking_metrics(mx.score_histogram(base, ["g"]), ["g"]).first()["roc_auc"]  # one number
-    drops = perm_auc.withColumn("drop", F.lit(base_auc) - F.col("roc_auc"))
-    return drops.groupBy("feature").agg(F.avg("drop").alias("pfi_mean"), F.stddev_pop("drop").alias("pfi_std"))
+    steps = F.array(*[F.struct(F.lit(k).alias("repeat"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
+                      for k, (a, b) in enumerate(_steps(n, repeats, seed))])
+
+    def drops(c: str) -> tuple:
+        source = rows.select(F.col("_rank").alias("_from"), F.col(c).alias("_pv"))
+        asked = rows.select("*", F.inline(steps)).withColumn("_from", (F.col("a") * (F.col("_rank") - 1) + F.col("b")) % F.lit(n) + 1)
+        moved = asked.join(source, "_from").withColumn(c, F.col("_pv")).select("repeat", "target", *cols)
+        scored = model.transform(moved).select("repeat", "target", md.positive_proba().alias("proba"))
+        auc = mx.ranking_metrics(mx.score_histogram(scored, ["repeat"]), ["repeat"]).select("roc_auc").collect()
+        gaps = [base_auc - r["roc_auc"] for r in auc]
+        mean = math.fsum(gaps) / len(gaps)
+        return c, mean, math.sqrt(math.fsum((x - mean) ** 2 for x in gaps) / len(gaps))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        found = list(pool.map(drops, cols))
+    return train.sparkSession.createDataFrame(found, "feature string, pfi_mean double, pfi_std double")
 
 
 def top_n_pfi(pfi: DataFrame, n: int = 15) -> DataFrame:

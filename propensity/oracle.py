@@ -41,8 +41,8 @@ campaign AS (
     o.o_orderstatus AS status, c.c_mktsegment AS segment, r.r_name AS region, o.o_orderpriority AS priority,
     o.o_totalprice AS total_price, c.c_acctbal AS acct_bal, li.n_lines, li.qty, li.disc, li.gross, li.net,
     CAST(o.previous AS INTEGER) AS previous,
-    CAST(CASE WHEN o.prev_date IS NULL THEN 999
-              ELSE least(998, date_diff('day', o.prev_date, o.o_orderdate)) END AS INTEGER) AS days_since,
+    CAST(CASE WHEN o.prev_date IS NULL THEN -1
+              ELSE date_diff('day', o.prev_date, o.o_orderdate) END AS INTEGER) AS days_since,
     CAST(floor(o.o_totalprice / 500) AS DOUBLE) / CAST(1000 AS DOUBLE) AS score
   FROM o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -346,12 +346,12 @@ eng AS (
     CASE priority WHEN '1-URGENT' THEN CAST(0 AS DOUBLE) WHEN '2-HIGH' THEN CAST(1 AS DOUBLE)
                   WHEN '3-MEDIUM' THEN CAST(2 AS DOUBLE) WHEN '5-LOW' THEN CAST(3 AS DOUBLE) END AS priority,
     total_price, acct_bal, n_lines, qty, disc, gross, net, previous,
-    CASE WHEN days_since <> 999 THEN days_since END AS days_since,
-    CAST(CASE WHEN days_since <> 999 THEN 1 ELSE 0 END AS INTEGER) AS had_prior_order
+    CASE WHEN days_since <> -1 THEN days_since END AS days_since,
+    CAST(CASE WHEN days_since <> -1 THEN 1 ELSE 0 END AS INTEGER) AS had_prior_order
   FROM frame),
 num AS (
   SELECT id, split, target, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in BASE_NUMERIC) + ", " + ", ".join(
-    f"CAST({c} = '{lv}' AS DOUBLE) AS {name}" for c, lv, name in DUMMIES) + """ FROM eng),
+    f"CAST(coalesce({c} = '{lv}', false) AS DOUBLE) AS {name}" for c, lv, name in DUMMIES) + """ FROM eng),
 med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) FILTER (WHERE split = 'train') AS {c}" for c in NUMERIC_COLUMNS) + """ FROM num),
 imp AS (SELECT n.id, n.split, n.target, """ + ", ".join(f"coalesce(n.{c}, m.{c}) AS {c}" for c in NUMERIC_COLUMNS) + """ FROM num n, med m),
 sc AS (SELECT """ + ", ".join(
@@ -372,13 +372,14 @@ def round_cols(cols: list[str], d: int = 6, prefix: str = "") -> str:
 
 def preprocess_report_sql() -> str:
     parts = ["SELECT 'days_since' AS feature, 'sentinel_to_null' AS transformation, 'n_sentinel_replaced' AS stat, "
-             "CAST(sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM frame WHERE split = 'train'",
+             "CAST(sum(CASE WHEN days_since = -1 THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM frame WHERE split = 'train'",
              "SELECT 'priority', 'ordinal_encode', 'n_unknown_to_null', CAST(sum(CASE WHEN priority IS NOT NULL AND priority "
              "NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') THEN 1 ELSE 0 END) AS DOUBLE) FROM frame WHERE split = 'train'",
              "SELECT 'segment', 'one_hot_drop_first', 'n_levels', CAST(count(DISTINCT segment) AS DOUBLE) FROM frame WHERE split = 'train'",
              "SELECT 'region', 'one_hot_drop_first', 'n_levels', CAST(count(DISTINCT region) AS DOUBLE) FROM frame WHERE split = 'train'"]
     for c in NUMERIC_COLUMNS:
-        parts.append(f"SELECT '{c}', 'median_impute', 'median', {r4(c, 6)} FROM med")
+        if c in BASE_NUMERIC:
+            parts.append(f"SELECT '{c}', 'median_impute', 'median', {r4(c, 6)} FROM med")
         parts.append(f"SELECT '{c}', 'standard_scale', 'mean', {r4(c + '__m', 6)} FROM sc")
         parts.append(f"SELECT '{c}', 'standard_scale', 'std', {r4(f'(CASE WHEN coalesce({c}__s, 0) = 0 THEN 1.0 ELSE {c}__s END)', 6)} FROM sc")
     return features_sql("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ")")
@@ -540,7 +541,7 @@ vj AS (SELECT r.run_id, s.proba, """ + ", ".join(f"c.{f}" for f in IMPORTANCE_FE
 imp_long AS (SELECT * FROM (SELECT run_id, """ + ", ".join(
         f"abs({scorr(f'CAST({f} AS DOUBLE)', 'proba')}) AS {f}" for f in IMPORTANCE_FEATURES) + """ FROM vj GROUP BY run_id)
     UNPIVOT (imp FOR feature IN (""" + ", ".join(IMPORTANCE_FEATURES) + """))),
-imp_f AS (SELECT * FROM imp_long WHERE imp >= 0.05),
+imp_f AS (SELECT * FROM imp_long WHERE imp IS NOT NULL),
 imp AS (SELECT run_id, feature, """ + r4("imp / sum(imp) OVER (PARTITION BY run_id) * 100.0") + """ AS importance_pct FROM imp_f)"""
 
 

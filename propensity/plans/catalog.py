@@ -51,9 +51,13 @@ def _hist(spark, sf):
     return mx.score_histogram(cf.scores_table(spark, sf), ["model", "split"])
 
 
+def _rows(spark, sf):
+    return mx.labelled_rows(cf.scores_table(spark, sf), ["model", "split"])
+
+
 @query("threshold_sweep", Q.metric_stack() + " SELECT * FROM sweep")
 def q_threshold_sweep(spark, sf):
-    return mx.threshold_sweep(_hist(spark, sf), ["model", "split"])
+    return mx.threshold_sweep(_rows(spark, sf), ["model", "split"])
 
 
 @query("best_threshold", Q.metric_stack() + " SELECT * FROM best")
@@ -99,14 +103,15 @@ def q_brier(spark, sf):
 
 @query("ece", Q.metric_stack() + " SELECT model, split, " + Q.r4("ece") + " AS ece FROM ece")
 def q_ece(spark, sf):
-    return mx.expected_calibration_error(_hist(spark, sf), ["model", "split"]).select(
+    return mx.expected_calibration_error(_rows(spark, sf), ["model", "split"]).select(
         "model", "split", rnd("ece").alias("ece"))
 
 
-@query("reliability_bins", Q.metric_stack() + " SELECT model, split, bin, CAST(n AS BIGINT) AS n, "
-       + Q.r4("mean_proba", 9) + " AS mean_proba, " + Q.r4("frac_positive", 9) + " AS frac_positive FROM cal")
+@query("reliability_bins", Q.metric_stack() + " SELECT model, split, bin, CAST(coalesce(n, 0) AS BIGINT) AS n, "
+       + Q.r4("mean_proba", 9) + " AS mean_proba, " + Q.r4("frac_positive", 9) + """ AS frac_positive
+  FROM (SELECT g.model, g.split, CAST(b AS INTEGER) AS bin FROM (SELECT DISTINCT model, split FROM hist) g, range(10) t(b)) LEFT JOIN cal USING (model, split, bin)""")
 def q_reliability_bins(spark, sf):
-    t = mx.calibration_table(_hist(spark, sf), ["model", "split"])
+    t = mx.calibration_table(_rows(spark, sf), ["model", "split"])
     return t.select("model", "split", "bin", F.col("n").cast("long").alias("n"),
                     rnd("mean_proba", 9).alias("mean_proba"), rnd("frac_positive", 9).alias("frac_positive"))
 
@@ -126,7 +131,7 @@ def q_roc_points(spark, sf):
 def q_confusion(spark, sf):
     scores = cf.scores_table(spark, sf)
     thr = ev.chosen_thresholds(scores).select("model", "threshold")
-    return mx.confusion_at(mx.score_histogram(scores, ["model", "split"]), thr, ["model", "split"], ["model"])
+    return mx.confusion_at(mx.labelled_rows(scores, ["model", "split"]), thr, ["model", "split"], ["model"])
 
 
 @query("perf_rows", Q.metric_stack() + " SELECT * FROM perf")
@@ -230,9 +235,9 @@ def q_target_rate_by_category(spark, sf):
     return pf.target_rate_by_category(_profile_frame(spark, sf))
 
 
-@query("sentinel_share", Q.with_base() + " SELECT 'days_since' AS feature, CAST(999 AS DOUBLE) AS sentinel, "
-       "CAST(sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END) AS BIGINT) AS n_sentinel, "
-       + Q.pct("sum(CASE WHEN days_since = 999 THEN 1 ELSE 0 END)", "count(*)") + " AS pct_sentinel FROM campaign")
+@query("sentinel_share", Q.with_base() + " SELECT 'days_since' AS feature, CAST(-1 AS DOUBLE) AS sentinel, "
+       "CAST(sum(CASE WHEN days_since = -1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sentinel, "
+       + Q.pct("sum(CASE WHEN days_since = -1 THEN 1 ELSE 0 END)", "count(*)") + " AS pct_sentinel FROM campaign")
 def q_sentinel_share(spark, sf):
     return pf.sentinel_share(_profile_frame(spark, sf), cf.SENTINEL_COL, cf.SENTINEL_VALUE)
 
@@ -545,15 +550,19 @@ from propensity.operators import score as sc  # noqa: E402
 from propensity.operators import search as se  # noqa: E402
 from propensity.session import shared_path  # noqa: E402
 
-SEARCH_TRIALS = 6  # the reference runs 30 trials per model; the registered query keeps the check short
+SEARCH_TRIALS = 30
 SEARCH_PARALLELISM = 3
 
 
+def _fit(name, frame, pre):
+    """Fit on the training rows; boosting stops early on the validation rows."""
+    return md.fit_model(name, pre, frame.filter(F.col("split") == "train"), early_stop=frame.filter(F.col("split") == "val"))
+
+
 def _model_scores(name):
     def run(spark, sf):
         frame, pre = _fitted(spark, sf)
-        fitted = md.fit_model(name, pre, frame.filter(F.col("split") == "train"))
-        return fitted.score(pre, frame)
+        return _fit(name, frame, pre).score(pre, frame)
     run.__name__ = f"q_{name}"
     return run
 
@@ -564,12 +573,11 @@ for _name in md.TRAINERS:
 
 @query("model_evaluation")
 def q_model_evaluation(spark, sf):
-    """Two trained models measured like the stand-in scores: thresholds on val, every metric per split."""
+    """Every trainer measured like the stand-in scores: thresholds on val, every metric per split."""
     frame, pre = _fitted(spark, sf)
-    train = frame.filter(F.col("split") == "train")
     scores = None
-    for name in ("gbt_leafwise", "svc_linear"):
-        s = md.fit_model(name, pre, train).score(pre, frame)
+    for name in md.TRAINERS:
+        s = _fit(name, frame, pre).score(pre, frame)
         scores = s if scores is None else scores.unionByName(s)
     return ev.evaluate_all(materialize(scores))
 
@@ -577,14 +585,14 @@ def q_model_evaluation(spark, sf):
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     frame, pre = _fitted(spark, sf)
-    fitted = md.fit_model("gbt_leafwise", pre, frame.filter(F.col("split") == "train"))
+    fitted = _fit("gbt_leafwise", frame, pre)
     return spark.createDataFrame(md.feature_importance(fitted), "feature string, importance_pct double")
 
 
 @query("gbt_history")
 def q_gbt_history(spark, sf):
     frame, pre = _fitted(spark, sf)
-    fitted = md.fit_model("gbt_depthwise", pre, frame.filter(F.col("split") == "train"))
+    fitted = _fit("gbt_depthwise", frame, pre)
     return md.staged_history(fitted, pre, frame.filter(F.col("split") != "test"))
 
 
@@ -616,7 +624,7 @@ def q_random_search(spark, sf):
 @query("cv_objective")
 def q_cv_objective(spark, sf):
     frame, pre = _fitted(spark, sf)
-    value, per = se.cv_objective("svc_linear", pre, frame.filter(F.col("split") != "test"), {}, k=3)
+    value, per = se.cv_objective("svc_linear", pre, frame.filter(F.col("split") != "test"), {})
     return spark.createDataFrame([(p["fold"], p["val_auc"], p["train_auc"], value) for p in per],
                                  "fold int, val_auc double, train_auc double, objective double")
 
@@ -634,9 +642,9 @@ def q_select_pipeline(spark, sf):
 
 def _trained_run(spark, sf):
     frame, pre = _fitted(spark, sf)
-    fitted = md.fit_model("gbt_leafwise", pre, frame.filter(F.col("split") == "train"))
+    fitted = _fit("gbt_leafwise", frame, pre)
     val_scores = fitted.score(pre, frame.filter(F.col("split") == "val"))
-    thr = mx.best_threshold(mx.threshold_sweep(mx.score_histogram(val_scores, ["model"]), ["model"]), ["model"]).first()
+    thr = mx.best_threshold(mx.threshold_sweep(mx.labelled_rows(val_scores, ["model"]), ["model"]), ["model"]).first()
     path = shared_path(spark, "runs", f"{uuid.uuid4().hex}_gbt_leafwise")
     sc.save_run(spark, path, pre, fitted, float(thr["threshold"]))
     return frame, pre, fitted, path
@@ -661,7 +669,7 @@ def q_save_load_roundtrip(spark, sf):
 
 
 def _cal_input(spark, sf):
-    return materialize(cf.scores_table(spark, sf).filter(F.col("model").isin("m1", "m3")))
+    return materialize(cf.scores_table(spark, sf))
 
 
 @query("platt")
@@ -688,7 +696,7 @@ def q_stream_score(spark, sf):
     frame, _, _, path = _trained_run(spark, sf)
     base = shared_path(spark, "streams", uuid.uuid4().hex)
     src = frame.filter(F.col("split") == "test").drop("target", "split")
-    src.repartition(4).write.mode("overwrite").parquet(f"{base}/in")
+    src.write.mode("overwrite").parquet(f"{base}/in")
     run = sc.load_run(spark, path)
     q = stream_scores(spark, run, f"{base}/in", src.schema, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
@@ -741,18 +749,80 @@ def q_selected_variant(spark, sf):
 @query("select_raw")
 def q_select_raw(spark, sf):
     """D9 (``on="raw"``): selection on the tree variant before imputation — real missing shares, pairwise-
-    complete correlations among numeric columns, nominal columns indexed (alphabetical) so MI can rank them
-    with everything else. Stages 1–3; the importance stage needs the imputed variant."""
+    complete correlations among numeric columns only, nominal columns indexed (alphabetical) so MI can rank them
+    with everything else; the importance stage permutes the same columns with medians filled in."""
     from pyspark.ml.feature import StringIndexer
     frame, pre = _fitted(spark, sf)
-    train = frame.filter(F.col("split") == "train")
-    tree = pre.tree(train, keep=["id", "target"])
+    labelled = frame.filter(F.col("split") != "test")
+    tree = pre.tree(labelled, keep=["id", "split", "target"])
     nominal = list(pre.spec.nominal)
     idx = StringIndexer(inputCols=nominal, outputCols=[f"{c}__i" for c in nominal], stringOrderType="alphabetAsc",
-                        handleInvalid="keep").fit(tree)
+                        handleInvalid="keep").fit(tree.filter(F.col("split") == "train"))
     raw = idx.transform(tree).drop(*nominal)
-    raw = raw.select("id", "target", *[F.col(c).cast("double").alias(c.removesuffix("__i")) for c in raw.columns
-                                       if c not in ("id", "target")])
-    cols = [c for c in raw.columns if c not in ("id", "target")]
-    _, _, report = sl.select_features(materialize(raw), cols, mi_top_k=MI_TOP_K_CAMPAIGN)
+    raw = materialize(raw.select("id", "split", "target", *[F.col(c).cast("double").alias(c.removesuffix("__i")) for c in raw.columns
+                                                            if c not in ("id", "split", "target")]))
+    cols = [c for c in raw.columns if c not in ("id", "split", "target")]
+    filled = raw.select("id", "split", "target", *[F.coalesce(F.col(c), F.lit(float(pre.medians.get(c) or 0.0))).alias(c) for c in cols])
+    pfi = (lambda own: se.permutation_importance(filled.filter(F.col("split") == "train"), filled.filter(F.col("split") == "val"), own))
+    _, _, report = sl.select_features(raw.filter(F.col("split") == "train").drop("split"), cols, mi_top_k=MI_TOP_K_CAMPAIGN, pfi=pfi,
+                                      pfi_top_n=8, corr_cols=[c for c in cols if c not in nominal])
     return report
+
+
+# ── whole runs ─────────────────────────────────────────────────────────────────────────────────────
+
+def _eda_tables(spark, sf):
+    from propensity.plans.eda import run_eda
+    out = shared_path(spark, "eda", uuid.uuid4().hex)
+    run_eda(_profile_frame(spark, sf), out, "target", (cf.SENTINEL_COL, cf.SENTINEL_VALUE))
+    return out
+
+
+@query("eda_run", _wrap(Q.value_counts_sql()))
+def q_eda_run(spark, sf):
+    """The whole profiling plan, written; one of its tables read back (A3)."""
+    return spark.read.parquet(f"{_eda_tables(spark, sf)}/value_counts")
+
+
+@query("processed_frame", Q.features_sql("SELECT split, count(*) AS n, " + ", ".join(
+    f"{Q.r4(f'sum({c})', 2)} AS {c}" for c in ("qty", "priority", "days_since")) + " FROM imp GROUP BY split"))
+def q_processed_frame(spark, sf):
+    """A2, A5: the imputed variant written by split with its column manifest, read back in manifest order."""
+    from propensity.sources import io
+    frame, pre = _fitted(spark, sf)
+    base, run = shared_path(spark, "processed", uuid.uuid4().hex), rn.run_id("processed")
+    io.save_processed(pre.numeric(frame, keep=["id", "split", "target"]), f"{base}/frame")
+    io.write_manifest(spark, f"{base}/manifest", run, "numeric", pre.numeric_columns)
+    names = io.read_manifest(spark, f"{base}/manifest", run, "numeric")
+    parts = [io.load_processed(spark, f"{base}/frame", s).select("split", *names) for s in ("train", "val", "test")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), *[rnd(F.sum(c), 2).alias(c) for c in ("qty", "priority", "days_since")])
+
+
+@query("csv_round_trip", Q.with_base() + " SELECT id, segment, region, target FROM campaign")
+def q_csv_round_trip(spark, sf):
+    """A1, A3: the campaign frame as header CSV and back through the labelled-table reader."""
+    from propensity.sources import io
+    from propensity.sources.tables import read_labelled_csv
+    path = shared_path(spark, "csv", uuid.uuid4().hex)
+    frame = cf.campaign_frame(spark, sf)
+    io.write_table(frame, path, "csv")
+    return read_labelled_csv(spark, path, frame.schema).select("id", "segment", "region", "target")
+
+
+@query("submission_file", Q.best_submission_sql())
+def q_submission_file(spark, sf):
+    """The best model's decisions as header CSV, read back."""
+    path = shared_path(spark, "submission", uuid.uuid4().hex)
+    decisions = q_best_submission(spark, sf)
+    sc.write_submission(decisions, path)
+    return spark.read.option("header", True).schema(decisions.select("id", "target").schema).csv(path)
+
+
+@query("full_run")
+def q_full_run(spark, sf):
+    """§3.1: select, search, train with early stopping on the selected columns, evaluate, log. One row per model of
+    the run's own log."""
+    from propensity.plans.pipeline import RunConfig, run_pipeline
+    out = shared_path(spark, "full_run", uuid.uuid4().hex)
+    return run_pipeline(spark, sf, RunConfig(mi_top_k=MI_TOP_K_CAMPAIGN, pfi_top_n=8, out_dir=out))["runs"]

@@ -1,10 +1,10 @@
-"""Profiling plan (B6 + target analysis): every table of the exploratory report from one cached input."""
+"""Profiling plan (B6 + target analysis): every table of the exploratory report from one stage table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
 
 from propensity.operators import profile as pf
+from propensity.session import materialize
 from propensity.sources.io import write_table
 
 
@@ -12,7 +12,7 @@ def run_eda(df: DataFrame, out_dir: str | None = None, target: str | None = "tar
             sentinel: tuple[str, float] | None = None) -> dict[str, DataFrame]:
     """Profile, describe, missing, value counts, histograms and (with a target) distribution, correlation
     and per-category rates. Tables are written under ``out_dir`` when given."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = materialize(df)
     tables = {
         "profile_numeric": pf.profile_numeric(cached),
         "profile_categorical": pf.profile_categorical(cached),

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.functions.order import day_key_bucket, hash_bucket, md5_key, row_number_within
-from propensity.functions.sizing import broadcast_if_bounded
+from propensity.functions.order import day_bucket, hash_bucket, md5_key, row_number_within
+from propensity.functions.sizing import broadcast_if_bounded, small_table
 from propensity.session import materialize
 from propensity.sources.tables import table
 
@@ -24,8 +24,9 @@ ORDINAL = "priority"
 PRIORITY_ORDER = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 PRIORITY_UNKNOWN = "4-NOT SPECIFIED"
 NUMERIC = ["total_price", "acct_bal", "n_lines", "qty", "disc", "gross", "net", "previous", "days_since"]
-SENTINEL_COL, SENTINEL_VALUE, SENTINEL_FLAG = "days_since", 999, "had_prior_order"
+SENTINEL_COL, SENTINEL_VALUE, SENTINEL_FLAG = "days_since", -1, "had_prior_order"  # gaps are never negative
 LEAKY = ["total_price"]
+MAX_CLASSES = 10_000
 MODEL_COLUMNS = NOMINAL + [ORDINAL] + NUMERIC
 
 
@@ -57,8 +58,8 @@ def campaign_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: id, target, status, nominal/ordinal/numeric features and a score.
 
     ``previous`` and ``days_since`` need each customer's orders in date order. A customer may own a
-    large share of all orders, so the sequence is numbered per (customer, day, order-key range) with
-    offsets from a count table instead of one window per customer.
+    large share of all orders, so the sequence is numbered per (customer, day) with offsets from a count
+    table of at most one row per customer and day instead of one window per customer.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -67,7 +68,7 @@ def campaign_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders,
         ["o_custkey"],
         [F.col("o_orderdate"), F.col("o_orderkey")],
-        day_key_bucket(F.col("o_orderdate"), F.col("o_orderkey")),
+        day_bucket(F.col("o_orderdate")),
         out="_rn",
         lag_of="o_orderdate",
         lag_out="_prev_date",
@@ -88,14 +89,15 @@ def campaign_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("acct_bal"),
         "n_lines", "qty", "disc", "gross", "net",
         (F.col("_rn") - 1).cast("int").alias("previous"),
-        F.when(F.col("_prev_date").isNull(), F.lit(999)).otherwise(F.least(F.lit(998), days)).cast("int").alias("days_since"),
+        F.when(F.col("_prev_date").isNull(), F.lit(SENTINEL_VALUE)).otherwise(days).cast("int").alias("days_since"),
         (F.floor(F.col("o_totalprice") / 500).cast("double") / F.lit(1000.0)).alias("score"),
     )
 
 
 def class_sizes(df: DataFrame, target: str = "target") -> DataFrame:
-    """Rows per class: at most three rows (0, 1, NULL), so broadcasting it is always safe."""
-    return F.broadcast(df.groupBy(target).agg(F.count(F.lit(1)).alias("_class_n")))
+    """Rows per class, NULL included, for a null-safe join. Broadcast only if there are few classes."""
+    sizes = df.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_class_n"))
+    return small_table(sizes, MAX_CLASSES)
 
 
 def stratified_split(
@@ -108,11 +110,12 @@ def stratified_split(
     ranked = row_number_within(
         df.withColumn("_h", key), [target], [F.col("_h"), F.col(id_col)], hash_bucket(F.col("_h")), out="_rank"
     )
+    sizes = class_sizes(df, target)
     cut = F.expr(f"(_class_n * {int(percent)} + 99) div 100")
     return (
-        ranked.join(class_sizes(df, target), target)
+        ranked.join(sizes, ranked[target].eqNullSafe(sizes["_class"]))
         .withColumn("split", F.when(F.col("_rank") <= cut, "val").otherwise("train"))
-        .drop("_h", "_rank", "_class_n")
+        .drop("_h", "_rank", "_class", "_class_n")
     )
 
 

@@ -12,8 +12,8 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; Parquet gives column pruning and filter pushdown for free."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One input table, NaN as NULL; Parquet gives column pruning and filter pushdown for free."""
+    return normalise(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def normalise(df: DataFrame) -> DataFrame:
