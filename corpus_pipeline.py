@@ -8,38 +8,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from propensity.llm import decontaminate, mixing, neardup, quality, tokenfile
+from propensity.llm.common import prepare
 from propensity.llm.queries import tokenizer_path
-from propensity.session import ensure_checkpoint_dir, materialize
+from propensity.session import materialize
 from propensity.sources.tables import table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels of this stage's documents."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies (five-word shingles, similarity 0.8 or more)."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a document once per time that its words are taken."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return mixing.apply_mix(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files of the mix, read back: doc_id, start, n_tokens, ids_crc32 per copy."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return tokenfile.token_files(docs, tokenizer_path())
 
 
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))

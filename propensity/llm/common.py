@@ -4,15 +4,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+from propensity.session import ensure_checkpoint_dir
 
 #: Runs of anything but the six ASCII white-space characters (fixed by the contracts).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def long_id(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn(name, F.col(name).cast("long"))
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session needs of this package: the shared folder, and Arrow batches that whole texts fit into (ten thousand
+    documents are more than a Python worker should hold). A batch size that the session sets itself is kept."""
+    ensure_checkpoint_dir(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def utf8_rows(column: pa.Array) -> list[bytes | None]:

@@ -39,7 +39,7 @@ from propensity.session import materialize
 WORDS, PERCENT = 5, 80
 PERMUTATIONS, ROWS, SEED = 120, 5, 3
 NEAR = 0.65
-BUCKET_ROWS, CHUNK_SHINGLES, MAX_CACHED_WORDS = 4096, 100_000, 400_000
+BUCKET_ROWS, CHUNK_SHINGLES, MAX_CACHED_WORDS = 4096, 100_000, 100_000
 STEP = 2048
 MAX_BROADCAST_ROWS = 1_000_000  # of 32 bytes
 

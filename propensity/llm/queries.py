@@ -2,10 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from propensity.llm import decontaminate, langid, mixing, neardup, quality, repeats, secrets, tokenfile, topk, warc
-from propensity.session import ensure_checkpoint_dir
+from propensity.llm.common import prepare
 from propensity.sources.tables import table
 
 NEAR_DUP_WORDS = 2  # the contract of op4
@@ -18,7 +17,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return table(spark, sf_dir, name)
 
 
