@@ -44,7 +44,7 @@ def test_scaled_train_is_standardised(spark, framed):
 def test_one_hot_drops_first_level_and_unseen_are_zero(spark, framed):
     _, pre = framed
     assert "segment_AUTOMOBILE" not in pre.numeric_columns and "segment_BUILDING" in pre.numeric_columns
-    new = spark.createDataFrame([(1, "NEWLEVEL", "ASIA", "2-HIGH", 999)], "id long, segment string, region string, priority string, days_since int")
+    new = spark.createDataFrame([(1, "NEWLEVEL", "ASIA", "2-HIGH", cf.SENTINEL_VALUE)], "id long, segment string, region string, priority string, days_since int")
     row = pre.numeric(new.select("id", "segment", "region", "priority", "days_since"), keep=["id"]).first()
     assert all(row[c] == 0.0 for c in pre.numeric_columns if c.startswith("segment_"))
     assert row["region_ASIA"] == 1.0 and row["priority"] == 1.0

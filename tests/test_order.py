@@ -31,11 +31,11 @@ def test_cumulative_matches_plain_window(spark):
     assert bad.count() == 0 and got.count() == df.count()
 
 
-def test_day_key_bucket_hot_customer(spark):
-    from propensity.functions.order import day_key_bucket
+def test_day_bucket_hot_customer(spark):
+    from propensity.functions.order import day_bucket
     rows = [(i, 7 if i % 3 else i % 50, f"2020-0{1 + i % 3}-1{i % 10}") for i in range(4000)]
     df = spark.createDataFrame(rows, "k long, c long, d string").withColumn("d", F.to_timestamp("d"))
-    got = row_number_within(df, ["c"], [F.col("d"), F.col("k")], day_key_bucket(F.col("d"), F.col("k"), 64),
+    got = row_number_within(df, ["c"], [F.col("d"), F.col("k")], day_bucket(F.col("d")),
                             out="rn", lag_of="d", lag_out="prev")
     w = Window.partitionBy("c").orderBy("d", "k")
     ref = df.select("k", F.row_number().over(w).alias("rn2"), F.lag("d").over(w).alias("prev2"))
