@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensity.functions.sizing import broadcast_if_bounded
 from propensity.llm.common import record_batch
 from propensity.session import materialize, shared_path
 
 MIN_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 20_000
 READ_ROWS = 512
+MAX_BROADCAST_ROWS = 200_000  # of 100 bytes
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -67,7 +69,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     least = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "rid"))
     firsts = base.where(F.col("n") >= min_bytes).groupBy("digest").agg(least.alias("_f"), F.count("*").alias("_c"))
     firsts = firsts.where("_c > 1").select("digest", F.col("_f.rid").alias("first"))
-    joined = base.join(firsts, "digest", "left")
+    # payloads move only if there are more repeated digests than can be sent to every executor
+    joined = base.join(broadcast_if_bounded(firsts, MAX_BROADCAST_ROWS), "digest", "left")
     return joined.withColumn("first", F.when(F.col("first") != F.col("rid"), F.col("first"))).drop("n")
 
 
