@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -29,7 +30,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import PolynomialExpansion, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import rnd
@@ -144,6 +145,9 @@ DEFAULT_PARAMS = {
 
 
 MIN_BINS = 64
+PATIENCE = 50  # fixed value: boosting rounds without a better validation loss that end a fit
+HISTORY_TREES = 50  # rounds of a history measured in one pass
+FIRST_ROUNDS = 200  # trees of the first try of a fit that may stop early
 
 
 def _gbt(params: dict, name: str, max_levels: int) -> GBTClassifier:
@@ -222,19 +226,58 @@ class FittedModel:
         self.pipeline.write().overwrite().save(path)
 
 
+def best_round(losses: Sequence[float], patience: int, tol: float = 0.0) -> tuple[int, bool]:
+    """(round with the best loss, whether ``patience`` rounds without an improvement ended the fit there). An
+    improvement is more than ``tol`` of the loss; later rounds than the stop aren't looked at."""
+    best, at = math.inf, 0
+    for m, loss in enumerate(losses, 1):
+        if at == 0 or best - loss > tol * max(loss, 0.01):
+            best, at = loss, m
+        elif m - at >= patience:
+            return at, True
+    return at, False
+
+
+def truncated(gbt: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees, parameters kept."""
+    java = gbt._java_obj
+    jvm = SparkSession.active().sparkContext._jvm
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        gbt.uid, java.trees()[0:rounds], java.treeWeights()[0:rounds], gbt.numFeatures, 2)
+    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return gbt._copyValues(GBTClassificationModel(cut))
+
+
+def _fit_boosting(pipe: Pipeline, train: DataFrame, val: DataFrame, n_estimators: int, tol: float) -> PipelineModel:
+    """Boosting up to ``n_estimators`` trees, ended by PATIENCE rounds without a better validation loss, cut at the best
+    round. Spark's own rule knows no patience (it ends at the first small step), so trees are fitted in growing
+    numbers and the rule is read from the loss of every round; the first trees of a longer fit are those of a
+    shorter one."""
+    rounds = min(n_estimators, FIRST_ROUNDS)
+    while True:
+        pipe.getStages()[-1].setMaxIter(rounds)
+        model = pipe.fit(train)
+        held = val
+        for stage in model.stages[:-1]:
+            held = stage.transform(held)
+        best, stopped = best_round(model.stages[-1].evaluateEachIteration(held), PATIENCE, tol)
+        if stopped or rounds == n_estimators:
+            return PipelineModel([*model.stages[:-1], truncated(model.stages[-1], max(best, 1))])
+        rounds = min(n_estimators, 4 * rounds)
+
+
 def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None,
-              early_stop: DataFrame | None = None, validation_tol: float = 0.01, columns: Sequence[str] | None = None) -> FittedModel:
+              early_stop: DataFrame | None = None, validation_tol: float = 0.0, columns: Sequence[str] | None = None) -> FittedModel:
     """Fit one trainer on the training rows (``train`` holds raw campaign columns), on the selected model ``columns``
     if they are given.
 
-    E13: with ``early_stop`` (validation rows) a boosting model trains on train + validation rows with
-    ``validationIndicatorCol`` and stops once the validation loss no longer improves by ``validation_tol``."""
+    E13: with ``early_stop`` (validation rows) a boosting model ends after PATIENCE trees without a validation loss
+    better by more than ``validation_tol`` (a share of the loss; 0: any improvement counts) and keeps the trees up to
+    its best round. Validation rows are measured only, never fitted."""
     tr = TRAINERS[name]
     p = {**DEFAULT_PARAMS[name], **(params or {})}
-    if early_stop is not None and name.startswith("gbt"):
-        train = train.withColumn("_is_val", F.lit(False)).unionByName(early_stop.withColumn("_is_val", F.lit(True)))
-    inp, cols = (tree_input if tr.variant == "tree" else scaled_input)(
-        pre, train, (*KEEP, *(["_is_val"] if "_is_val" in train.columns else [])), columns)
+    make = tree_input if tr.variant == "tree" else scaled_input
+    inp, cols = make(pre, train, KEEP, columns)
     fourier = None
     if name in ("svc_rff", "rff_logistic"):
         fourier = fourier_weights(len(cols), int(p["n_features"]), p["kernel"], float(p["length_scale"]), SEED)
@@ -243,9 +286,11 @@ def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | Non
     nominal = tree_columns(pre, columns)[1]
     widest = max((len(pre.levels.get(c, ())) + 1 for c in nominal), default=0)
     pipe = build_pipeline(name, p, cols, nominal, n_rows, widest)
-    if "_is_val" in inp.columns:
-        pipe.getStages()[-1].setValidationIndicatorCol("_is_val").set(pipe.getStages()[-1].validationTol, validation_tol)
-    model = pipe.fit(with_label(inp))
+    if early_stop is not None and name.startswith("gbt"):
+        held = with_label(make(pre, early_stop, KEEP, columns)[0])
+        model = _fit_boosting(pipe, with_label(inp), held, int(p["n_estimators"]), validation_tol)
+    else:
+        model = pipe.fit(with_label(inp))
     return FittedModel(name, p, model, cols, tr.variant, fourier, None if columns is None else list(columns))
 
 
@@ -271,24 +316,45 @@ def staged_history(fitted: FittedModel, pre: Preprocessor, df: DataFrame, target
 
     Margins of the first k trees are ``sum(treeWeight_i * tree_i(x))``; each tree's prediction is added by
     its own transform (narrow), the running sums form one array, and one ``inline`` + ``groupBy`` measures
-    every iteration at once. Probability is ``1 / (1 + exp(-2F))`` (the GBT log-loss link)."""
-    from propensity.operators.metrics import ranking_metrics, score_histogram
+    HISTORY_TREES iterations at once; a longer model goes on from the margins so far, in a stage table.
+    Probability is ``1 / (1 + exp(-2F))`` (the GBT log-loss link)."""
+    from propensity.session import materialize
     gbt = gbt_stage(fitted)
-    feats = fitted.pipeline.stages[:-1]
     x = fitted.prepare(pre, df)
-    for st in feats:
+    for st in fitted.pipeline.stages[:-1]:
         x = st.transform(x)
-    x = x.select("split", F.col(target).cast("int").alias("target"), "features")
-    weights = list(gbt.treeWeights)
-    for i, tree in enumerate(gbt.trees):
+    x = x.select("split", F.col(target).cast("int").alias("target"), "features", F.lit(0.0).alias("_margin"))
+    trees, weights = gbt.trees, list(gbt.treeWeights)
+    if len(trees) <= HISTORY_TREES:
+        return _history_rows(_staged(x, trees, weights, 0)[0])
+    out = None
+    for a in range(0, len(trees), HISTORY_TREES):
+        staged, x = _staged(x, trees[a:a + HISTORY_TREES], weights[a:a + HISTORY_TREES], a)
+        rows = materialize(_history_rows(staged))
+        out = rows if out is None else out.unionByName(rows)
+        x = materialize(x)
+    return out
+
+
+def _staged(x: DataFrame, trees: Sequence, weights: Sequence[float], before: int) -> tuple[DataFrame, DataFrame]:
+    """(split, target, iteration, proba) of the rounds after ``before``, and the rows with their margins after them."""
+    names = [c for c in x.columns if c != "_margin"]
+    for i, tree in enumerate(trees):
         x = tree.setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(x)
     terms = F.array(*[F.col(f"_t{i}") * F.lit(float(w)) for i, w in enumerate(weights)])
     margins = F.slice(F.aggregate(terms, F.array().cast("array<double>"),
-                                  lambda acc, v: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + v))),
+                                  lambda acc, v: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.col("_margin")) + v))),
                       1, len(weights))
-    staged = x.select("split", "target", F.posexplode(margins).alias("pos", "margin")).select(
-        "split", "target", (F.col("pos") + 1).alias("iteration"),
+    x = x.select(*names, margins.alias("_margins"))
+    staged = x.select("split", "target", F.posexplode("_margins").alias("pos", "margin")).select(
+        "split", "target", (F.col("pos") + 1 + before).alias("iteration"),
         (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin")))).alias("proba"))
+    return staged, x.select(*names, F.element_at("_margins", -1).alias("_margin"))
+
+
+def _history_rows(staged: DataFrame) -> DataFrame:
+    """(iteration, split, metric, value) of (split, target, iteration, proba)."""
+    from propensity.operators.metrics import ranking_metrics, score_histogram
     eps = 1e-15
     p = F.least(F.greatest(F.col("proba"), F.lit(eps)), F.lit(1 - eps))
     loss = staged.groupBy("split", "iteration").agg(

@@ -37,3 +37,36 @@ def test_gbt_early_stopping_uses_validation_rows(spark):
     pre = fe.fit_preprocessor(train)
     fitted = md.fit_model("gbt_depthwise", pre, train, {"n_estimators": 30}, early_stop=val, validation_tol=0.05)
     assert 1 <= len(md.gbt_stage(fitted).trees) <= 30
+
+
+def _frame(spark):
+    from propensity.operators import features as fe
+    from propensity.session import materialize
+    from propensity.sources import campaign as cf
+    frame = materialize(cf.labelled_and_test(spark, SMALL))
+    return frame, fe.fit_preprocessor(frame.filter(F.col("split") == "train"))
+
+
+def test_stop_waits_for_patience():
+    from propensity.operators import models as md
+    assert md.best_round([1.0, 0.9, 0.95, 0.8, 0.85, 0.9], 3) == (4, False)
+    assert md.best_round([1.0, 0.9, 0.95, 0.96, 0.8], 2) == (2, True)
+    assert md.best_round([1.0 - 1e-6 * i for i in range(500)], 50) == (500, False)
+    assert md.best_round([1.0, 0.99, 0.985, 0.98], 2, tol=0.05) == (1, True)
+
+
+def test_low_rate_fit_keeps_many_trees(spark, monkeypatch):
+    """The fit also grows past its first try; the kept trees are those up to the best validation round."""
+    from propensity.operators import models as md
+    monkeypatch.setattr(md, "FIRST_ROUNDS", 20)
+    frame, pre = _frame(spark)
+    train, val = frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "val")
+    fitted = md.fit_model("gbt_depthwise", pre, train, {"n_estimators": 60, "eta": 0.003, "max_depth": 2}, early_stop=val)
+    gbt = md.gbt_stage(fitted)
+    assert len(gbt.trees) == len(gbt.treeWeights) > 20
+    history = md.staged_history(fitted, pre, frame.filter(F.col("split") != "test")).collect()  # more than HISTORY_TREES
+    loss = {r["iteration"]: r["value"] for r in history if r["split"] == "val" and r["metric"] == "logloss"}
+    assert sorted(loss) == list(range(1, len(gbt.trees) + 1)) and min(loss.values()) == loss[len(gbt.trees)]
+    p = F.least(F.greatest(F.col("proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    last = fitted.score(pre, val).agg(F.avg(-F.when(F.col("target") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
+    assert loss[len(gbt.trees)] == pytest.approx(last, abs=1e-5)
