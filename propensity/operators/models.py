@@ -143,6 +143,8 @@ DEFAULT_PARAMS = {
     "rff_logistic": {"kernel": "rbf", "length_scale": 3.0, "n_features": 100, "reg": 0.001, "max_iter": 50},
 }
 
+STAGED = tuple(n for n in TRAINERS if n.startswith("gbt"))  # trainers whose rounds can be measured one by one
+
 
 MIN_BINS = 64
 PATIENCE = 50  # fixed value: boosting rounds without a better validation loss that end a fit

@@ -135,7 +135,7 @@ def top_n_per_group(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
 # ── training history (E13, E14, H2, H3) ───────────────────────────────────────────────────────────
 
 def history_path(scores: DataFrame, iterations: int = 20) -> DataFrame:
-    """A staged model path from a score: iteration i predicts ``0.5 + (score - 0.5) * i / 10`` clipped to
+    """A made-up path for the SQL checks (trained models: ``models.staged_history``): iteration i predicts ``0.5 + (score - 0.5) * i / 10`` clipped to
     [0.001, 0.999] (under-fit early, over-confident late). Long form ``(model, iteration, split, metric,
     value)`` with log-loss and error, computed from the per-score histogram (never rows × iterations)."""
     hist = mx.score_histogram(scores.filter(F.col("split") != "test"), ["model", "split"])

@@ -596,6 +596,37 @@ def q_gbt_history(spark, sf):
     return md.staged_history(fitted, pre, frame.filter(F.col("split") != "test"))
 
 
+def _trained_history(spark, sf):
+    """E14 of every trainer with staged rounds, fitted on the campaign frame; written once, a row per (model,
+    iteration, split, metric)."""
+    frame, pre = _fitted(spark, sf)
+    labelled, out = frame.filter(F.col("split") != "test"), None
+    for name in md.STAGED:
+        rows = md.staged_history(_fit(name, frame, pre), pre, labelled).select(F.lit(name).alias("model"), "iteration", "split", "metric", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return materialize(out)
+
+
+@query("trained_history")
+def q_trained_history(spark, sf):
+    return _trained_history(spark, sf)
+
+
+@query("trained_best_iteration")
+def q_trained_best_iteration(spark, sf):
+    return rn.best_iteration(_trained_history(spark, sf))
+
+
+@query("trained_loss_curve_gap")
+def q_trained_loss_curve_gap(spark, sf):
+    return rn.loss_curve_gap(_trained_history(spark, sf))
+
+
+@query("trained_all_curves")
+def q_trained_all_curves(spark, sf):
+    return rn.all_curves(_trained_history(spark, sf))
+
+
 def _pfi(spark, sf):
     frame, pre = _fitted(spark, sf)
     num = materialize(pre.numeric(frame.filter(F.col("split") != "test"), keep=["id", "split", "target"]))

@@ -70,3 +70,24 @@ def test_low_rate_fit_keeps_many_trees(spark, monkeypatch):
     p = F.least(F.greatest(F.col("proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
     last = fitted.score(pre, val).agg(F.avg(-F.when(F.col("target") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
     assert loss[len(gbt.trees)] == pytest.approx(last, abs=1e-5)
+
+
+def test_histories_come_from_trained_models(spark):
+    """H2, H3, E13 on models fitted on the frame: every round measured, the kept model ends at its best round."""
+    from propensity.operators import models as md
+    from propensity.operators import runs as rn
+    q = E.queries()
+    history = q["trained_history"](spark, SMALL)
+    rows = history.collect()
+    assert {r["model"] for r in rows} == set(md.STAGED)
+    best = {(r["model"], r["metric"]): r for r in rn.best_iteration(history).collect()}
+    gaps = {r["model"]: r for r in rn.loss_curve_gap(history).collect()}
+    for name in [m for m in md.STAGED if m.startswith("gbt")]:
+        loss = {(r["split"], r["iteration"]): r["value"] for r in rows if r["model"] == name and r["metric"] == "logloss"}
+        n = max(i for _, i in loss)
+        assert len(loss) == 2 * n and n > 1
+        assert best[name, "logloss"]["best_value"] == loss["val", n] == gaps[name]["val_final"]
+        assert gaps[name]["train_final"] == loss["train", n] < loss["train", 1]
+    curves = rn.all_curves(history)
+    assert curves.count() == len(rows) and curves.filter("metric = 'accuracy' and value between 0 and 1").count() == len(rows) // 3
+    assert all(n in q for n in ("trained_best_iteration", "trained_loss_curve_gap", "trained_all_curves"))
