@@ -857,3 +857,23 @@ def q_full_run(spark, sf):
     from propensity.plans.pipeline import RunConfig, run_pipeline
     out = shared_path(spark, "full_run", uuid.uuid4().hex)
     return run_pipeline(spark, sf, RunConfig(mi_top_k=MI_TOP_K_CAMPAIGN, pfi_top_n=8, out_dir=out))["runs"]
+
+
+def _run_importance(spark, sf, **changes):
+    """The importance table that whole runs write. Only boosters have one, so only they are run."""
+    from propensity.plans.pipeline import RunConfig, run_pipeline
+    out = shared_path(spark, "run_importance", uuid.uuid4().hex)
+    boosters = tuple(n for n in md.TRAINERS if n.startswith("gbt"))
+    cfg = {"mi_top_k": MI_TOP_K_CAMPAIGN, "pfi_top_n": 8} | changes
+    run_pipeline(spark, sf, RunConfig(models=boosters, out_dir=out, **cfg))
+    return spark.read.parquet(f"{out}/importance").select("run_id", "feature", "importance_pct")
+
+
+@query("trained_importance_across_runs")
+def q_trained_importance_across_runs(spark, sf):
+    return rn.importance_across_runs(_run_importance(spark, sf))
+
+
+@query("trained_top_n_importance")
+def q_trained_top_n_importance(spark, sf):
+    return rn.top_n_per_group(_run_importance(spark, sf), "run_id", "importance_pct", 3).withColumn("rank", F.col("rank").cast("long"))

@@ -91,3 +91,20 @@ def test_histories_come_from_trained_models(spark):
     curves = rn.all_curves(history)
     assert curves.count() == len(rows) and curves.filter("metric = 'accuracy' and value between 0 and 1").count() == len(rows) // 3
     assert all(n in q for n in ("trained_best_iteration", "trained_loss_curve_gap", "trained_all_curves"))
+
+
+def test_importance_comes_from_the_runs(spark, monkeypatch):
+    """G13, H4 read the importance tables that the run wrote, one per booster."""
+    from propensity.operators import runs as rn
+    from propensity.operators import search as se
+    from propensity.plans import catalog
+    monkeypatch.setattr(se, "SPACES", {"gbt_leafwise": {"n_estimators": ("int", 5, 5, 1)}, "gbt_depthwise": {"n_estimators": ("int", 4, 4, 1)}})
+    table = catalog._run_importance(spark, SMALL, n_trials=1, use_pfi=False)
+    rows = table.collect()
+    runs = {r["run_id"] for r in rows}
+    assert sorted(r.split("_", 2)[2] for r in runs) == ["gbt_depthwise_search", "gbt_leafwise_search"]
+    for run in runs:
+        assert sum(r["importance_pct"] for r in rows if r["run_id"] == run) == pytest.approx(100.0, abs=0.2)
+    wide = rn.importance_across_runs(table)
+    assert set(wide.columns) == {"feature", *runs} and wide.count() == len({r["feature"] for r in rows})
+    assert {"trained_importance_across_runs", "trained_top_n_importance"} <= set(E.queries())
