@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -143,11 +144,12 @@ DEFAULT_PARAMS = {
     "rff_logistic": {"kernel": "rbf", "length_scale": 3.0, "n_features": 100, "reg": 0.001, "max_iter": 50},
 }
 
-STAGED = tuple(n for n in TRAINERS if n.startswith("gbt"))  # trainers whose rounds can be measured one by one
+STAGED = (*(n for n in TRAINERS if n.startswith("gbt")), "mlp")  # trainers whose rounds can be measured one by one
 
 
 MIN_BINS = 64
 PATIENCE = 50  # fixed value: boosting rounds without a better validation loss that end a fit
+MLP_STEP, MLP_PATIENCE = 5, 10  # fixed values: iterations between two looks at the validation loss; without a better one
 HISTORY_TREES = 50  # rounds of a history measured in one pass
 FIRST_ROUNDS = 200  # trees of the first try of a fit that may stop early
 
@@ -210,6 +212,7 @@ class FittedModel:
     variant: str
     fourier: tuple[np.ndarray, np.ndarray] | None = None
     columns: list[str] | None = None  # selected model columns; None: all
+    steps: list[tuple[int, PipelineModel]] = field(default_factory=list)  # network fitted with early stopping: (iterations, model), not saved
 
     def prepare(self, pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> DataFrame:
         if self.variant not in ("tree", "scaled"):
@@ -268,6 +271,28 @@ def _fit_boosting(pipe: Pipeline, train: DataFrame, val: DataFrame, n_estimators
         rounds = min(n_estimators, 4 * rounds)
 
 
+def _log_loss(target: Column, proba: Column) -> Column:
+    p = F.least(F.greatest(proba, F.lit(1e-15)), F.lit(1 - 1e-15))
+    return F.avg(-(target * F.log(p) + (1 - target) * F.log(1 - p)))
+
+
+def _fit_network(pipe: Pipeline, train: DataFrame, val: DataFrame, max_iter: int, tol: float) -> tuple[PipelineModel, list[tuple[int, PipelineModel]]]:
+    """A network trained MLP_STEP iterations at a time, each step from the weights of the one before, up to ``max_iter``
+    iterations or MLP_PATIENCE without a better validation loss: (the best step's model, every step)."""
+    steps, losses, done = [], [], 0
+    best, stopped = 0, False
+    network = pipe.getStages()[-1]
+    while done < max_iter and not stopped:
+        network.setMaxIter(min(MLP_STEP, max_iter - done))
+        done += network.getMaxIter()
+        model = pipe.fit(train)
+        network.setInitialWeights(model.stages[-1].weights)
+        steps.append((done, model))
+        losses.append(model.transform(val).agg(_log_loss(F.col("label"), positive_proba())).first()[0])
+        best, stopped = best_round(losses, MLP_PATIENCE // MLP_STEP, tol)
+    return steps[best - 1][1], steps
+
+
 def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None,
               early_stop: DataFrame | None = None, validation_tol: float = 0.0, columns: Sequence[str] | None = None) -> FittedModel:
     """Fit one trainer on the training rows (``train`` holds raw campaign columns), on the selected model ``columns``
@@ -275,7 +300,8 @@ def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | Non
 
     E13: with ``early_stop`` (validation rows) a boosting model ends after PATIENCE trees without a validation loss
     better by more than ``validation_tol`` (a share of the loss; 0: any improvement counts) and keeps the trees up to
-    its best round. Validation rows are measured only, never fitted."""
+    its best round; the network (E3) is the one after the step with the best validation loss. Validation rows are
+    measured only, never fitted."""
     tr = TRAINERS[name]
     p = {**DEFAULT_PARAMS[name], **(params or {})}
     make = tree_input if tr.variant == "tree" else scaled_input
@@ -288,12 +314,16 @@ def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | Non
     nominal = tree_columns(pre, columns)[1]
     widest = max((len(pre.levels.get(c, ())) + 1 for c in nominal), default=0)
     pipe = build_pipeline(name, p, cols, nominal, n_rows, widest)
-    if early_stop is not None and name.startswith("gbt"):
+    steps = []
+    if early_stop is not None and name in STAGED:
         held = with_label(make(pre, early_stop, KEEP, columns)[0])
-        model = _fit_boosting(pipe, with_label(inp), held, int(p["n_estimators"]), validation_tol)
+        if name == "mlp":
+            model, steps = _fit_network(pipe, with_label(inp), held, int(p["max_iter"]), validation_tol)
+        else:
+            model = _fit_boosting(pipe, with_label(inp), held, int(p["n_estimators"]), validation_tol)
     else:
         model = pipe.fit(with_label(inp))
-    return FittedModel(name, p, model, cols, tr.variant, fourier, None if columns is None else list(columns))
+    return FittedModel(name, p, model, cols, tr.variant, fourier, None if columns is None else list(columns), steps)
 
 
 def gbt_stage(fitted: FittedModel):
@@ -314,15 +344,21 @@ def feature_importance(fitted: FittedModel) -> list[tuple[str, float]]:
 
 
 def staged_history(fitted: FittedModel, pre: Preprocessor, df: DataFrame, target: str = "target") -> DataFrame:
-    """Per boosting iteration and split, log-loss, error and AUC of the staged model.
+    """Per boosting iteration (network: step, up to the stop) and split, log-loss, error and AUC of the staged model.
 
     Margins of the first k trees are ``sum(treeWeight_i * tree_i(x))``; each tree's prediction is added by
     its own transform (narrow), the running sums form one array, and one ``inline`` + ``groupBy`` measures
     HISTORY_TREES iterations at once; a longer model goes on from the margins so far, in a stage table.
     Probability is ``1 / (1 + exp(-2F))`` (the GBT log-loss link)."""
     from propensity.session import materialize
-    gbt = gbt_stage(fitted)
     x = fitted.prepare(pre, df)
+    if not fitted.name.startswith("gbt"):
+        if not fitted.steps:
+            raise ValueError(f"{fitted.name!r} has no staged history: it wasn't fitted with early stopping here")
+        parts = [model.transform(x).select("split", F.col(target).cast("int").alias("target"), F.lit(n).alias("iteration"),
+                                           positive_proba().alias("proba")) for n, model in fitted.steps]
+        return _history_rows(reduce(DataFrame.unionByName, parts))
+    gbt = gbt_stage(fitted)
     for st in fitted.pipeline.stages[:-1]:
         x = st.transform(x)
     x = x.select("split", F.col(target).cast("int").alias("target"), "features", F.lit(0.0).alias("_margin"))
@@ -357,10 +393,8 @@ def _staged(x: DataFrame, trees: Sequence, weights: Sequence[float], before: int
 def _history_rows(staged: DataFrame) -> DataFrame:
     """(iteration, split, metric, value) of (split, target, iteration, proba)."""
     from propensity.operators.metrics import ranking_metrics, score_histogram
-    eps = 1e-15
-    p = F.least(F.greatest(F.col("proba"), F.lit(eps)), F.lit(1 - eps))
     loss = staged.groupBy("split", "iteration").agg(
-        F.avg(-(F.col("target") * F.log(p) + (1 - F.col("target")) * F.log(1 - p))).alias("logloss"),
+        _log_loss(F.col("target"), F.col("proba")).alias("logloss"),
         F.avg(((F.col("proba") >= 0.5).cast("int") != F.col("target")).cast("double")).alias("error"))
     auc = ranking_metrics(score_histogram(staged, ["split", "iteration"]), ["split", "iteration"]).select(
         "split", "iteration", "roc_auc")

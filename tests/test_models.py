@@ -108,3 +108,24 @@ def test_importance_comes_from_the_runs(spark, monkeypatch):
     wide = rn.importance_across_runs(table)
     assert set(wide.columns) == {"feature", *runs} and wide.count() == len({r["feature"] for r in rows})
     assert {"trained_importance_across_runs", "trained_top_n_importance"} <= set(E.queries())
+
+
+def test_whole_run_covers_every_trainer():
+    from propensity.operators import models as md
+    from propensity.plans.pipeline import RunConfig
+    assert RunConfig().models == tuple(md.TRAINERS)
+
+
+def test_network_stops_on_validation_and_has_a_history(spark):
+    from propensity.operators import models as md
+    frame, pre = _frame(spark)
+    train, val = frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "val")
+    fitted = md.fit_model("mlp", pre, train, {"hidden_size": 8, "max_iter": 40}, early_stop=val)
+    history = md.staged_history(fitted, pre, frame.filter(F.col("split") != "test")).collect()
+    loss = {r["iteration"]: r["value"] for r in history if r["split"] == "val" and r["metric"] == "logloss"}
+    assert sorted(loss) == [n for n, _ in fitted.steps] and len(loss) > 1 and max(loss) <= 40
+    p = F.least(F.greatest(F.col("proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    own = fitted.score(pre, val).agg(F.avg(-F.when(F.col("target") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
+    assert own == pytest.approx(min(loss.values()), abs=1e-5)
+    best = min(loss, key=lambda n: (loss[n], n))
+    assert max(loss) == 40 or max(loss) - best == md.MLP_PATIENCE
