@@ -78,8 +78,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tup
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     marks = marks.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     marks = marks.where(~held_out(F.col("doc_id")))
-    chosen = marks.withColumn("_h", F.xxhash64("doc_id", F.lit(SEED))).orderBy("_h", "doc_id").limit(train_docs).drop("_h")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    # labels may be shared with other tables: only those of documents with text count for the bound
+    marks = marks.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = marks.withColumn("_h", F.xxhash64("doc_id", F.lit(SEED))).orderBy("_h", "doc_id").limit(train_docs).drop("_h")
     texts = texts.join(F.broadcast(chosen), "doc_id")  # at most train_docs rows
     features = Features(BUCKETS, N_MIN, N_MAX, words=True)
 

@@ -70,3 +70,13 @@ def test_language_edges(spark, odd_documents, no_documents):
     assert {r.lang_pred for r in langid.identify(odd_documents, one).collect()} == {"xx", "und"}
     digits = spark.createDataFrame([(1, "123 456 !! ² ½ _"), (2, "ſ")], "doc_id long, text string")
     assert [r.lang_pred == "und" for r in langid.identify(digits, one).orderBy("doc_id").collect()] == [True, False]
+
+
+def test_quality_labels_of_other_tables_take_no_sample(spark):
+    """Thousands of labels belong to no document or to one without text: the sample is still full."""
+    texts = [(i, f"good clean words number {i}" if i % 2 else f"bad spam junk number {i}") for i in range(40)]
+    docs = spark.createDataFrame([*texts, *[(i, None) for i in range(40, 80)]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    alone, shared = quality.fit(docs, labels.where("doc_id < 40"), train_docs=20), quality.fit(docs, labels, train_docs=20)
+    assert (alone[0] == shared[0]).all() and (alone[1] == shared[1]).all()
+    assert len({r.score for r in quality.score_quality(docs.where("text is not null"), shared).collect()}) > 1
