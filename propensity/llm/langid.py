@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from propensity.functions.sizing import broadcast_if_bounded
 from propensity.llm.subword import Features, TokenScores, token_slices
+from propensity.session import materialize
 
 # Families of common language codes.
 FAMILIES = {
@@ -39,7 +41,7 @@ FAMILIES = {
 BUCKETS, N_MIN, N_MAX = 1 << 15, 1, 3
 PER_LANG, EPOCHS, LAMBDA, SEED = 400, 10, 1e-4, 11
 FOLDS, HELD_OUT = 3, 1
-MAX_LANGS = 10_000
+MAX_BROADCAST_ROWS = 100_000  # languages whose shares are sent to every executor; more are joined by shuffle
 UND = "und"
 _MARKS = re.compile("\x03+")
 
@@ -112,16 +114,19 @@ class Model:
         return best, float(score / (1 + np.exp(-2 * np.clip(least[best], -50, 50))))
 
 
-def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
-    """Learn from text and non-null lang of the documents outside the held-out fold."""
+def sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+    """lang and text of about ``per_lang`` documents of every lang outside the held-out fold (all if there are fewer)."""
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
-        return None
     scale = 1 << 30
-    limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(scale, -(-scale * per_lang // r["count"])))])
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(scale)) < limits[F.col("lang")])
+    limits = rows.groupBy("lang").count().select("lang", F.expr(f"least({scale}L, ({scale * per_lang - 1}L + count) div count)").alias("_limit"))
+    limits = broadcast_if_bounded(materialize(limits), MAX_BROADCAST_ROWS)
+    return rows.join(limits, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(scale)) < F.col("_limit")).select("lang", "text")
+
+
+def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
+    """Learn from text and non-null lang of the documents outside the held-out fold."""
+    chosen = sample(docs, per_lang)
     features = Features(BUCKETS, N_MIN, N_MAX, words=False)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +141,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
                 counts.append(c.astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "ids", "counts"])
 
-    found = chosen.select("lang", "text").mapInArrow(count, "lang string, ids binary, counts binary").collect()
+    found = chosen.mapInArrow(count, "lang string, ids binary, counts binary").collect()
     found = sorted(((r["lang"], bytes(r["ids"]), bytes(r["counts"])) for r in found if r["ids"]))
     langs = sorted({f[0] for f in found})
     if not langs:

@@ -80,3 +80,13 @@ def test_quality_labels_of_other_tables_take_no_sample(spark):
     alone, shared = quality.fit(docs, labels.where("doc_id < 40"), train_docs=20), quality.fit(docs, labels, train_docs=20)
     assert (alone[0] == shared[0]).all() and (alone[1] == shared[1]).all()
     assert len({r.score for r in quality.score_quality(docs.where("text is not null"), shared).collect()}) > 1
+
+
+def test_every_language_is_sampled(spark):
+    """More languages than any fixed number; a large one is thinned to about its share."""
+    docs = spark.range(36_000).selectExpr("id as doc_id", "case when id % 2 = 0 then 'en' else concat('l', id) end as lang", "'some text' as text")
+    learned = docs.where(~langid.held_out(F.col("doc_id")))
+    counts = {r["lang"]: r["count"] for r in langid.sample(docs, 400).groupBy("lang").count().collect()}
+    want = {r["lang"] for r in learned.select("lang").distinct().collect()}
+    assert len(want) > 10_000 and set(counts) == want
+    assert 300 < counts.pop("en") < 500 and set(counts.values()) == {1}
