@@ -293,12 +293,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each class stays (the smallest id), all columns kept. Rows that repeat an id stay once: the
-    one with the smallest text. Rows with a null id stay."""
-    gone = near_duplicates(docs.select("doc_id", "text"), words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    """One document of each class stays (the smallest id, then the smallest text), all columns kept. Rows that repeat an
+    id are documents of their own, one per text (equal rows of one id and text stay once): unlike texts stay, linked ones
+    don't. Rows with a null id stay."""
     names = docs.columns
     rows = docs.select(F.col("doc_id").cast("long").alias("_key"), F.struct(*[docs[c] for c in names]).alias("_doc"))
-    rows = rows.join(gone, rows["_key"] == gone["_gone"], "left_anti")
-    order = F.struct(F.col("_doc.text").alias("t"), F.xxhash64(F.to_json("_doc")).alias("h"))
-    once = rows.where("_key is not null").groupBy("_key").agg(F.min_by("_doc", order).alias("_doc")).select("_doc")
-    return once.union(rows.where("_key is null").select("_doc")).select(*[F.col("_doc").getField(c).alias(c) for c in names])
+    repeated = materialize(rows.where("_key is not null").groupBy("_key").count().where("count > 1").select(F.col("_key").alias("_again")))
+    if repeated.isEmpty():
+        gone = near_duplicates(docs.select("doc_id", "text"), words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+        rows = rows.join(gone, rows["_key"] == gone["_gone"], "left_anti")
+        return rows.select(*[F.col("_doc").getField(c).alias(c) for c in names])
+    # a vertex per id and text: the id, or for a repeated id a 64-bit hash as for shingles
+    rows = rows.join(broadcast_if_bounded(repeated, MAX_BROADCAST_ROWS), rows["_key"] == repeated["_again"], "left")
+    node = F.when(F.col("_again").isNotNull(), F.xxhash64("_key", "_doc.text", F.lit(SEED))).otherwise(F.col("_key"))
+    rows = rows.select(node.alias("_node"), "_key", F.col("_again").isNotNull().alias("_many"), "_doc")
+    found = materialize(near_duplicates(rows.select(F.col("_node").alias("doc_id"), F.col("_doc.text").alias("text")), words, percent)
+                        .where("doc_id is not null").select(F.col("doc_id").alias("id"), "component_id").distinct())
+    # classes of one vertex need no choice
+    groups = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = found.join(groups, "component_id").join(rows.select(F.col("_node").alias("id"), "_key", F.when(F.col("_many"), F.col("_doc.text")).alias("text")), "id")
+    first = members.groupBy("component_id").agg(F.min_by("id", F.struct("_key", "text", "id")).alias("_stays"))
+    gone = members.join(first, "component_id").where("id <> _stays").select(F.col("id").alias("_gone")).distinct()
+    rows = rows.join(materialize(gone), F.col("_node") == F.col("_gone"), "left_anti")
+    once = rows.where("_many").groupBy("_node").agg(F.min_by("_doc", F.xxhash64(F.to_json("_doc"))).alias("_doc")).select("_doc")
+    return once.union(rows.where("not _many").select("_doc")).select(*[F.col("_doc").getField(c).alias(c) for c in names])

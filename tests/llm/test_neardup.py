@@ -96,3 +96,15 @@ def test_signature_estimates_similarity():
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (5, 5)], "a long, b long")
     assert {(r.id, r.component) for r in components(edges).collect()} == {(i, 1) for i in range(1, 61)} | {(100, 100), (101, 100)}
+
+
+def test_drop_keeps_unlike_rows_of_one_id(spark):
+    """A hot id with unlike texts loses only its near copies; the smallest id of a class stays."""
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(5, text("a")), (5, text("b")), (5, text("b") + " end"), (5, text("c")), (5, text("c")), (5, None), (5, ""), (9, text("a")), (3, text("c")),
+            (7, text("d")), (None, text("a")), (None, text("a"))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, r.text) for r in neardup.drop_near_duplicates(df).collect()), key=repr)
+    want = [(5, text("a")), (5, text("b")), (5, None), (5, ""), (3, text("c")), (7, text("d")), (None, text("a")), (None, text("a"))]
+    assert got == sorted(want, key=repr)
