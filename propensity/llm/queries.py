@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propensity.llm import decontaminate, langid, mixing, neardup, quality, repeats, secrets, tokenfile, topk, warc
+from propensity.llm import (decontaminate, langid, mixing, neardup, packing, quality, repeats, secrets, spelling, tokenfile,
+                            topk, warc, whiten)
 from propensity.llm.common import prepare
 from propensity.sources.tables import table
 
@@ -65,9 +66,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_top_k, op2_quality, op3_decontaminate, op4_near_duplicates, op5_warc, op6_language, op7_token_files, op8_mixing,
-    op9_secrets, op10_repeats)}
+    op9_secrets, op10_repeats, op11_spelling, op12_whitening, op13_packing)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
 _ALNUM = _WORDS.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -108,4 +121,5 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """,
+    "op11_spelling": spelling.SQL,
 }

@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_all_operators_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
