@@ -1,11 +1,10 @@
 """Exact top-k inner products: norm-sorted candidates, SVD-rotated partial sums, Cauchy-Schwarz bounds.
 
 Vectors are scaled to integers, ``floor(scale * x)``. Candidates are range-partitioned by descending length and
-packed into blocks. Queries are read in blocks of bounded size; for each query block one pass over the candidate
+packed into blocks. Queries are packed into blocks of bounded size too; for each of them one pass over the candidate
 blocks keeps, per task, the best ``k`` of every query. A query is skipped for a whole candidate block when
-``|q| * (longest candidate)`` can't reach its threshold; otherwise the first rotated coordinates give a partial
-sum, ``|q_rest| * |c_rest|`` bounds the remainder, and only pairs whose bound reaches the threshold get the exact
-integer product. Thresholds start from the longest candidates and rise inside each task. The rotation is the
+``|q| * (longest candidate)`` can't reach its threshold; otherwise the rotated coordinates up to each cut give a partial
+sum, ``|q_rest| * |c_rest|`` bounds the remainder, and only what the bounds leave gets the exact integer product. Thresholds start from the longest candidates and rise inside each task. The rotation is the
 right singular basis of a bounded sample of candidates; it affects speed only, never results.
 
 Bounds are compared with a margin above their rounding error, and scores are computed in whole numbers: double
@@ -18,23 +17,28 @@ to the smaller id; components beyond the 64-bit range saturate; fewer than k can
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensity.llm.common import record_batch
-from propensity.session import materialize
+from propensity.session import materialize, shared_path
 
 K, SCALE, QUERY_EVERY = 5, 256, 50
 BLOCK_ROWS, QUERY_BLOCK_BYTES, SAMPLE_ROWS, SEED_ROWS = 4096, 8 << 20, 8192, 4096
-HEAD_SHARE = 0.25
+CUTS = (16, 32, 48)  # rotated coordinates after which pairs are ruled out
+TRIAL_PAIRS, USEFUL, RETRY = 1 << 22, 0.6, 32  # a cut that leaves more than this share is tried once in so many blocks
+QUERY_ROWS, PAIRWISE = 512, 0.02
 EXACT = float(1 << 52)
 
 _BLOCK_SCHEMA = pa.schema([("longest", pa.float64()), ("n", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
 _BLOCK_DDL = "longest double, n long, ids binary, vectors binary"
+_QUERY_SCHEMA = pa.schema([("n", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
+_QUERY_DDL = "n long, ids binary, vectors binary"
 _HIT_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 _HIT_DDL = "query_id long, vec_id long, score long"
 
@@ -87,26 +91,36 @@ def rotation(vectors: DataFrame, dim: int, rows: int = SAMPLE_ROWS) -> np.ndarra
 
 
 class QueryBlock:
-    """Queries with rotated coordinates, current best k each, and thresholds."""
+    """Queries with rotated coordinates, current best k each, and thresholds.
+
+    A block of candidates is cut down in steps: after the first 16, 32, 48 rotated coordinates the partial sums plus
+    the Cauchy-Schwarz bound of the rest rule pairs out, and candidates and queries without a pair left drop out of
+    the block. What is left is finished pair by pair if little is, as one block product otherwise. A cut that has
+    ruled out little so far is only tried now and then: it decides the work, never the result."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.vectors, self.turn, self.k = ids, vectors, turn, k
-        self.norm = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
-        rotated = vectors.astype(np.float64) @ turn
-        self.cut = max(1, int(vectors.shape[1] * HEAD_SHARE))
-        self.head = rotated[:, :self.cut]
-        self.rest = np.sqrt((rotated[:, self.cut:] ** 2).sum(1))
+        self.values = vectors.astype(np.float64)
+        self.norm = np.sqrt((self.values ** 2).sum(1))
+        self.cuts = [c for c in CUTS if c < vectors.shape[1]]
+        self.rotated, self.rests = self._turned(self.values)
         self.floor = np.full(len(ids), -np.inf) if floor is None else floor
+        self.tested, self.left, self.offers = np.zeros(len(self.cuts) + 1), np.zeros(len(self.cuts) + 1), 0
         empty = np.empty(0, np.int64)
         self.best = (empty, empty, empty)  # query position, vec_id, score
 
-    def scores(self, at: np.ndarray, rows: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Exact integer products of pairs (query, candidate row)."""
+    def _turned(self, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Rotated coordinates and, per cut, the length of what comes after it."""
+        rotated = values @ self.turn
+        return rotated, [np.sqrt((rotated[:, c:] ** 2).sum(1)) for c in self.cuts]
+
+    def scores(self, at: np.ndarray, rows: np.ndarray, c: np.ndarray, exact: bool) -> np.ndarray:
+        """Integer products of pairs (query, candidate row)."""
         out = np.empty(len(at), np.int64)
-        big = self.norm[at].max(initial=0) * np.sqrt((c.astype(np.float64) ** 2).sum(1)).max(initial=0) >= EXACT
+        q, v = (self.values, c.astype(np.float64)) if exact else (self.vectors, c)
         for a in range(0, len(at), 1 << 15):
-            q, v = self.vectors[at[a:a + (1 << 15)]], c[rows[a:a + (1 << 15)]]
-            out[a:a + (1 << 15)] = np.einsum("ij,ij->i", q, v) if big else np.einsum("ij,ij->i", q.astype(np.float64), v.astype(np.float64))
+            part = slice(a, a + (1 << 15))
+            out[part] = np.einsum("ij,ij->i", q[at[part]], v[rows[part]])
         return out
 
     def offer(self, ids: np.ndarray, c: np.ndarray) -> None:
@@ -117,17 +131,56 @@ class QueryBlock:
         live = np.flatnonzero(self.norm * lengths.max() + slack >= self.floor)
         if not len(live):
             return
-        rotated = values @ self.turn
-        head, rest = rotated[:, :self.cut], np.sqrt((rotated[:, self.cut:] ** 2).sum(1))
-        for a in range(0, len(live), 512):
-            part = live[a:a + 512]
-            bound = self.head[part] @ head.T + np.outer(self.rest[part], rest)
-            near = bound + slack[part, None] >= self.floor[part, None]
-            near &= self.ids[part, None] != ids[None, :]
-            q, row = np.nonzero(near)
-            if len(q):
-                q = part[q]
-                self._merge(q, ids[row], self.scores(q, row, c))
+        self.offers += 1
+        retry = self.offers % RETRY == 0
+        use = [k for k in range(len(self.cuts)) if retry or self.tested[k] < TRIAL_PAIRS or self.left[k] < USEFUL * self.tested[k]]
+        rotated, rests = self._turned(values) if use else (None, None)
+        exact = self.norm[live].max() * lengths.max() < EXACT
+        for a in range(0, len(live), QUERY_ROWS):
+            self._offer(live[a:a + QUERY_ROWS], ids, c, values, lengths, rotated, rests, slack, use, exact)
+
+    def _offer(self, rows, ids, c, values, lengths, rotated, rests, slack, use, exact) -> None:
+        floor = self.floor[rows] - slack[rows]
+        # row-level stop: a candidate that is too short for every query of the part
+        columns = np.flatnonzero(np.isneginf(floor).any() | (lengths >= (floor / np.maximum(self.norm[rows], 1e-300)).min()))
+        total, done, near = None, 0, None
+        for k in use:
+            if not len(columns):
+                return
+            to = self.cuts[k]
+            step = self.rotated[rows, done:to] @ rotated[columns, done:to].T
+            total, done = step if total is None else total + step, to
+            near = total + self.rests[k][rows, None] * rests[k][None, columns] >= floor[:, None]
+            self.tested[k] += near.size
+            keep_rows, keep_columns = near.any(1), near.any(0)
+            self.left[k] += int(near.sum())
+            if not keep_rows.all() or not keep_columns.all():
+                rows, columns, floor = rows[keep_rows], columns[keep_columns], floor[keep_rows]
+                total, near = total[np.ix_(keep_rows, keep_columns)], near[np.ix_(keep_rows, keep_columns)]
+        if not len(rows) or not len(columns):
+            return
+        self.tested[-1] += len(rows) * len(columns)
+        if not exact or (near is not None and near.mean() < PAIRWISE):
+            q, row = np.nonzero(near if near is not None else np.ones((len(rows), len(columns)), bool))
+            q, row = rows[q], columns[row]
+            score = self.scores(q, row, c, exact)
+            other = self.ids[q] != ids[row]
+            self._enter(q[other], ids[row[other]], score[other])
+            return
+        product = self.values[rows] @ values[columns].T
+        own = np.flatnonzero(np.isin(ids[columns], self.ids[rows]))  # a query is no candidate of its own
+        product[:, own] = np.where(self.ids[rows, None] == ids[None, columns[own]], -np.inf, product[:, own])
+        least = self.floor[rows]
+        if product.shape[1] > self.k and np.isneginf(least).any():  # the k-th best of the block is a threshold already
+            least = np.maximum(least, np.partition(product, -self.k, axis=1)[:, -self.k])
+        q, row = np.nonzero((product >= least[:, None]) & (product > -np.inf))
+        self._enter(rows[q], ids[columns[row]], product[q, row].astype(np.int64))
+
+    def _enter(self, q: np.ndarray, vec: np.ndarray, score: np.ndarray) -> None:
+        better = score >= self.floor[q]
+        if better.any():
+            self.left[-1] += int(better.sum())
+            self._merge(q[better], vec[better], score[better])
 
     def _merge(self, q: np.ndarray, vec: np.ndarray, score: np.ndarray) -> None:
         old = np.isin(self.best[0], q)
@@ -148,22 +201,43 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.frombuffer(row["vectors"], "<i8").reshape(len(ids), -1)
 
 
-def _query_blocks(vectors: DataFrame, every: int, dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    asked = vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+def pack_queries(vectors: DataFrame, every: int, dim: int) -> DataFrame:
+    """Blocks of queries, packed where their rows are: (n, ids, vectors), each at most QUERY_BLOCK_BYTES."""
     limit = max(1, QUERY_BLOCK_BYTES // (8 * dim))
-    ids, rows = [], []
-    for r in asked.toLocalIterator():
-        ids.append(r["vec_id"])
-        rows.append(r["v"])
-        if len(ids) == limit:
-            yield np.array(ids, np.int64), np.array(rows, np.int64)
-            ids, rows = [], []
-    if ids:
-        yield np.array(ids, np.int64), np.array(rows, np.int64)
-
-
-def _pass(blocks: DataFrame, ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, floor: np.ndarray, k: int) -> DataFrame:
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, rows = np.empty(0, "<i8"), np.empty((0, dim), "<i8")
+        for batch in batches:
+            ids = np.concatenate([ids, batch.column("vec_id").to_numpy().astype("<i8")])
+            rows = np.concatenate([rows, batch.column("v").flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(batch.num_rows, dim)])
+            while len(ids) >= limit:
+                yield record_batch(_QUERY_SCHEMA, {"n": [limit], "ids": [ids[:limit].tobytes()], "vectors": [rows[:limit].tobytes()]})
+                ids, rows = ids[limit:], rows[limit:]
+        if len(ids):
+            yield record_batch(_QUERY_SCHEMA, {"n": [len(ids)], "ids": [ids.tobytes()], "vectors": [rows.tobytes()]})
+
+    asked = vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return asked.mapInArrow(blocks, _QUERY_DDL)
+
+
+def _groups(blocks: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Query blocks joined up to QUERY_BLOCK_BYTES; a block at a time reaches the driver."""
+    held, size = [], 0
+    for r in blocks.toLocalIterator():
+        if held and size + len(r["vectors"]) > QUERY_BLOCK_BYTES:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, size = [], 0
+        held.append(_unpack(r))
+        size += len(r["vectors"])
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _pass(spark: SparkSession, blocks: DataFrame, ids: np.ndarray, queries: np.ndarray, turn: np.ndarray, floor: np.ndarray, k: int) -> DataFrame:
+    sent = spark.sparkContext.broadcast((ids, queries, turn, floor))
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries, turn, floor = sent.value
         own = QueryBlock(ids, queries, turn, k, floor.copy())
         for batch in batches:
             for i in range(batch.num_rows):
@@ -178,20 +252,21 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, scale: in
     """Per query (vec_id divisible by ``every``) its k highest integer products: query_id, rank, vec_id, score."""
     spark = embeddings.sparkSession
     vectors = materialize(integer_vectors(embeddings, scale))
-    hits = spark.createDataFrame([], _HIT_DDL)
+    found = shared_path(spark, "stage", spark.sparkContext.applicationId, uuid.uuid4().hex)  # one table for all passes
+    spark.createDataFrame([], _HIT_DDL).write.parquet(found)
     for (dim,) in vectors.select("dim").distinct().toLocalIterator():
         own = vectors.where(F.col("dim") == dim)
         turn = rotation(own, dim)
-        blocks = materialize(pack(own))
+        blocks, asked = materialize(pack(own)), materialize(pack_queries(own, every, dim))
         longest = [_unpack(r) for r in blocks.orderBy(F.desc("longest")).limit(max(1, SEED_ROWS // BLOCK_ROWS)).collect()]
-        for ids, queries in _query_blocks(own, every, dim):
+        for ids, queries in _groups(asked):
             # thresholds from the longest candidates: real scores of real candidates, so safe lower bounds
             seed = QueryBlock(ids, queries, turn, k)
             for block_ids, block in longest:
                 seed.offer(block_ids, block)
-            hits = hits.unionByName(materialize(_pass(blocks, ids, queries, turn, seed.floor, k)))
+            _pass(spark, blocks, ids, queries, turn, seed.floor, k).write.mode("append").parquet(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    ranked = spark.read.schema(_HIT_DDL).parquet(found).withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

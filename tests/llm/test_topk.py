@@ -51,25 +51,40 @@ def test_many_blocks_and_query_blocks(spark, monkeypatch):
     assert run(spark, data) == brute(data)
 
 
-def test_bounds_prune():
-    """Most pairs never reach an exact product when lengths differ."""
-    rng = np.random.default_rng(2)
-    v = np.floor(rng.normal(size=(4000, 32)) * rng.lognormal(0, 1, (4000, 1)) * 40).astype(np.int64)
-    v = v[np.argsort(-(v ** 2).sum(1))]
+def offered(v, queries, step=500):
     turn = np.linalg.svd(v.astype(float), full_matrices=False)[2].T
-    block = topk.QueryBlock(np.arange(0, 50), v[:50], turn, 5)
-    pairs = 0
-    plain = topk.QueryBlock.scores
-    topk.QueryBlock.scores = lambda self, at, rows, c: (lambda s: s)(plain(self, at, rows, c))
-    try:
-        for a in range(0, 4000, 500):
-            before = block.floor.copy()
-            block.offer(np.arange(a, a + 500), v[a:a + 500])
-            pairs += int((block.floor > before).sum())
-    finally:
-        topk.QueryBlock.scores = plain
-    exact = v[:50] @ v.T
-    for q in range(50):
-        exact[q, q] = np.iinfo(np.int64).min
+    block = topk.QueryBlock(np.arange(queries), v[:queries], turn, 5)
+    for a in range(0, len(v), step):
+        block.offer(np.arange(a, min(len(v), a + step)), v[a:a + step])
+    exact = v[:queries] @ v.T
+    np.fill_diagonal(exact, -(1 << 60))
+    for q in range(queries):
         own = block.best[0] == q
-        assert sorted(block.best[2][own]) == sorted(np.sort(exact[q])[-5:])
+        want = np.lexsort((np.arange(len(v)), -exact[q]))[:5]
+        assert sorted(zip(-block.best[2][own], block.best[1][own])) == [(-exact[q, i], i) for i in want]
+    return block
+
+
+def test_bounds_prune(monkeypatch):
+    """Few pairs reach an exact product when lengths differ or a few directions carry most of the lengths."""
+    monkeypatch.setattr(topk, "TRIAL_PAIRS", 0)
+    rng = np.random.default_rng(2)
+    lengths = np.floor(rng.normal(size=(4000, 64)) * rng.lognormal(0, 1, (4000, 1)) * 40).astype(np.int64)
+    flat = np.floor(rng.normal(size=(4000, 64)) * np.geomspace(400, 1, 64)).astype(np.int64)
+    for v in (lengths, flat):
+        monkeypatch.setattr(topk, "USEFUL", 1.1)  # every cut is made
+        block = offered(v[np.argsort(-(v ** 2).sum(1), kind="stable")], 50)
+        assert block.left[-2] < 0.2 * 50 * 4000
+
+
+def test_cuts_that_rule_nothing_out_are_left_out(monkeypatch):
+    monkeypatch.setattr(topk, "TRIAL_PAIRS", 1)
+    rng = np.random.default_rng(3)
+    v = rng.integers(-300, 300, (6000, 64))
+    block = offered(v[np.argsort(-(v ** 2).sum(1), kind="stable")], 40)
+    assert block.tested[0] < 0.5 * 40 * 6000
+
+
+def test_ties_inside_and_across_blocks():
+    v = np.tile(np.arange(1, 65, dtype=np.int64), (300, 1))
+    offered(v, 20, step=40)
