@@ -44,7 +44,8 @@ MAGIC = b"TIDPLN01"
 TRAILER = "<QQQQI4x8s"  # table place, table size, index place, index size, flags, magic
 BLOCK_IDS = 1 << 16
 END_ID = 2
-CACHE_PIECES = 500_000
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 200  # of a dictionary's slot, a string and a bytes object
 MAX_FILES = 1_000_000  # rows of the table of file offsets that may go to every executor
 
 
@@ -205,22 +206,26 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_ENDS = frozenset(".,;:!?")
+_SPACE = _BYTE_LETTERS[0x20]
 
 
 class _Pieces(dict):
-    """Ids of pieces as bytes, looked up by the text between two spaces; two generations bound its size.
+    """Ids of pieces as bytes, looked up by the text between two spaces. Two generations bound its size: ``limit``
+    bytes, half of it each; what is still in use moves from the old one to the new one.
 
     A key stands for a space and itself. Unknown keys are cut at the tokenizer's own boundaries, so a word with
     its punctuation or line end costs one encoding of the word."""
 
     def __init__(self, tokenizer, limit: int):
-        self.tokenizer, self.model, self.limit, self.old = tokenizer, tokenizer.model, limit, {}
+        self.tokenizer, self.tokenize, self.old = tokenizer, tokenizer.model.tokenize, {}
+        self.limit, self.used = limit // 2, 0
 
     def raw(self, piece: str) -> bytes:
         """One match of the splitting pattern, or several in a row, straight to the library's merge model."""
         if (piece[1:] if piece[0] == " " else piece).isalpha():
-            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            letters = piece.replace(" ", _SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def of(self, text: str) -> bytes:
@@ -232,18 +237,24 @@ class _Pieces(dict):
         return self[" " + piece]
 
     def __missing__(self, key: str) -> bytes:
+        if key[-1:] in _ENDS and key.isascii() and key[:-1].isalpha():  # put together each time, not kept
+            return self[key[:-1]] + self[" " + key[-1]]
         ids = self.old.get(key)
         if ids is None:
             if key[0] == " ":
                 ids = self.raw(key[1:])
+            elif key.isascii() and key.isalpha():
+                ids = array("I", [t.id for t in self.tokenize(_SPACE + key)]).tobytes()
             else:
                 cut = _PIECES.findall(" " + key)
                 ids = self.raw(cut[0]) if len(cut) == 1 else self[cut[0][1:]] + b"".join(map(self.part, cut[1:]))
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
         if len(key) <= 64:
+            if self.used >= self.limit:
+                self.old = dict(self)
+                self.clear()
+                self.used = 0
             self[key] = ids
+            self.used += ENTRY_BYTES + 4 * len(key) + len(ids)
         return ids
 
 
@@ -260,7 +271,7 @@ def _encoder(path: str, limit: int):
     return tokenizer, _Pieces(tokenizer, limit) if known else None, added
 
 
-def encode(text: str, path: str, limit: int = CACHE_PIECES) -> bytes:
+def encode(text: str, path: str, limit: int = CACHE_BYTES) -> bytes:
     """Ids of ``text`` as little-endian uint32, equal to encoding it in one call."""
     tokenizer, pieces, added = _encoder(path, limit)
     if pieces is None or any(t in text for t in added):  # another kind of tokenizer, or a special string
@@ -281,7 +292,7 @@ _DOCS_SCHEMA = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("at", p
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS,
-                      bits: bool = False, cache_pieces: int = CACHE_PIECES) -> DataFrame:
+                      bits: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Encode every text and write files of ascending doc_id into ``folder`` (a URI that all executors share).
     Returns the manifest (file, part, n_docs, n_ids), one row per file."""
     end = struct.pack("<I", end_id)
@@ -297,7 +308,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 texts = batch.column("text")
                 for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                     text = texts[i].as_py()
-                    out.add(doc, (encode(text, tokenizer_path, cache_pieces) if text else b"") + end)
+                    out.add(doc, (encode(text, tokenizer_path, cache_bytes) if text else b"") + end)
             n_docs, n_ids = out.close()
         files.move(trial, name)
         yield record_batch(_MANIFEST_SCHEMA, {"file": [f"part-{part:06d}.tid"], "part": [part], "n_docs": [n_docs], "n_ids": [n_ids]})
