@@ -44,7 +44,7 @@ MAGIC = b"TIDPLN01"
 TRAILER = "<QQQQI4x8s"  # table place, table size, index place, index size, flags, magic
 BLOCK_IDS = 1 << 16
 END_ID = 2
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 200  # of a dictionary's slot, a string and a bytes object
 MAX_FILES = 1_000_000  # rows of the table of file offsets that may go to every executor
 
@@ -198,16 +198,17 @@ _PIECES = re.compile(
     rf" ?[A-Za-zÀ-ÖØ-öø-ʯ]+(?=[\t-\r .,;:!?$%&*#()|/-]|\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> list[str]:
     """Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
 _BYTE_LETTERS = _byte_letters()
 _ENDS = frozenset(".,;:!?")
 _SPACE = _BYTE_LETTERS[0x20]
+_letter = _BYTE_LETTERS.__getitem__
 
 
 class _Pieces(dict):
@@ -224,7 +225,7 @@ class _Pieces(dict):
     def raw(self, piece: str) -> bytes:
         """One match of the splitting pattern, or several in a row, straight to the library's merge model."""
         if (piece[1:] if piece[0] == " " else piece).isalpha():
-            letters = piece.replace(" ", _SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            letters = "".join(map(_letter, piece.encode()))
             return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
@@ -248,7 +249,7 @@ class _Pieces(dict):
             else:
                 cut = _PIECES.findall(" " + key)
                 ids = self.raw(cut[0]) if len(cut) == 1 else self[cut[0][1:]] + b"".join(map(self.part, cut[1:]))
-        if len(key) <= 64:
+        if len(key) <= 64 and (key[0] == " " or "\n" not in key):  # words around a line end rarely come again
             if self.used >= self.limit:
                 self.old = dict(self)
                 self.clear()
