@@ -44,7 +44,7 @@ MAX_BINS = 64  # of a numeric column
 MAX_CODES = 255  # value codes of any column; the code after the last one is "missing"
 ONE = 1 << 24  # gradients are multiples of 1 / ONE
 STEPS, FINE_STEPS = 512, 1 << 14  # score steps of a round's AUC and of a finished fit's
-AHEAD = 8  # leaves measured ahead by leaf-wise growth
+AHEAD = 128  # leaves measured ahead by leaf-wise growth, at most
 PASS_NODES = 512  # histograms of a pass
 PASS_BYTES = 64 << 20  # of a pass's sums that may reach the driver unadded
 STATE_BYTES = 256 << 20  # of rows and margins that a Python worker keeps
@@ -105,7 +105,7 @@ _CODED = "key long, target byte, role byte, codes binary"
 
 
 def code_rows(df: DataFrame, bins: Bins, key: Column, target: Column, role: Column) -> DataFrame:
-    """(key, target, role, codes): the binned rows, written once."""
+    """(key, target, role, codes): the binned rows, written once. Samples of rows go by the key, a long."""
     schema = pa.schema([("key", pa.int64()), ("target", pa.int8()), ("role", pa.int8()), ("codes", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +114,7 @@ def code_rows(df: DataFrame, bins: Bins, key: Column, target: Column, role: Colu
             yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_target"), batch.column("_role"),
                                               pa.array([r.tobytes() for r in found], pa.binary())], schema=schema)
 
-    rows = df.select(F.xxhash64(key).alias("_key"), target.cast("byte").alias("_target"), role.cast("byte").alias("_role"),
+    rows = df.select(key.cast("long").alias("_key"), target.cast("byte").alias("_target"), role.cast("byte").alias("_role"),
                      *[F.col(c).cast("double").alias(c) for c in bins.numeric], *[F.col(c).cast("string").alias(c) for c in bins.nominal])
     return materialize(rows.mapInArrow(code, _CODED))
 
@@ -174,7 +174,7 @@ def hashed(key: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _score(g: np.ndarray, h: np.ndarray, p: Params) -> np.ndarray:
-    t = np.sign(g) * np.maximum(np.abs(g) - p.alpha, 0.0)
+    t = np.maximum(np.abs(g) - p.alpha, 0.0) if p.alpha else g
     return t * t / np.maximum(h + p.lam, 1e-12)
 
 
@@ -194,27 +194,36 @@ def best_splits(hists: np.ndarray, nominal: np.ndarray, p: Params) -> list[tuple
         part = hists[:, nominal].astype(np.float64)
         ratio = np.where(part[..., 2] > 0, part[..., 0] / (part[..., 1] + p.lam * ONE + 1.0), np.inf)
         order[:, nominal] = np.argsort(ratio, axis=-1, kind="stable")
-    sums = np.cumsum(np.take_along_axis(hists, order[..., None], 2), axis=2)
-    total, last = sums[:, :, -1:, :], hists[:, :, -1:, :]
+    sums = np.cumsum(np.take_along_axis(hists, order[..., None], 2) if nominal.any() else hists, axis=2)
+    total, last = sums[:, 0, -1, :], hists[:, :, -1:, :]
     # without the last place everything would be left; of a numeric column that place is the missing code
-    right_missing = sums[:, :, :-1, :]
-    left_missing = np.where(nominal[None, :, None, None], right_missing, right_missing + last)
-    left = np.stack([right_missing, left_missing], axis=3)  # nodes, columns, limits, missing side, sums
-    right = total[:, :, :, None, :] - left
-    gl, hl, gr, hr = left[..., 0] / ONE, left[..., 1] / ONE, right[..., 0] / ONE, right[..., 1] / ONE
-    whole = total[:, 0, 0, :]
-    gain = _score(gl, hl, p) + _score(gr, hr, p) - _score(whole[:, 0] / ONE, whole[:, 1] / ONE, p)[:, None, None, None]
-    fine = (left[..., 2] >= max(1, p.min_rows)) & (right[..., 2] >= max(1, p.min_rows)) & (hl >= p.min_hessian) & (hr >= p.min_hessian)
-    gain = np.where(fine, gain, -np.inf).reshape(k, -1)
-    at = gain.argmax(1)
+    left = sums[:, :, :-1, :]
+    best, at, sides = None, None, [left]
+    if (last[:, ~nominal, :, 2] > 0).any():
+        sides.append(np.where(nominal[None, :, None, None], left, left + last))
+    whole = _score(total[:, 0] / ONE, total[:, 1] / ONE, p)
+    for side in sides:
+        g, h, n = (side[..., i] for i in range(3))
+        gl, hl = g / ONE, h / ONE
+        gr, hr = total[:, None, None, 0] / ONE - gl, total[:, None, None, 1] / ONE - hl
+        gain = _score(gl, hl, p) + _score(gr, hr, p) - whole[:, None, None]
+        fine = (n >= max(1, p.min_rows)) & (total[:, None, None, 2] - n >= max(1, p.min_rows)) & (hl >= p.min_hessian) & (hr >= p.min_hessian)
+        gain = np.where(fine, gain, -np.inf).reshape(k, -1)
+        place = gain.argmax(1)
+        top = gain[np.arange(k), place]
+        if best is None:
+            best, at, which = top, place, np.zeros(k, int)
+        else:
+            better = (top > best) | ((top == best) & (place < at) & (top > -np.inf))
+            best, at, which = np.where(better, top, best), np.where(better, place, at), np.where(better, 1, which)
     out = []
-    for n in range(k):
-        column, limit, side = np.unravel_index(at[n], (c, w - 1, 2))
+    for i in range(k):
+        column, limit = divmod(int(at[i]), w - 1)
         codes = np.zeros(w, bool)
-        codes[order[n, column, :limit + 1]] = True
-        if side and not nominal[column]:
+        codes[order[i, column, :limit + 1]] = True
+        if which[i] and not nominal[column]:
             codes[-1] = True
-        out.append((float(gain[n, at[n]]), int(column), codes, left[n, column, limit, side]))
+        out.append((float(best[i]), column, codes, sides[which[i]][i, column, limit]))
     return out
 
 
@@ -605,8 +614,10 @@ def tasks_for(df: DataFrame, rows: int) -> int:
     return max(min(2, slots), min(slots, -(-rows // ROWS_PER_TASK)), rows // 2_000_000)
 
 
-def fit_many(coded: DataFrame, bins: Bins, params: Sequence[Params], tasks: int | None = None) -> list[BoostedModel]:
-    """Fit every parameter set on the coded rows (``code_rows``), all of them side by side."""
+def fit_many(coded: DataFrame, bins: Bins, params: Sequence[Params], tasks: int | None = None,
+             finished: Callable[[int, BoostedModel], None] = lambda i, model: None) -> list[BoostedModel]:
+    """Fit every parameter set on the coded rows (``code_rows``), all of them side by side; ``finished`` is called as
+    each of them ends."""
     sc = coded.sparkSession.sparkContext
     n = coded.count()
     if not n:
@@ -662,14 +673,19 @@ def fit_many(coded: DataFrame, bins: Bins, params: Sequence[Params], tasks: int
     def budget() -> int:
         return max(1, PASS_NODES // live[0])
 
+    def fit(i: int) -> Ask:
+        f = yield from boost(params[i], nominal, log.trees[i].append, budget)
+        model = BoostedModel(bins, f.base, f.trees, f.history, f.aucs)
+        finished(i, model)
+        return model
+
     try:
-        fits = [boost(q, nominal, log.trees[i].append, budget) for i, q in enumerate(params)]
+        fits = [fit(i) for i in range(len(params))]
 
         def counted(wanted: dict[int, Request]) -> dict[int, list]:
             live[0] = max(1, len(wanted))
             return ask(wanted)
 
-        found = drive(fits, counted)
+        return drive(fits, counted)
     finally:
         blocks.unpersist()
-    return [BoostedModel(bins, f.base, f.trees, f.history, f.aucs) for f in found]

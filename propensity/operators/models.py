@@ -1,10 +1,10 @@
 """Classifiers (E1–E5, E13–E18) as Spark ML pipelines.
 
-Every model is a ``Pipeline`` fitted on the training split and persisted with the ML writers. The
+Every other model is a ``Pipeline`` fitted on the training split and persisted with the ML writers. The
 single-machine learners of the reference are re-aimed at their distributed Spark counterparts:
 
-* leaf-wise and depth-wise boosting → ``GBTClassifier`` presets (nominals through ``StringIndexer`` so the
-  trees split on categories);
+* leaf-wise and depth-wise boosting → ``operators.boosting`` (histogram passes over binned columns, missing values and
+  levels of nominal columns split by the trees themselves);
 * feed-forward network → ``MultilayerPerceptronClassifier``;
 * kernel margin classifier → ``LinearSVC`` on the raw, polynomial or random-Fourier feature space, with a
   Platt (logistic) layer on the margin for probabilities;
@@ -22,19 +22,14 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-)
-from pyspark.ml.feature import PolynomialExpansion, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions.exprs import rnd
+from propensity.operators import boosting as bo
 from propensity.operators.features import Preprocessor, columns_to_originals
 
 SEED = 42
@@ -45,10 +40,6 @@ SEED = 42
 KEEP = ("id", "split", "target")
 
 
-def missing_flag(col: str) -> str:
-    return f"{col}__missing"
-
-
 def tree_columns(pre: Preprocessor, columns: Sequence[str] | None = None) -> tuple[list[str], list[str]]:
     """(ordinal/numeric columns, nominal columns) of the tree variant. ``columns`` (selected model columns, dummies
     included) maps back to the columns they come from."""
@@ -59,14 +50,11 @@ def tree_columns(pre: Preprocessor, columns: Sequence[str] | None = None) -> tup
 
 
 def tree_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = KEEP, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Tree variant: imputed ordinal/numeric columns, an indicator for each that has a median to impute (trees have no
-    missing branch of their own), and the raw nominal strings (indexed in the pipeline)."""
+    """Tree variant: ordinal/numeric columns as they are (trees have a side for missing values) and the raw nominal
+    strings."""
     base, nominal = tree_columns(pre, columns)
-    flagged = [c for c in base if pre.medians.get(c) is not None]
     raw = pre.numeric(df, keep=[*keep, *nominal], impute=False)
-    out = raw.select(*keep, *[F.coalesce(F.col(c), F.lit(float(pre.medians.get(c) or 0.0))).alias(c) for c in base],
-                     *[F.col(c).isNull().cast("double").alias(missing_flag(c)) for c in flagged], *nominal)
-    return out, [*base, *map(missing_flag, flagged)]
+    return raw.select(*keep, *[F.col(c).cast("double").alias(c) for c in base], *nominal), base
 
 
 def scaled_input(pre: Preprocessor, df: DataFrame, keep: Sequence[str] = KEEP, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
@@ -134,9 +122,9 @@ TRAINERS = {
 
 DEFAULT_PARAMS = {
     "gbt_leafwise": {"num_leaves": 31, "learning_rate": 0.1, "n_estimators": 100, "feature_fraction": 1.0,
-                     "bagging_fraction": 1.0, "min_child_samples": 20},
+                     "bagging_fraction": 1.0, "bagging_freq": 1, "min_child_samples": 20, "reg_alpha": 0.0, "reg_lambda": 0.0},
     "gbt_depthwise": {"max_depth": 6, "eta": 0.1, "n_estimators": 100, "subsample": 1.0, "colsample_bytree": 1.0,
-                      "min_child_weight": 1},
+                      "min_child_weight": 1, "reg_alpha": 0.0, "reg_lambda": 1.0},
     "mlp": {"n_layers": 1, "hidden_size": 64, "max_iter": 50, "step_size": 0.01},
     "svc_linear": {"C": 1.0, "max_iter": 50},
     "svc_poly": {"C": 1.0, "degree": 2, "max_iter": 50},
@@ -147,39 +135,24 @@ DEFAULT_PARAMS = {
 STAGED = (*(n for n in TRAINERS if n.startswith("gbt")), "mlp")  # trainers whose rounds can be measured one by one
 
 
-MIN_BINS = 64
-PATIENCE = 50  # fixed value: boosting rounds without a better validation loss that end a fit
+PATIENCE = bo.PATIENCE
 MLP_STEP, MLP_PATIENCE = 5, 10  # fixed values: iterations between two looks at the validation loss; without a better one
-HISTORY_TREES = 50  # rounds of a history measured in one pass
-FIRST_ROUNDS = 200  # trees of the first try of a fit that may stop early
 
 
-def _gbt(params: dict, name: str, max_levels: int) -> GBTClassifier:
-    """``max_levels``: levels of the widest nominal column (with one for unseen); a tree needs as many bins."""
-    bins = max(MIN_BINS, max_levels + 1)
+def boosting_params(name: str, params: dict, tol: float = 0.0) -> bo.Params:
+    """The leaf-wise preset stops on log-loss, the depth-wise one on AUC."""
+    p = {**DEFAULT_PARAMS[name], **params}
+    shared = {"rounds": int(p["n_estimators"]), "alpha": float(p["reg_alpha"]), "lam": float(p["reg_lambda"]), "tolerance": tol, "seed": SEED}
     if name == "gbt_leafwise":
-        depth = max(1, math.ceil(math.log2(max(2, int(params["num_leaves"])))))
-        return GBTClassifier(maxDepth=depth, stepSize=float(params["learning_rate"]), maxIter=int(params["n_estimators"]),
-                             featureSubsetStrategy=str(float(params["feature_fraction"])) if params["feature_fraction"] < 1 else "all",
-                             subsamplingRate=float(params["bagging_fraction"]),
-                             minInstancesPerNode=int(params["min_child_samples"]), maxBins=bins, seed=SEED)
-    return GBTClassifier(maxDepth=int(params["max_depth"]), stepSize=float(params["eta"]), maxIter=int(params["n_estimators"]),
-                         featureSubsetStrategy=str(float(params["colsample_bytree"])) if params["colsample_bytree"] < 1 else "all",
-                         subsamplingRate=float(params["subsample"]), minInstancesPerNode=int(params["min_child_weight"]),
-                         maxBins=bins, seed=SEED)
-
-
-def build_pipeline(name: str, params: dict, input_cols: Sequence[str], nominal: Sequence[str], n_rows: int,
-                   max_levels: int = 0) -> Pipeline:
+        return bo.Params(rate=float(p["learning_rate"]), num_leaves=int(p["num_leaves"]), min_rows=int(p["min_child_samples"]),
+                         columns=float(p["feature_fraction"]), rows=float(p["bagging_fraction"]), rows_every=int(p["bagging_freq"]), **shared)
+    return bo.Params(rate=float(p["eta"]), max_depth=int(p["max_depth"]), min_hessian=float(p["min_child_weight"]),
+                     columns=float(p["colsample_bytree"]), rows=float(p["subsample"]), stop_on="roc_auc", **shared)
+
+
+def build_pipeline(name: str, params: dict, input_cols: Sequence[str], n_rows: int) -> Pipeline:
     """Stages from the model input columns to a ``probability`` column."""
     p = {**DEFAULT_PARAMS[name], **params}
-    if name.startswith("gbt"):
-        idx = [f"{c}__idx" for c in nominal]
-        return Pipeline(stages=[
-            *([StringIndexer(inputCols=list(nominal), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc")] if nominal else []),
-            VectorAssembler(inputCols=[*input_cols, *idx], outputCol="features", handleInvalid="error"),
-            _gbt(p, name, max_levels),
-        ])
     if name == "mlp":
         layers = [len(input_cols), *[int(p["hidden_size"])] * int(p["n_layers"]), 2]
         return Pipeline(stages=[VectorAssembler(inputCols=list(input_cols), outputCol="features"),
@@ -207,12 +180,13 @@ def build_pipeline(name: str, params: dict, input_cols: Sequence[str], nominal:
 class FittedModel:
     name: str
     params: dict
-    pipeline: PipelineModel
+    pipeline: PipelineModel | None  # None: boosted
     input_cols: list[str]
     variant: str
     fourier: tuple[np.ndarray, np.ndarray] | None = None
     columns: list[str] | None = None  # selected model columns; None: all
     steps: list[tuple[int, PipelineModel]] = field(default_factory=list)  # network fitted with early stopping: (iterations, model), not saved
+    boosted: bo.BoostedModel | None = None
 
     def prepare(self, pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> DataFrame:
         if self.variant not in ("tree", "scaled"):
@@ -224,10 +198,17 @@ class FittedModel:
 
     def score(self, pre: Preprocessor, df: DataFrame, keep: Sequence[str] = ("id", "split", "target")) -> DataFrame:
         """``(model, keep..., proba)``: one narrow stage, no shuffle."""
-        out = self.pipeline.transform(self.prepare(pre, df, keep))
+        x = self.prepare(pre, df, keep)
+        if self.boosted is not None:
+            return x.select(F.lit(self.name).alias("model"), *keep, self.boosted.proba().alias("proba"))
+        out = self.pipeline.transform(x)
         return out.select(F.lit(self.name).alias("model"), *keep, positive_proba().alias("proba"))
 
     def save(self, path: str) -> None:
+        if self.boosted is not None:
+            rows = [(self.boosted.to_bytes(),)]
+            SparkSession.active().createDataFrame(rows, "model binary").coalesce(1).write.mode("overwrite").parquet(path)
+            return
         self.pipeline.write().overwrite().save(path)
 
 
@@ -243,34 +224,6 @@ def best_round(losses: Sequence[float], patience: int, tol: float = 0.0) -> tupl
     return at, False
 
 
-def truncated(gbt: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The model of the first ``rounds`` trees, parameters kept."""
-    java = gbt._java_obj
-    jvm = SparkSession.active().sparkContext._jvm
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        gbt.uid, java.trees()[0:rounds], java.treeWeights()[0:rounds], gbt.numFeatures, 2)
-    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())
-    return gbt._copyValues(GBTClassificationModel(cut))
-
-
-def _fit_boosting(pipe: Pipeline, train: DataFrame, val: DataFrame, n_estimators: int, tol: float) -> PipelineModel:
-    """Boosting up to ``n_estimators`` trees, ended by PATIENCE rounds without a better validation loss, cut at the best
-    round. Spark's own rule knows no patience (it ends at the first small step), so trees are fitted in growing
-    numbers and the rule is read from the loss of every round; the first trees of a longer fit are those of a
-    shorter one."""
-    rounds = min(n_estimators, FIRST_ROUNDS)
-    while True:
-        pipe.getStages()[-1].setMaxIter(rounds)
-        model = pipe.fit(train)
-        held = val
-        for stage in model.stages[:-1]:
-            held = stage.transform(held)
-        best, stopped = best_round(model.stages[-1].evaluateEachIteration(held), PATIENCE, tol)
-        if stopped or rounds == n_estimators:
-            return PipelineModel([*model.stages[:-1], truncated(model.stages[-1], max(best, 1))])
-        rounds = min(n_estimators, 4 * rounds)
-
-
 def _log_loss(target: Column, proba: Column) -> Column:
     p = F.least(F.greatest(proba, F.lit(1e-15)), F.lit(1 - 1e-15))
     return F.avg(-(target * F.log(p) + (1 - target) * F.log(1 - p)))
@@ -293,6 +246,21 @@ def _fit_network(pipe: Pipeline, train: DataFrame, val: DataFrame, max_iter: int
     return steps[best - 1][1], steps
 
 
+def coded_input(pre: Preprocessor, train: DataFrame, val: DataFrame | None, columns: Sequence[str] | None = None) -> tuple[DataFrame, bo.Bins]:
+    """Binned rows of boosting fits, written once: bins from the training rows, validation rows marked."""
+    rows, base = tree_input(pre, train, KEEP, columns)
+    bins = bo.fit_bins(rows, base, tree_columns(pre, columns)[1])
+    rows = rows.withColumn("_val", F.lit(bo.TRAIN))
+    if val is not None:
+        rows = rows.unionByName(tree_input(pre, val, KEEP, columns)[0].withColumn("_val", F.lit(bo.VAL)))
+    return bo.code_rows(rows, bins, F.xxhash64("id"), F.col("target"), F.col("_val")), bins
+
+
+def boosted_model(name: str, params: dict, model: bo.BoostedModel, columns: Sequence[str] | None) -> FittedModel:
+    return FittedModel(name, {**DEFAULT_PARAMS[name], **params}, None, model.bins.columns, TRAINERS[name].variant,
+                       columns=None if columns is None else list(columns), boosted=model)
+
+
 def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | None = None,
               early_stop: DataFrame | None = None, validation_tol: float = 0.0, columns: Sequence[str] | None = None) -> FittedModel:
     """Fit one trainer on the training rows (``train`` holds raw campaign columns), on the selected model ``columns``
@@ -304,90 +272,51 @@ def fit_model(name: str, pre: Preprocessor, train: DataFrame, params: dict | Non
     measured only, never fitted."""
     tr = TRAINERS[name]
     p = {**DEFAULT_PARAMS[name], **(params or {})}
-    make = tree_input if tr.variant == "tree" else scaled_input
-    inp, cols = make(pre, train, KEEP, columns)
+    if tr.variant == "tree":
+        coded, bins = coded_input(pre, train, early_stop, columns)
+        return boosted_model(name, p, bo.fit_many(coded, bins, [boosting_params(name, p, validation_tol)])[0], columns)
+    inp, cols = scaled_input(pre, train, KEEP, columns)
     fourier = None
     if name in ("svc_rff", "rff_logistic"):
         fourier = fourier_weights(len(cols), int(p["n_features"]), p["kernel"], float(p["length_scale"]), SEED)
         inp = fourier_features(inp, cols, *fourier)
     n_rows = inp.count() if name.startswith("svc") else 1
-    nominal = tree_columns(pre, columns)[1]
-    widest = max((len(pre.levels.get(c, ())) + 1 for c in nominal), default=0)
-    pipe = build_pipeline(name, p, cols, nominal, n_rows, widest)
+    pipe = build_pipeline(name, p, cols, n_rows)
     steps = []
     if early_stop is not None and name in STAGED:
-        held = with_label(make(pre, early_stop, KEEP, columns)[0])
-        if name == "mlp":
-            model, steps = _fit_network(pipe, with_label(inp), held, int(p["max_iter"]), validation_tol)
-        else:
-            model = _fit_boosting(pipe, with_label(inp), held, int(p["n_estimators"]), validation_tol)
+        held = with_label(scaled_input(pre, early_stop, KEEP, columns)[0])
+        model, steps = _fit_network(pipe, with_label(inp), held, int(p["max_iter"]), validation_tol)
     else:
         model = pipe.fit(with_label(inp))
     return FittedModel(name, p, model, cols, tr.variant, fourier, None if columns is None else list(columns), steps)
 
 
-def gbt_stage(fitted: FittedModel):
-    return fitted.pipeline.stages[-1]
-
-
 def feature_importance(fitted: FittedModel) -> list[tuple[str, float]]:
-    """Tree importances as percentages (2 dp) over the assembled input names, sorted desc."""
-    gbt = gbt_stage(fitted)
-    assembler = fitted.pipeline.stages[-2]
-    imp = gbt.featureImportances.toArray()
+    """Tree importances as percentages (2 dp) over the input columns, sorted desc: the number of splits (leaf-wise)
+    or the mean gain of a split (depth-wise)."""
+    n, gain = fitted.boosted.splits()
+    imp = n if fitted.name == "gbt_leafwise" else gain / np.maximum(n, 1)
     total = float(imp.sum()) or 1.0
-    rows: dict[str, float] = {}
-    for n, v in zip(assembler.getInputCols(), imp):  # a column and its missing indicator count together
-        name = n.removesuffix("__idx").removesuffix(missing_flag(""))
-        rows[name] = rows.get(name, 0.0) + float(v)
-    return sorted(((n, round(v / total * 100.0, 2)) for n, v in rows.items()), key=lambda r: (-r[1], r[0]))
+    rows = [(c, round(float(v) / total * 100.0, 2)) for c, v in zip(fitted.boosted.bins.columns, imp)]
+    return sorted(rows, key=lambda r: (-r[1], r[0]))
 
 
 def staged_history(fitted: FittedModel, pre: Preprocessor, df: DataFrame, target: str = "target") -> DataFrame:
-    """Per boosting iteration (network: step, up to the stop) and split, log-loss, error and AUC of the staged model.
-
-    Margins of the first k trees are ``sum(treeWeight_i * tree_i(x))``; each tree's prediction is added by
-    its own transform (narrow), the running sums form one array, and one ``inline`` + ``groupBy`` measures
-    HISTORY_TREES iterations at once; a longer model goes on from the margins so far, in a stage table.
-    Probability is ``1 / (1 + exp(-2F))`` (the GBT log-loss link)."""
-    from propensity.session import materialize
+    """Per boosting round kept (network: step, up to the stop) and split, log-loss, error and AUC of the staged model.
+
+    Boosting measures every round while it fits, on the rows it was given (AUC by ``boosting.STEPS`` score steps); the
+    network's steps are measured on ``df``."""
+    if fitted.boosted is not None:
+        model = fitted.boosted
+        rows = [(k, split, m, None if v is None else round(v, 6)) for k, found in enumerate(model.history[:len(model.trees)], 1)
+                for split, measured in found.items() for m, v in measured.items()]
+        return df.sparkSession.createDataFrame(rows, "iteration int, split string, metric string, value double")
+    if not fitted.steps:
+        raise ValueError(f"{fitted.name!r} has no staged history: it wasn't fitted with early stopping here")
     x = fitted.prepare(pre, df)
-    if not fitted.name.startswith("gbt"):
-        if not fitted.steps:
-            raise ValueError(f"{fitted.name!r} has no staged history: it wasn't fitted with early stopping here")
-        parts = [model.transform(x).select("split", F.col(target).cast("int").alias("target"), F.lit(n).alias("iteration"),
-                                           positive_proba().alias("proba")) for n, model in fitted.steps]
-        return _history_rows(reduce(DataFrame.unionByName, parts))
-    gbt = gbt_stage(fitted)
-    for st in fitted.pipeline.stages[:-1]:
-        x = st.transform(x)
-    x = x.select("split", F.col(target).cast("int").alias("target"), "features", F.lit(0.0).alias("_margin"))
-    trees, weights = gbt.trees, list(gbt.treeWeights)
-    if len(trees) <= HISTORY_TREES:
-        return _history_rows(_staged(x, trees, weights, 0)[0])
-    out = None
-    for a in range(0, len(trees), HISTORY_TREES):
-        staged, x = _staged(x, trees[a:a + HISTORY_TREES], weights[a:a + HISTORY_TREES], a)
-        rows = materialize(_history_rows(staged))
-        out = rows if out is None else out.unionByName(rows)
-        x = materialize(x)
-    return out
-
-
-def _staged(x: DataFrame, trees: Sequence, weights: Sequence[float], before: int) -> tuple[DataFrame, DataFrame]:
-    """(split, target, iteration, proba) of the rounds after ``before``, and the rows with their margins after them."""
-    names = [c for c in x.columns if c != "_margin"]
-    for i, tree in enumerate(trees):
-        x = tree.setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(x)
-    terms = F.array(*[F.col(f"_t{i}") * F.lit(float(w)) for i, w in enumerate(weights)])
-    margins = F.slice(F.aggregate(terms, F.array().cast("array<double>"),
-                                  lambda acc, v: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.col("_margin")) + v))),
-                      1, len(weights))
-    x = x.select(*names, margins.alias("_margins"))
-    staged = x.select("split", "target", F.posexplode("_margins").alias("pos", "margin")).select(
-        "split", "target", (F.col("pos") + 1 + before).alias("iteration"),
-        (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin")))).alias("proba"))
-    return staged, x.select(*names, F.element_at("_margins", -1).alias("_margin"))
+    parts = [model.transform(x).select("split", F.col(target).cast("int").alias("target"), F.lit(n).alias("iteration"),
+                                       positive_proba().alias("proba")) for n, model in fitted.steps]
+    return _history_rows(reduce(DataFrame.unionByName, parts))
 
 
 def _history_rows(staged: DataFrame) -> DataFrame:

@@ -153,7 +153,7 @@ def coded(spark):
     df = spark.createDataFrame(rows, "id long, a double, b double, c string").withColumn(
         "target", (F.col("a") + F.when(F.col("c") == "s", 1.0).otherwise(0.0) + F.coalesce("b", F.lit(4.0)) * 0.2 > 1).cast("int"))
     bins = bo.fit_bins(df, ["a", "b"], ["c"])
-    return df, bins, bo.code_rows(df, bins, F.col("id"), F.col("target"), (F.col("id") % 5 == 0).cast("int"))
+    return df, bins, bo.code_rows(df, bins, F.xxhash64("id"), F.col("target"), (F.col("id") % 5 == 0).cast("int"))
 
 
 def test_same_trees_for_any_number_of_tasks(spark, coded, monkeypatch):

@@ -69,7 +69,7 @@ def test_wide_nominal_column_trains(spark):
         fitted = md.fit_model("gbt_depthwise", pre, df.filter("split = 'train'"), {"n_estimators": 3, "max_depth": 3}, columns=columns)
         assert fitted.score(pre, df).filter("proba is null").count() == 0
         assert math.isclose(sum(v for _, v in md.feature_importance(fitted)), 100.0, abs_tol=0.2)
-    assert "segment__idx" in fitted.pipeline.stages[-2].getInputCols() and "net" not in fitted.input_cols
+    assert "segment" in fitted.input_cols and "net" not in fitted.input_cols and len(fitted.boosted.bins.levels["segment"]) == 150
 
 
 def test_continuous_scores(spark):

@@ -36,7 +36,7 @@ def test_gbt_early_stopping_uses_validation_rows(spark):
     train, val = frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "val")
     pre = fe.fit_preprocessor(train)
     fitted = md.fit_model("gbt_depthwise", pre, train, {"n_estimators": 30}, early_stop=val, validation_tol=0.05)
-    assert 1 <= len(md.gbt_stage(fitted).trees) <= 30
+    assert 1 <= len(fitted.boosted.trees) <= 30
 
 
 def _frame(spark):
@@ -55,21 +55,20 @@ def test_stop_waits_for_patience():
     assert md.best_round([1.0, 0.99, 0.985, 0.98], 2, tol=0.05) == (1, True)
 
 
-def test_low_rate_fit_keeps_many_trees(spark, monkeypatch):
-    """The fit also grows past its first try; the kept trees are those up to the best validation round."""
+def test_low_rate_fit_keeps_many_trees(spark):
+    """The kept trees are those up to the best validation round; the last round's loss is the saved model's."""
     from propensity.operators import models as md
-    monkeypatch.setattr(md, "FIRST_ROUNDS", 20)
     frame, pre = _frame(spark)
     train, val = frame.filter(F.col("split") == "train"), frame.filter(F.col("split") == "val")
-    fitted = md.fit_model("gbt_depthwise", pre, train, {"n_estimators": 60, "eta": 0.003, "max_depth": 2}, early_stop=val)
-    gbt = md.gbt_stage(fitted)
-    assert len(gbt.trees) == len(gbt.treeWeights) > 20
-    history = md.staged_history(fitted, pre, frame.filter(F.col("split") != "test")).collect()  # more than HISTORY_TREES
+    fitted = md.fit_model("gbt_leafwise", pre, train, {"n_estimators": 60, "learning_rate": 0.003, "num_leaves": 4}, early_stop=val)
+    kept = len(fitted.boosted.trees)
+    assert kept > 20
+    history = md.staged_history(fitted, pre, frame.filter(F.col("split") != "test")).collect()
     loss = {r["iteration"]: r["value"] for r in history if r["split"] == "val" and r["metric"] == "logloss"}
-    assert sorted(loss) == list(range(1, len(gbt.trees) + 1)) and min(loss.values()) == loss[len(gbt.trees)]
+    assert sorted(loss) == list(range(1, kept + 1)) and min(loss.values()) == loss[kept]
     p = F.least(F.greatest(F.col("proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
     last = fitted.score(pre, val).agg(F.avg(-F.when(F.col("target") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
-    assert loss[len(gbt.trees)] == pytest.approx(last, abs=1e-5)
+    assert loss[kept] == pytest.approx(last, abs=1e-5)
 
 
 def test_histories_come_from_trained_models(spark):
@@ -86,7 +85,9 @@ def test_histories_come_from_trained_models(spark):
         loss = {(r["split"], r["iteration"]): r["value"] for r in rows if r["model"] == name and r["metric"] == "logloss"}
         n = max(i for _, i in loss)
         assert len(loss) == 2 * n and n > 1
-        assert best[name, "logloss"]["best_value"] == loss["val", n] == gaps[name]["val_final"]
+        stops_on = "logloss" if name == "gbt_leafwise" else "roc_auc"
+        last = {(r["split"], r["metric"]): r["value"] for r in rows if r["model"] == name and r["iteration"] == n}
+        assert best[name, stops_on]["best_value"] == last["val", stops_on] and loss["val", n] == gaps[name]["val_final"]
         assert gaps[name]["train_final"] == loss["train", n] < loss["train", 1]
     curves = rn.all_curves(history)
     assert curves.count() == len(rows) and curves.filter("metric = 'accuracy' and value between 0 and 1").count() == len(rows) // 3
