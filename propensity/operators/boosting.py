@@ -43,7 +43,7 @@ from propensity.session import materialize
 MAX_BINS = 64  # of a numeric column
 MAX_CODES = 255  # value codes of any column; the code after the last one is "missing"
 ONE = 1 << 24  # gradients are multiples of 1 / ONE
-STEPS, FINE_STEPS = 512, 1 << 14  # score steps of a round's AUC and of a finished fit's
+STEPS, FINE_STEPS = 1024, 1 << 14  # score steps of a round's AUC and of a finished fit's
 AHEAD = 128  # leaves measured ahead by leaf-wise growth, at most
 PASS_NODES = 512  # histograms of a pass
 PASS_BYTES = 64 << 20  # of a pass's sums that may reach the driver unadded
@@ -247,6 +247,7 @@ class Request:
     nodes: tuple[int, ...] = ()  # its leaves whose histograms are wanted
     counts: bool = False  # rows by role and target
     steps: int = 0  # measures with so many score steps
+    span: tuple[float, float] = (0.0, 0.0)  # bounds of the margins, which the score steps divide
 
 
 MIN_GAIN = 1e-10
@@ -374,7 +375,7 @@ class Rows:
             codes = self.codes if len(r.columns) == self.codes.shape[1] else self.codes[:, r.columns]
             out.append(np.stack([histogram(codes, np.flatnonzero((leaf == i) & (weights[2] > 0)), weights, self.missing + 1) for i in r.nodes]))
         if r.steps:
-            out.append(_measures(self, margin, r.steps))
+            out.append(_measures(self, margin, r.steps, r.span))
         return out
 
     def size(self) -> int:
@@ -389,9 +390,10 @@ def histogram(codes: np.ndarray, rows: np.ndarray, weights: tuple[np.ndarray, np
     return np.stack(sums, axis=-1).astype(np.int64).reshape(p, width, 3)
 
 
-def step_counts(data: Rows, proba: np.ndarray, steps: int) -> np.ndarray:
-    """Rows by (role, target, score step)."""
-    step = np.minimum((proba * steps).astype(np.int64), steps - 1)
+def step_counts(data: Rows, margin: np.ndarray, steps: int, span: tuple[float, float]) -> np.ndarray:
+    """Rows by (role, target, score step); steps divide the span of the margins, however narrow it is."""
+    low, high = span
+    step = np.clip(((margin - low) * (steps / (high - low) if high > low else 0.0)).astype(np.int64), 0, steps - 1)
     return np.bincount((data.role.astype(np.int64) * 2 + data.target) * steps + step, minlength=4 * steps).reshape(2, 2, steps)
 
 
@@ -404,14 +406,14 @@ def step_auc(counts: np.ndarray) -> float | None:
     return float((pos * (below + neg / 2)).sum() / (neg.sum() * pos.sum()))
 
 
-def _measures(data: Rows, margin: np.ndarray, steps: int) -> np.ndarray:
+def _measures(data: Rows, margin: np.ndarray, steps: int, span: tuple[float, float]) -> np.ndarray:
     """Per role: sum of log-losses, wrong decisions, rows, and the step counts, in whole numbers."""
     proba = 1.0 / (1.0 + np.exp(-margin))
     held = np.clip(proba, 1e-15, 1 - 1e-15)
     loss = np.rint(-np.where(data.target == 1, np.log(held), np.log1p(-held)) * ONE)
     wrong = (proba >= 0.5) != (data.target == 1)
     heads = [np.bincount(data.role, w, 2) for w in (loss, wrong.astype(float), np.ones(len(margin)))]
-    return np.concatenate([np.stack(heads, 1).astype(np.int64), step_counts(data, proba, steps).reshape(2, -1)], 1)
+    return np.concatenate([np.stack(heads, 1).astype(np.int64), step_counts(data, margin, steps, span).reshape(2, -1)], 1)
 
 
 def read_measures(total: np.ndarray) -> dict[str, dict[str, float | None]]:
@@ -441,11 +443,11 @@ def boost(p: Params, nominal: np.ndarray, keep: Callable[[Tree], None] = lambda
     share = min(max(pos / max(1, neg + pos), 1e-6), 1 - 1e-6)
     base, stop = math.log(share / (1 - share)), p.patience is not None and vneg + vpos > 0
     out = Fitted(base, [], [], 0)
-    best, rng = None, np.random.default_rng(p.seed)
+    best, rng, spans = None, np.random.default_rng(p.seed), [(base, base)]
     for k in range(p.rounds + 1):
         columns = np.sort(rng.permutation(len(nominal))[:max(1, round(p.columns * len(nominal)))])
         # a round's measures and the root of the next tree need the same margins
-        found = yield Request(base, k, p, columns, ROOT, (0,) if k < p.rounds else (), steps=STEPS if k else 0)
+        found = yield Request(base, k, p, columns, ROOT, (0,) if k < p.rounds else (), steps=STEPS if k else 0, span=spans[k])
         if k:
             measured = read_measures(found[-1])
             out.history.append(measured)
@@ -462,9 +464,11 @@ def boost(p: Params, nominal: np.ndarray, keep: Callable[[Tree], None] = lambda
             root = _Node(found[0][0][0].sum(0), 0, found[0][0])
             tree = yield from grow([root], columns, nominal[columns], base, k, p, budget)
             out.trees.append(tree)
+            leaves = tree.value[tree.feature < 0]
+            spans.append((spans[k][0] + float(leaves.min()), spans[k][1] + float(leaves.max())))
             keep(tree)
     out.trees = out.trees[:out.best]
-    total = (yield Request(base, out.best, p, steps=FINE_STEPS))[0]
+    total = (yield Request(base, out.best, p, steps=FINE_STEPS, span=spans[out.best]))[0]
     out.aucs = {name: m["roc_auc"] for name, m in read_measures(total).items()}
     return out
 

@@ -131,6 +131,18 @@ def test_step_auc_equals_pairs():
     assert bo.step_auc(np.zeros((2, 4))) is None
 
 
+def test_auc_of_a_slow_fit_has_resolution():
+    """Scores that lie close together still have steps of their own: a low rate measures the AUC of the same trees."""
+    data = data_of(4000, 6, 8)
+    slow = alone(data, bo.Params(60, 1e-3, max_depth=3, patience=20, stop_on="roc_auc"))[0]
+    rows = data.role == bo.VAL
+    model = bo.BoostedModel(None, slow.base, slow.trees, [], {})
+    score, y = model.margins(data.codes[rows]), data.target[rows]
+    pos, neg = score[y == 1], score[y == 0]
+    exact = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+    assert slow.aucs["val"] == pytest.approx(exact, abs=1e-3) and slow.history[slow.best - 1]["val"]["roc_auc"] == pytest.approx(exact, abs=3e-3)
+
+
 def test_samples_of_rows_and_columns():
     data = data_of(4000, 6, 5)
     a, b = alone(data, bo.Params(5, 0.1, max_depth=3, rows=0.5, rows_every=2, columns=0.5), bo.Params(5, 0.1, max_depth=3))
