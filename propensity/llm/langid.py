@@ -179,7 +179,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 out = [(UND, 0.0)] * batch.num_rows
             else:
                 out = [(model.predict(sums / n + model.bias) if n else (UND, 0.0))
-                       for sums, n, _, _ in scores.documents(batch.column("text").to_pylist())]
+                       for sums, n, _ in scores.documents(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 

@@ -1,12 +1,12 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word, its character n-grams and a mark for a word that repeats the one before it have learned vectors in a
-hashed table; a document is the average of its features' vectors, a softmax over two classes reads it. The model
-is trained by stochastic gradient descent in numpy on at most ``train_docs`` labelled documents (those with the
-smallest hashes of their ids; a documented bound, all of them if there are fewer); features of the sample are
-counted on the executors, the driver gets their hashed counts. Scoring covers every whole text and moves no rows.
+Every word, its character n-grams and every pair of neighbouring words have learned vectors in a hashed table; a
+document is the average of its features' vectors, a softmax over two classes reads it. The model is trained by
+stochastic gradient descent in numpy on at most ``train_docs`` labelled documents (those with the smallest hashes of
+their ids; a documented bound, all of them if there are fewer); features of the sample are counted on the executors,
+the driver gets their hashed counts. Scoring covers every whole text and moves no rows.
 
-Averages are linear, so the two class scores of a document are sums over its words; see ``subword``.
+Averages are linear, so the two class scores of a document are sums over its words and pairs; see ``subword``.
 
 Edge cases: null and empty texts get the score of the bias alone; labels that are null or belong to no document
 teach nothing, an id labelled twice takes its highest label; without any labels every score is 0.5; null ids are
@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.subword import Features, TokenScores, token_slices
+from propensity.llm.subword import Features, TokenScores, pair_ids, token_hash, token_slices
 
-BUCKETS, DIM = 1 << 16, 12
+BUCKETS, PAIR_BUCKETS, DIM = 1 << 16, 1 << 17, 12
 N_MIN, N_MAX = 3, 4
-TRAIN_DOCS, EPOCHS, RATE, SEED = 3000, 12, 0.5, 5
+TRAIN_DOCS, EPOCHS, SEED = 3000, 6, 5
+#: Step sizes of the softmax layer and, as a multiple, of the vectors (a feature's share of a document is small).
+RATE, VECTOR_RATE = 0.5, 4.0
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 
@@ -36,40 +38,49 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def bag(text: str) -> tuple[Counter, int, int]:
-    """(tokens, token count, repeats of the token before)."""
-    tokens, total, repeats, last = Counter(), 0, 0, None
+def bag(text: str, features: Features) -> tuple[np.ndarray, np.ndarray]:
+    """(feature ids, counts) of a text; pairs come after the ``BUCKETS`` ids of words and character n-grams."""
+    tokens, pairs, last = Counter(), np.zeros(PAIR_BUCKETS, np.int64), None
     for part in token_slices(text):
         tokens.update(part)
-        total += len(part)
-        repeats += sum(map(str.__eq__, part, part[1:])) + (bool(part) and part[0] == last)
+        hashes = np.array([token_hash(t) for t in ([last] if last is not None else []) + part], np.uint64)
+        if len(hashes) > 1:
+            pairs += np.bincount(pair_ids(hashes, PAIR_BUCKETS), minlength=PAIR_BUCKETS)
         last = part[-1] if part else last
-    return tokens, total, repeats
+    ids, counts = features.counts(tokens)
+    found = np.flatnonzero(pairs)
+    return np.concatenate([ids, found + BUCKETS]), np.concatenate([counts, pairs[found]])
+
+
+def gradients(vectors: np.ndarray, out: np.ndarray, bias: np.ndarray, ids: np.ndarray, counts: np.ndarray, label: int):
+    """(loss, d loss / d vectors[ids], d loss / d out, d loss / d bias) of one document's log-loss."""
+    share = (counts / max(counts.sum(), 1)).astype(vectors.dtype)
+    mean = share @ vectors[ids] if len(ids) else np.zeros(len(out), vectors.dtype)
+    z = mean @ out + bias
+    p = np.exp(z - z.max())
+    p /= p.sum()
+    loss = -np.log(np.maximum(p[label], 1e-30))
+    p[label] -= 1
+    return loss, np.outer(share, out @ p), np.outer(mean, p), p
 
 
 def train(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = SEED, epochs: int = EPOCHS, rate: float = RATE) -> tuple[np.ndarray, np.ndarray]:
-    """(class scores of every feature [BUCKETS + 1, 2], biases) from (ids, counts, label) samples."""
+    """(class scores of every feature [BUCKETS + PAIR_BUCKETS, 2], biases) from (ids, counts, label) samples."""
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32)
-    out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
-    steps, step = max(1, epochs * len(samples)), 0
+    vectors = rng.uniform(-0.1 / DIM, 0.1 / DIM, (BUCKETS + PAIR_BUCKETS, DIM)).astype(np.float32)
+    out, bias = rng.uniform(-0.5, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
+    if not samples:
+        return np.zeros((len(vectors), 2), np.float32), bias
+    steps, step = epochs * len(samples), 0
     for _ in range(epochs):
         for k in rng.permutation(len(samples)):
             ids, counts, label = samples[k]
             lr = np.float32(rate * (1 - step / steps))
             step += 1
-            share = counts / max(counts.sum(), 1)
-            mean = share @ vectors[ids] if len(ids) else np.zeros(DIM, np.float32)
-            z = mean @ out + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[label] -= 1
-            back = out @ p
-            out -= lr * np.outer(mean, p)
-            bias -= np.float32(0.1) * lr * p
-            if len(ids):
-                # the usual trick of averaged embeddings: each feature takes the gradient of the average
-                vectors[ids] -= lr * np.outer(np.minimum(share * len(ids), 8.0), back) / np.float32(8.0)
+            _, d_vectors, d_out, d_bias = gradients(vectors, out, bias, ids, counts, label)
+            vectors[ids] -= lr * np.float32(VECTOR_RATE) * d_vectors
+            out -= lr * d_out
+            bias -= lr * np.float32(0.1) * d_bias
     return (vectors @ out).astype(np.float32), bias
 
 
@@ -89,10 +100,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tup
         for batch in batches:
             ids, counts = [], []
             for text in batch.column("text"):
-                tokens, total, repeats = bag(text.as_py())
-                i, c = features.counts(tokens)
-                ids.append(np.append(i, BUCKETS).astype("<u4").tobytes())
-                counts.append(np.append(c, repeats * 8).astype("<f4").tobytes())
+                i, c = bag(text.as_py(), features)
+                ids.append(i.astype("<u4").tobytes())
+                counts.append(c.astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())],
                                              names=["doc_id", "label", "ids", "counts"])
 
@@ -100,23 +110,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tup
     rows.sort(key=lambda r: (r["doc_id"], r["ids"]))
     samples = []
     for r in rows:
-        i, c = np.frombuffer(r["ids"], "<u4").astype(np.int64), np.frombuffer(r["counts"], "<f4")
-        samples.append((i[c > 0], c[c > 0], r["label"]))
+        samples.append((np.frombuffer(r["ids"], "<u4").astype(np.int64), np.frombuffer(r["counts"], "<f4"), r["label"]))
     return train(samples)
 
 
-def score_texts(scores: TokenScores, repeat: np.ndarray, bias: np.ndarray, texts: list[str | None]) -> np.ndarray:
+def score_texts(scores: TokenScores, bias: np.ndarray, texts: list[str | None]) -> np.ndarray:
     """Probability of label 1."""
     out = []
-    for sums, n, _, repeats in scores.documents(texts):
-        total = n + 8 * repeats
-        z = bias + ((sums + 8 * repeats * repeat) / total if total else 0.0)
+    for sums, n, _ in scores.documents(texts):
+        z = bias + (sums / n if n else 0.0)
         out.append(1 / (1 + np.exp(np.clip(z[0] - z[1], -700, 700))))
     return np.array(out, np.float64)
 
 
 def _scorer(weights: np.ndarray):
-    return TokenScores(Features(BUCKETS, N_MIN, N_MAX, words=True), weights[:BUCKETS])
+    return TokenScores(Features(BUCKETS, N_MIN, N_MAX, words=True), weights[:BUCKETS], pairs=weights[BUCKETS:])
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
@@ -126,7 +134,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], thresho
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(weights)
         for batch in batches:
-            p = score_texts(scores, weights[BUCKETS], bias, batch.column("text").to_pylist())
+            p = score_texts(scores, bias, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -142,7 +150,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(weights)
         for batch in batches:
-            p = score_texts(scores, weights[BUCKETS], bias, batch.column(at).to_pylist())
+            p = score_texts(scores, bias, batch.column(at).to_pylist())
             yield batch.filter(pa.array(p >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,9 +1,9 @@
 """Hashed subword features and additive token scores, shared by the two text classifiers.
 
-A token's features are itself and the character n-grams of it between boundary marks, hashed into buckets. A
-document's representation is the average of its features' vectors, so any linear score of it is a sum of token
-scores over a count of features: a token is scored once and looked up afterwards. The lookup table is bounded and
-begun anew when full; that changes no result.
+A token's features are itself and the character n-grams of it between boundary marks, hashed into buckets; pairs of
+neighbouring tokens may be features too, in buckets of their own. A document's representation is the average of its
+features' vectors, so any linear score of it is a sum of token and pair scores over a count of features: a token is
+scored once and looked up afterwards. The lookup table is bounded and begun anew when full; that changes no result.
 """
 from __future__ import annotations
 
@@ -19,6 +19,16 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
 
+def token_hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+
+
+def pair_ids(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of the pairs of neighbouring tokens, from the tokens' hashes in order."""
+    with np.errstate(over="ignore"):
+        return (((hashes[:-1] * _MUL ^ hashes[1:]) * _MUL >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+
+
 class Features:
     """Feature ids of tokens: vectorised over a list of tokens."""
 
@@ -80,16 +90,19 @@ def token_slices(text: str, size: int = SLICE_CHARS) -> Iterator[list[str]]:
 
 
 class TokenScores:
-    """Sums of feature scores by token, looked up in a bounded table."""
+    """Sums of feature scores by token, looked up in a bounded table; ``pairs`` holds the scores of token pairs."""
 
-    def __init__(self, features: Features, weights: np.ndarray, clean: Callable[[str], str] | None = None, limit: int = TABLE_TOKENS):
+    def __init__(self, features: Features, weights: np.ndarray, clean: Callable[[str], str] | None = None, limit: int = TABLE_TOKENS,
+                 pairs: np.ndarray | None = None):
         self.features, self.weights, self.clean, self.limit = features, np.ascontiguousarray(weights, np.float32), clean, limit
+        self.pairs = pairs
         self._begin()
 
     def _begin(self) -> None:
         self.rows: dict[str, int] = {}
         self.sums = np.zeros((1024, self.weights.shape[1]), np.float64)
         self.sizes = np.zeros(1024, np.int64)
+        self.hashes = np.zeros(1024, np.uint64)
 
     def _learn(self, tokens: set[str]) -> None:
         new = tokens.difference(self.rows)
@@ -104,6 +117,9 @@ class TokenScores:
             size = max(end, 2 * len(self.sizes))
             self.sums = np.resize(self.sums, (size, self.sums.shape[1]))
             self.sizes = np.resize(self.sizes, size)
+            self.hashes = np.resize(self.hashes, size)
+        if self.pairs is not None:
+            self.hashes[start:end] = [token_hash(t) for t in new]
         for a in range(0, len(new), 65536):
             part = new[a:a + 65536]
             ids, owner = self.features.of([self.clean(t) for t in part] if self.clean else part)
@@ -112,8 +128,8 @@ class TokenScores:
             self.sizes[start + a:start + a + len(part)] = np.bincount(owner, minlength=len(part))
         self.rows.update(zip(new, range(start, end)))
 
-    def documents(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, int, int, int]]:
-        """Per text: score sums, features, tokens, and tokens equal to the one before."""
+    def documents(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, int, int]]:
+        """Per text: score sums, features, tokens."""
         at = 0
         while at < len(texts):
             end, size = at, 0
@@ -129,16 +145,24 @@ class TokenScores:
                     yield self._sum(tokens)
             at = end
 
-    def _long(self, text: str) -> tuple[np.ndarray, int, int, int]:
-        total, last = (np.zeros(self.weights.shape[1]), 0, 0, 0), None
+    def _long(self, text: str) -> tuple[np.ndarray, int, int]:
+        total, last = (np.zeros(self.weights.shape[1]), 0, 0), None
         for tokens in token_slices(text):
+            if not tokens:
+                continue
             self._learn(set(tokens))
-            total = tuple(x + y for x, y in zip(total, self._sum(tokens)))
-            if last is not None and tokens and tokens[0] == last:
-                total = (*total[:3], total[3] + 1)
-            last = tokens[-1] if tokens else last
+            total = tuple(x + y for x, y in zip(total, self._sum(tokens, last)))
+            last = tokens[-1]
         return total
 
-    def _sum(self, tokens: list[str]) -> tuple[np.ndarray, int, int, int]:
+    def _sum(self, tokens: list[str], before: str | None = None) -> tuple[np.ndarray, int, int]:
         at = np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
-        return self.sums[at].sum(0), int(self.sizes[at].sum()), len(at), int((at[1:] == at[:-1]).sum())
+        sums, size = self.sums[at].sum(0), int(self.sizes[at].sum())
+        if self.pairs is not None:
+            hashes = self.hashes[at]
+            if before is not None:
+                hashes = np.append(np.uint64(token_hash(before)), hashes)
+            if len(hashes) > 1:
+                sums = sums + self.pairs[pair_ids(hashes, len(self.pairs))].sum(0, dtype=np.float64)
+                size += len(hashes) - 1
+        return sums, size, len(at)

@@ -1,6 +1,7 @@
 """Held-out accuracy, rows, and edge cases of the two classifiers."""
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from propensity.llm import langid, quality
@@ -39,15 +40,60 @@ def test_slices_change_no_score(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()] + [None, "", "a a a b b"]
     weights, bias = quality.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
-    whole = quality.score_texts(quality._scorer(weights), weights[quality.BUCKETS], bias, texts)
+    whole = quality.score_texts(quality._scorer(weights), bias, texts)
     monkeypatch.setattr(subword, "SLICE_CHARS", 300)
     monkeypatch.setattr(subword, "TABLE_TOKENS", 50)
     scorer = quality._scorer(weights)
     scorer.limit = 50
-    parts = quality.score_texts(scorer, weights[quality.BUCKETS], bias, texts)
+    parts = quality.score_texts(scorer, bias, texts)
     assert abs(whole - parts).max() < 1e-9
 
 
+def test_quality_plain_scorer(spark):
+    """Scores equal a plain average of feature weights, one feature at a time."""
+    from collections import Counter
+
+    from propensity.llm.subword import Features, pair_ids, token_hash
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    weights, bias = quality.fit(docs, labels)
+    features = Features(quality.BUCKETS, quality.N_MIN, quality.N_MAX, words=True)
+    found = {r.doc_id: r.score for r in quality.score_quality(docs, (weights, bias)).collect()}
+    for r in docs.collect():
+        words = (r.text or "").split()
+        rows = []
+        for w in words:
+            rows += [weights[i] for i in features.of([w])[0]]
+        for a, b in zip(words, words[1:]):
+            rows.append(weights[quality.BUCKETS + pair_ids(np.array([token_hash(a), token_hash(b)], np.uint64), quality.PAIR_BUCKETS)[0]])
+        z = bias + (np.sum(rows, 0, dtype=np.float64) / len(rows) if rows else 0)
+        assert abs(found[r.doc_id] - 1 / (1 + np.exp(z[0] - z[1]))) < 1e-6
+
+
+def test_quality_gradient():
+    """The step is the gradient of the log-loss: finite differences in doubles."""
+    rng = np.random.default_rng(1)
+    vectors, out, bias = rng.normal(size=(7, 3)), rng.normal(size=(3, 2)), rng.normal(size=2)
+    ids, counts = np.array([1, 4, 5]), np.array([1.0, 3.0, 2.0])
+    _, d_vectors, d_out, d_bias = quality.gradients(vectors, out, bias, ids, counts, 1)
+
+    def check(table, at, want):
+        step = 1e-6
+        table[at] += step
+        high = quality.gradients(vectors, out, bias, ids, counts, 1)[0]
+        table[at] -= 2 * step
+        low = quality.gradients(vectors, out, bias, ids, counts, 1)[0]
+        table[at] += step
+        assert abs((high - low) / (2 * step) - want) < 1e-6
+
+    for k, i in enumerate(ids):
+        for j in range(3):
+            check(vectors, (i, j), d_vectors[k, j])
+    for at in np.ndindex(3, 2):
+        check(out, at, d_out[at])
+    for j in range(2):
+        check(bias, j, d_bias[j])
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     found = langid.identify(docs, langid.fit(docs)).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
