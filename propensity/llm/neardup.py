@@ -6,10 +6,12 @@ values of equal kind form bands of ``ROWS``. With 240 values in 48 bands of 5, a
 band with probability 5e-9.
 
 1. Documents with equal sets collapse to their smallest id (aggregated with map-side combining).
-2. Representatives that share a band key form a bucket. In each bucket, representatives whose signatures agree in
-   a share of ``NEAR`` or more (six standard deviations below the threshold) are joined by a spanning forest; a
-   bucket beyond ``BUCKET_ROWS`` is joined as a whole, which can only make the next step's clusters coarser.
-   Rows of a bucket stream through a task; nothing but forest edges leaves it.
+2. Representatives that share a band key form a bucket, dealt in chunks of about ``BUCKET_ROWS``. In each chunk,
+   representatives whose signatures agree in a share of ``NEAR`` or more (six standard deviations below the threshold)
+   are joined by a spanning forest. In a bucket of several chunks, what is joined by then carries its component; rows
+   outside the bucket's largest component are compared with all rows of other components, in blocks of a chunk and a
+   part of them. Near copies are one component by then and need no more work, whatever their number; many unlike
+   texts in one bucket cost the square of their number. Only forest edges leave a task.
 3. Connected components of the forest are clusters: no two documents of different clusters are linked.
 4. Inside a cluster links are confirmed on the full sets, exactly, and again reduced to a forest. A cluster with
    more than ``CHUNK_SHINGLES`` shingles is dealt in chunks, and each pair of chunks is one group, so no task
@@ -39,7 +41,7 @@ from propensity.session import materialize
 WORDS, PERCENT = 5, 80
 PERMUTATIONS, ROWS, SEED = 120, 5, 3
 NEAR = 0.65
-BUCKET_ROWS, CHUNK_SHINGLES, MAX_CACHED_WORDS = 4096, 100_000, 100_000
+BUCKET_ROWS, CHUNK_SHINGLES, MAX_CACHED_WORDS = 1024, 100_000, 100_000
 STEP = 2048
 MAX_BROADCAST_ROWS = 1_000_000  # of 32 bytes
 
@@ -183,30 +185,79 @@ def _edges_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return record_batch(_EDGE_SCHEMA, {"a": [e[0] for e in edges], "b": [e[1] for e in edges]})
 
 
-def bucket_forest(reps: DataFrame) -> DataFrame:
-    """Edges (a, b) between representatives whose signatures are near, a spanning forest per bucket."""
-    exploded = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1")
-    members = materialize(exploded.join(shared, "key"))
-    # a bucket beyond the bound is joined as a whole by its smallest id
-    whole = members.where((F.col("c") > BUCKET_ROWS) & (F.col("doc_id") > F.col("first"))).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    small = members.where(F.col("c") <= BUCKET_ROWS).select("key", "doc_id").join(reps.select("doc_id", "sig"), "doc_id")
+def _signed(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    ids = group.column("doc_id").to_numpy()
+    return ids, np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+
+
+def _link_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning forest of near signatures in each (key, chunk)."""
+    edges: list[tuple[int, int]] = []
+    for group in _groups(batches, ["key", "chunk"]):
+        ids, sig = _signed(group)
+        least = NEAR * sig.shape[1]
+        edges += [(int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))) for i, j in
+                  _forest(len(ids), lambda i, rest: (sig[rest] == sig[i]).sum(1) >= least)]
+        if len(edges) > 20_000:
+            yield _edges_batch(sorted(set(edges)))
+            edges = []
+    yield _edges_batch(sorted(set(edges)))
+
+
+def _link_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges between near signatures of different labels, probes against the rest, in each (key, chunk, part). A label
+    that an edge reaches becomes the probe's, so two labels are joined once."""
+    edges: list[tuple[int, int]] = []
+    for group in _groups(batches, ["key", "chunk", "part"]):
+        ids, sig = _signed(group)
+        label = np.unique(group.column("label").to_numpy(), return_inverse=True)[1]
+        probe = group.column("probe").to_numpy(zero_copy_only=False).astype(bool)
+        least, others = NEAR * sig.shape[1], np.flatnonzero(~probe)
+        for i in np.flatnonzero(probe):
+            rest = others[label[others] != label[i]]
+            hit = rest[(sig[rest] == sig[i]).sum(1) >= least]
+            for at in np.unique(label[hit], return_index=True)[1]:
+                j = hit[at]
+                edges.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+            label[np.isin(label, label[hit])] = label[i]
+        if len(edges) > 20_000:
+            yield _edges_batch(sorted(set(edges)))
+            edges = []
+    yield _edges_batch(sorted(set(edges)))
+
+
+def _grouped(rows: DataFrame, keys: list[str], link) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(link, "a long, b long").distinct()
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges: list[tuple[int, int]] = []
-        for group in _groups(batches, ["key"]):
-            ids = group.column("doc_id").to_numpy()
-            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
-            least = NEAR * sig.shape[1]
-            edges += [(int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))) for i, j in
-                      _forest(len(ids), lambda i, rest: (sig[rest] == sig[i]).sum(1) >= least)]
-            if len(edges) > 20_000:
-                yield _edges_batch(sorted(set(edges)))
-                edges = []
-        yield _edges_batch(sorted(set(edges)))
 
-    found = small.repartition("key").sortWithinPartitions("key").mapInArrow(link, "a long, b long")
-    return found.union(whole).distinct()
+def bucket_forest(reps: DataFrame) -> DataFrame:
+    """Edges (a, b) between representatives whose signatures are near; in every bucket, near ones are connected."""
+    exploded = reps.select("doc_id", F.explode("bands").alias("key"))
+    shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    chunks = F.ceil(F.col("c") / BUCKET_ROWS).cast("long")
+    members = exploded.join(shared, "key").select("key", "doc_id", chunks.alias("chunks"))
+    # the key is in the hash, so near copies meet in other company in every band
+    members = materialize(members.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "key"), F.col("chunks"))))
+    sigs = reps.select("doc_id", "sig")
+    first = materialize(_grouped(members.select("key", "chunk", "doc_id").join(sigs, "doc_id"), ["key", "chunk"], _link_chunks))
+    wide = materialize(members.where("chunks > 1").distinct())
+    if wide.isEmpty():
+        return first
+    joined = components(first).withColumnRenamed("id", "doc_id")
+    wide = materialize(wide.join(joined, "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component"))
+    sizes = wide.groupBy("key", "label").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "label"))
+    per = sizes.groupBy("key").agg(largest["label"].alias("top"), (F.sum("n") - largest["n"]).alias("others")).where("others > 0")
+    rows = wide.join(per, "key").withColumn("parts", F.ceil(F.col("others") / BUCKET_ROWS).cast("long"))
+    rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64("key", "doc_id"), F.col("parts"))))
+
+    def copies(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    rest = rows.select("key", "chunk", copies("parts").alias("part"), "doc_id", "label", F.lit(False).alias("probe"))
+    probes = rows.where("label <> top").select("key", copies("chunks").alias("chunk"), "part", "doc_id", "label", F.lit(True).alias("probe"))
+    more = _grouped(rest.union(probes).join(sigs, "doc_id"), ["key", "chunk", "part"], _link_parts)
+    return first.union(more).distinct()
 
 
 def _confirmed(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray, percent: int) -> list[tuple[int, int]]:

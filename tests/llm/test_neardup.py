@@ -63,6 +63,24 @@ def test_against_all_pairs(spark, monkeypatch, words, chunk, bucket):
     assert run(spark, docs, words) == brute(docs, words)
 
 
+def test_template_beyond_the_bound_links_nothing(spark, monkeypatch):
+    """Unlike texts of one template fill a bucket of many chunks: the signature check holds there too. Copies of one of
+    them with a word changed are found."""
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 20)
+    rng = random.Random(4)
+    template = [f"t{k}" for k in range(60)]
+    docs = [(i, " ".join(template + [f"x{i}y{k}" for k in range(36)])) for i in range(600)]
+    signed = neardup.signatures(spark.createDataFrame(docs, "doc_id long, text string"), 1)
+    bands = signed.selectExpr("explode(bands) as key").groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert bands > 100
+    assert neardup.bucket_forest(signed).count() == 0
+    copies = [(1000 + k, docs[7][1].replace("t3 ", f"z{k} ").replace("t40 ", f"v{k} ")) for k in range(150)]
+    every = docs + copies
+    rng.shuffle(every)
+    classes = {r[0]: r[2] for r in run(spark, every, 1)}
+    assert all(classes[i] == i for i, _ in docs) and all(classes[i] == 7 for i, _ in copies)
+
+
 def test_same_id_with_other_text_links(spark):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     docs = [(5, a), (5, b), (3, a), (9, b), (1, "else where")]
