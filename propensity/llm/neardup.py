@@ -186,18 +186,21 @@ def _edges_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _signed(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    group = group.sort_by("doc_id")
     ids = group.column("doc_id").to_numpy()
     return ids, np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
 
 
 def _link_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forest of near signatures in each (key, chunk)."""
+    """Components of near signatures in each (key, chunk), as stars around their smallest ids: the buckets of a group of
+    copies agree in most of their edges."""
     edges: list[tuple[int, int]] = []
     for group in _groups(batches, ["key", "chunk"]):
         ids, sig = _signed(group)
-        least = NEAR * sig.shape[1]
-        edges += [(int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))) for i, j in
-                  _forest(len(ids), lambda i, rest: (sig[rest] == sig[i]).sum(1) >= least)]
+        least, first = NEAR * sig.shape[1], np.arange(len(ids))
+        for i, j in _forest(len(ids), lambda i, rest: (sig[rest] == sig[i]).sum(1) >= least):
+            first[j] = first[i]  # the forest's trees begin at their smallest ids
+            edges.append((int(ids[first[j]]), int(ids[j])))
         if len(edges) > 20_000:
             yield _edges_batch(sorted(set(edges)))
             edges = []
@@ -234,16 +237,17 @@ def bucket_forest(reps: DataFrame) -> DataFrame:
     """Edges (a, b) between representatives whose signatures are near; in every bucket, near ones are connected."""
     exploded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    chunks = F.ceil(F.col("c") / BUCKET_ROWS).cast("long")
+    # powers of two, and one of two dealings by key: near copies meet in two companies, which joins the chunks of a group,
+    # and bands whose buckets differ a little still agree in their edges
+    chunks = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("c") / BUCKET_ROWS, F.lit(1.0))))).cast("long")
     members = exploded.join(shared, "key").select("key", "doc_id", chunks.alias("chunks"))
-    # the key is in the hash, so near copies meet in other company in every band
-    members = materialize(members.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "key"), F.col("chunks"))))
+    members = materialize(members.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.pmod("key", F.lit(2))), F.col("chunks"))))
     sigs = reps.select("doc_id", "sig")
     first = materialize(_grouped(members.select("key", "chunk", "doc_id").join(sigs, "doc_id"), ["key", "chunk"], _link_chunks))
     wide = materialize(members.where("chunks > 1").distinct())
     if wide.isEmpty():
         return first
-    joined = components(first).withColumnRenamed("id", "doc_id")
+    joined = materialize(components(first).withColumnRenamed("id", "doc_id"))
     wide = materialize(wide.join(joined, "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component"))
     sizes = wide.groupBy("key", "label").agg(F.count("*").alias("n"))
     largest = F.max(F.struct("n", "label"))
@@ -257,7 +261,7 @@ def bucket_forest(reps: DataFrame) -> DataFrame:
     rest = rows.select("key", "chunk", copies("parts").alias("part"), "doc_id", "label", F.lit(False).alias("probe"))
     probes = rows.where("label <> top").select("key", copies("chunks").alias("chunk"), "part", "doc_id", "label", F.lit(True).alias("probe"))
     more = _grouped(rest.union(probes).join(sigs, "doc_id"), ["key", "chunk", "part"], _link_parts)
-    return first.union(more).distinct()
+    return joined.where("component <> doc_id").select(F.col("component").alias("a"), F.col("doc_id").alias("b")).union(more)
 
 
 def _confirmed(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray, percent: int) -> list[tuple[int, int]]:
