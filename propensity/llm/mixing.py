@@ -3,16 +3,19 @@
 Targets: sources in code-point order (null last) weigh 3, 1, 2, 3, 1, 2, …; together they take ``share`` of
 all words; a target stops at ``cap`` times its source's size and the excess is shared again by weight.
 
-Apportionment: the mix consists of blocks of ``block`` words. The block count is dealt to the sources by the
-highest quotients ``target / (2k + 1)``, and each source's quota is dealt to its shards in the same way by
+Apportionment: the mix consists of blocks of ``block`` words; a source whose target or size is under
+``1000 * block`` words has smaller blocks, down to one word, so that a short last block stays within 0.2 % of its
+target. The block count is dealt to the sources by the highest quotients ``target / block / (2k + 1)``, and each
+source's quota is dealt to its shards in the same way by
 shard size. A shard is a hash range of the source's documents, so a source with a third of all rows is many
 shards. Inside a shard the documents lie end to end in seeded order and are cut into blocks; a quota of ``q``
 over ``nb`` blocks takes every block ``q div nb`` times and the ``q mod nb`` blocks that a seeded permutation
 puts first once more. The permutation is arithmetic, so no block is ever a row.
 
 Edge cases: null and empty texts have size 0 and take nothing; a null source is a source of its own, last in
-order; null and repeated ids are kept, each row counts by itself (equal rows are interchangeable); an empty
-table gives an empty result; only the named columns are read, so other columns may have any name.
+order; null and repeated ids are kept, each row counts by itself; rows of one id and size are told apart by their
+text and then by all other columns when texts are cut, so that reruns agree (rows equal throughout are
+interchangeable); an empty table gives an empty result; other columns may have any name.
 """
 from __future__ import annotations
 
@@ -25,6 +28,7 @@ from propensity.session import materialize
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
 BLOCK_WORDS = 16
+BLOCKS_LEAST = 1000  # a source's size and target are at least this many of its blocks, as far as one word allows
 SHARD_WORDS, MAX_SHARDS = 1_000_000, 4096
 SEED = 17
 #: Multipliers of the block permutation: primes, so the first that doesn't divide the block count is coprime to it.
@@ -78,18 +82,27 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def source_quotas(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """Blocks per source: highest quotients ``target / (2k + 1)`` for ``round(sum of targets / block)`` seats."""
-    first = materialize(targets.withColumn("seats", F.floor(F.col("target") / block + 0.5).cast("long")))
-    n, seated, house = first.agg(F.count("*"), F.sum("seats"), F.floor(F.sum("target") / block + 0.5)).first()
+def block_size(block: int = BLOCK_WORDS, least: int = BLOCKS_LEAST) -> Column:
+    """Words in a block of a source: ``block``, or fewer where its size or target is under ``least`` such blocks."""
+    fits = F.floor(F.least(F.col("source_size").cast("double"), F.col("target")) / F.lit(float(least)))
+    return F.greatest(F.lit(1), F.least(F.lit(block), fits)).cast("long")
+
+
+def source_quotas(targets: DataFrame, block: int = BLOCK_WORDS, least: int = 1) -> DataFrame:
+    """(source, source_size, target, block, quota): highest quotients ``target / block / (2k + 1)`` for
+    ``round(sum of target / block)`` seats."""
+    votes = F.col("target") / F.col("block")
+    first = targets.withColumn("block", block_size(block, least))
+    first = materialize(first.withColumn("seats", F.floor(votes + 0.5).cast("long")))
+    n, seated, house = first.agg(F.count("*"), F.sum("seats"), F.floor(F.sum(votes) + 0.5)).first()
     if not n:
         return first.withColumnRenamed("seats", "quota")
     diff, houses = int(house) - int(seated), max(int(house), 1)
     # the divisor moves by at most n / 2 seats in `house`, so a source's seats move by at most this many
     span = F.ceil(F.col("seats") * F.lit(float(n) / houses)) + 1
-    extra = _extra_seats(first, [], "source", F.col("target"), F.lit(diff), span)
+    extra = _extra_seats(first, [], "source", votes, F.lit(diff), span)
     return _null_safe(first, extra, ["source"]).select(
-        "source", "source_size", "target", (F.col("seats") + F.coalesce("_extra", F.lit(0))).alias("quota"))
+        "source", "source_size", "target", "block", (F.col("seats") + F.coalesce("_extra", F.lit(0))).alias("quota"))
 
 
 def shard_quotas(shards: DataFrame) -> DataFrame:
@@ -120,14 +133,18 @@ def times_of_block(b: Column, quota: Column, blocks: Column, shift: Column) -> C
 
 def plan_mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights=WEIGHTS, block: int = BLOCK_WORDS,
              shard_words: int = SHARD_WORDS, max_shards: int = MAX_SHARDS, seed: int = SEED,
-             row_key: str | None = None) -> DataFrame:
+             row_key: str | None = None, tie: str | None = None, blocks_least: int = BLOCKS_LEAST) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken and ``_at`` (first word's place in its
-    shard), ``_quota``, ``_blocks``, ``_shift`` for cutting texts. ``row_key`` names a column to carry along."""
+    shard), ``_block``, ``_quota``, ``_blocks``, ``_shift`` for cutting texts. ``row_key`` names a column to carry
+    along, ``tie`` one that orders rows of equal id and size."""
     cols = [F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")]
     if row_key:
         cols.append(F.col(row_key).alias("_row"))
+    if tie:
+        cols.append(F.col(tie).alias("_tie"))
     sizes = materialize(docs.select(*cols))
-    quotas = source_quotas(source_targets(sizes, share, cap, weights), block)
+    quotas = source_quotas(source_targets(sizes, share, cap, weights), block, blocks_least)
+    quotas = quotas.withColumnRenamed("block", "_block")
     count = F.least(F.ceil(F.col("source_size") / shard_words), F.lit(max_shards))
     quotas = materialize(quotas.withColumn("_shards", F.greatest(count, F.lit(1)).cast("long")))
     key = F.xxhash64(F.col("doc_id"), F.col("size"), F.lit(seed))  # the size spreads null ids
@@ -137,17 +154,17 @@ def plan_mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights=WE
         F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"), F.first("quota").alias("quota"))
     seats = materialize(shard_quotas(materialize(shards)))
     placed = _null_safe(placed, seats, ["source", "shard"])
-    order = Window.partitionBy("source", "shard").orderBy("_key", "doc_id", "size")
+    order = Window.partitionBy("source", "shard").orderBy("_key", "doc_id", "size", *["_tie"] * bool(tie))
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = F.greatest(F.ceil(F.col("shard_size") / block), F.lit(1)).cast("long")
+    blocks = F.greatest(F.ceil(F.col("shard_size") / F.col("_block")), F.lit(1)).cast("long")
     shift = F.pmod(F.xxhash64(F.lit(seed), F.col("source"), F.col("shard")), F.col("_blocks"))
     placed = placed.withColumn("_at", before).withColumn("_blocks", blocks).withColumn("_shift", shift)
     placed = placed.withColumn("_quota", F.least(F.col("seats"), 2 * F.col("_blocks")))
-    start, end = F.col("_at"), F.col("_at") + F.col("size")
-    block_ids = F.sequence(F.floor(start / block), F.floor((end - 1) / block))
+    start, end, width = F.col("_at"), F.col("_at") + F.col("size"), F.col("_block")
+    block_ids = F.sequence(F.floor(start / width), F.floor((end - 1) / width))
 
     def add(acc: Column, b: Column) -> Column:
-        words = F.least(end, (b + 1) * block) - F.greatest(start, b * block)
+        words = F.least(end, (b + 1) * width) - F.greatest(start, b * width)
         return acc + words * times_of_block(b, F.col("_quota"), F.col("_blocks"), F.col("_shift"))
 
     taken = F.when(F.col("size") > 0, F.aggregate(block_ids, F.lit(0).cast("long"), add)).otherwise(F.lit(0))
@@ -168,15 +185,19 @@ def apply_mix(docs: DataFrame, block: int = BLOCK_WORDS, **options) -> DataFrame
     names = docs.columns
     held = docs.select(F.monotonically_increasing_id().alias("_mix_row"), F.struct(*[docs[c] for c in names]).alias("_doc"))
     held = materialize(held)
+    rest = F.to_json(F.struct(*[F.col("_doc").getField(c).alias(f"c{i}") for i, c in enumerate(names) if c != "text"]))
+    tie = F.struct(F.xxhash64(F.col("_doc.text")), F.xxhash64(rest))
     plan = plan_mix(held.select(F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.source").alias("source"),
-                                F.col("_doc.text").alias("text"), "_mix_row"), block=block, row_key="_mix_row", **options)
-    plan = plan.where("taken > 0").select(F.col("_row").alias("_mix_row"), "size", "taken", "_at", "_quota", "_blocks", "_shift")
+                                F.col("_doc.text").alias("text"), "_mix_row", tie.alias("_mix_tie")),
+                    block=block, row_key="_mix_row", tie="_mix_tie", **options)
+    plan = plan.where("taken > 0").select(F.col("_row").alias("_mix_row"), "size", "taken", "_at", "_block", "_quota",
+                                          "_blocks", "_shift")
     rows = held.join(plan, "_mix_row")
     rows = rows.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.least(F.lit(1), F.col("taken") - 1).cast("int"))))
     words = F.regexp_extract_all(F.col("_doc.text"), F.lit(f"({WORD_PATTERN})"), F.lit(1))
 
     def wanted(_: Column, i: Column) -> Column:
-        b = F.floor((F.col("_at") + i) / block)
+        b = F.floor((F.col("_at") + i) / F.col("_block"))
         return times_of_block(b, F.col("_quota"), F.col("_blocks"), F.col("_shift")) > F.col("_pass")
 
     least_times = F.floor(F.col("_quota") / F.col("_blocks"))

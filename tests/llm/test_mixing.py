@@ -92,3 +92,29 @@ def test_applied_mix_has_the_taken_words(documents, odd_documents, block):
             assert r.n_chars == len(r.text)
             found[r.doc_id] = found.get(r.doc_id, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
         assert found == plan
+
+
+def test_small_sources_come_near_their_targets(spark):
+    sizes = [(115, "a"), (115, "b"), (115, "c"), (3000, "d"), (40_000, "e")]
+    rows = [(100 * j + i, "w " * (n // 5), s) for j, (n, s) in enumerate(sizes) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by, aim, _ = check(df)
+    assert all(abs(by[s] - aim[s]) <= max(0.01 * aim[s], 1) for s in aim)
+
+
+def test_small_blocks_have_the_highest_quotients(spark):
+    import heapq
+    votes = {"a": 53_300.0, "b": 2710.0, "c": 120.0}
+    df = spark.createDataFrame([(s, int(v), v) for s, v in votes.items()], "source string, source_size long, target double")
+    got = {r.source: (r.block, r.quota) for r in mixing.source_quotas(df, block=16, least=1000).collect()}
+    block = {"a": 16, "b": 2, "c": 1}
+    house = math.floor(sum(v / block[s] for s, v in votes.items()) + 0.5)
+    best = heapq.nlargest(house, ((v / block[s] / (2 * k + 1), s) for s, v in votes.items() for k in range(4000)))
+    assert got == {s: (block[s], sum(x[1] == s for x in best)) for s in votes}
+
+
+def test_reruns_of_repeated_ids_cut_the_same_texts(spark):
+    rows = [(i % 3, " ".join(f"t{i}w{j}" for j in range(37)), "ab"[i % 2], 37, "en" if i < 30 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, lang string")
+    runs = [sorted(map(repr, mixing.apply_mix(df.repartition(n)).collect())) for n in (1, 2, 3)]
+    assert runs[0] == runs[1] == runs[2]
