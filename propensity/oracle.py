@@ -434,6 +434,55 @@ def selection_sql(select: str) -> str:
     return with_base(ENG, SEL).replace("WITH", "WITH RECURSIVE", 1) + " " + select
 
 
+def _psi(x: str) -> str:
+    y = f"(CAST({x} AS DOUBLE) + 6.0)"
+    return (f"(ln({y}) - 1.0 / (2.0 * {y}) - 1.0 / (12.0 * {y} * {y}) + 1.0 / (120.0 * pow({y}, 4)) - 1.0 / (252.0 * pow({y}, 6))"
+            + "".join(f" - 1.0 / (CAST({x} AS DOUBLE) + {i}.0)" for i in range(6)) + ")")
+
+
+def knn_mi_sql(k: int = 3) -> str:
+    """Every row's distance list from its k rows before and after in its class, interval counts by ASOF joins."""
+    dist = ", ".join(f"value - lag(value, {i}) OVER w, lead(value, {i}) OVER w - value" for i in range(1, k + 1))
+    return selection_sql(f"""
+, kd AS (SELECT feature, value, target, nc, least({k}, nc - 1) AS kk, list_sort(list_filter(ds, lambda x: x IS NOT NULL))[least({k}, nc - 1)] AS r
+         FROM (SELECT feature, value, target, count(*) OVER (PARTITION BY feature, target) AS nc, [{dist}] AS ds
+               FROM ml WINDOW w AS (PARTITION BY feature, target ORDER BY value)) WHERE nc > 1),
+kc AS (SELECT feature, value, count(*) AS cnt FROM kd GROUP BY feature, value),
+kr AS (SELECT *, sum(cnt) OVER (PARTITION BY feature ORDER BY value) AS upto FROM kc),
+kh AS (SELECT d.*, coalesce(h.upto, 0) AS n_hi FROM (SELECT *, value + r AS hi, value - r AS lo FROM kd) d
+       ASOF LEFT JOIN kr h ON h.feature = d.feature AND d.hi > h.value),
+kl AS (SELECT d.*, coalesce(l.upto, 0) AS n_lo FROM kh d ASOF LEFT JOIN kr l ON l.feature = d.feature AND d.lo >= l.value),
+km AS (SELECT d.feature, d.nc, d.kk, CASE WHEN d.r = 0 THEN c.cnt ELSE d.n_hi - d.n_lo END AS m FROM kl d JOIN kc c USING (feature, value)),
+kmi AS (SELECT feature, {_psi('count(*)')} + sum({_psi('kk')} - {_psi('nc')} - {_psi('m')}) / count(*) AS mi FROM km GROUP BY feature)
+SELECT p.feature, p.position, {r4('greatest(coalesce(x.mi, 0.0), 0.0)', 6)} AS mi FROM positions p LEFT JOIN kmi x USING (feature)""")
+
+
+_ISOTONIC = """
+ih AS (SELECT model, proba, pos, pos + neg AS n, row_number() OVER w AS i, sum(pos) OVER w AS cp, sum(pos + neg) OVER w AS cn
+       FROM (SELECT model, proba, CAST(sum(target) AS BIGINT) AS pos, CAST(sum(1 - target) AS BIGINT) AS neg
+             FROM scores WHERE split = 'val' AND target IS NOT NULL GROUP BY model, proba) WINDOW w AS (PARTITION BY model ORDER BY proba)),
+im AS (SELECT x.model, x.i AS a, y.i AS b, min(CAST(y.cp - x.cp + x.pos AS DOUBLE) / CAST(y.cn - x.cn + x.n AS DOUBLE)) OVER (
+         PARTITION BY x.model, x.i ORDER BY y.i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m
+       FROM ih x JOIN ih y ON y.model = x.model AND y.i >= x.i),
+iv AS (SELECT model, b AS i, max(m) AS v FROM im GROUP BY model, b),
+ik AS (SELECT ih.*, v, lead(proba) OVER w AS np, lead(v) OVER w AS nv, first_value(v) OVER w AS v0
+       FROM ih JOIN iv USING (model, i) WINDOW w AS (PARTITION BY model ORDER BY i))"""
+
+
+def isotonic_sql() -> str:
+    """Largest over the starts before it of the smallest mean to an end after it, then straight lines between scores."""
+    value = "CASE WHEN k.i IS NULL THEN f.v WHEN s.proba = k.proba OR k.np IS NULL THEN k.v " \
+            "ELSE k.v + (k.nv - k.v) * ((s.proba - k.proba) / (k.np - k.proba)) END"
+    return with_base(_ISOTONIC) + f""" SELECT s.model || '_isotonic' AS model, s.split, s.id, s.target, {r4(value, 6)} AS proba
+FROM scores s ASOF LEFT JOIN ik k ON s.model = k.model AND s.proba >= k.proba
+LEFT JOIN (SELECT model, v FROM ik WHERE i = 1) f ON f.model = s.model"""
+
+
+def isotonic_blocks_sql() -> str:
+    return with_base(_ISOTONIC) + f""" SELECT model, row_number() OVER (PARTITION BY model ORDER BY min(proba)) AS block, min(proba) AS lo, max(proba) AS hi,
+  CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(n) AS BIGINT) AS n, {r4('v', 6)} AS rate FROM ik GROUP BY model, v"""
+
+
 def selection_report_sql() -> str:
     return selection_sql("""
 SELECT p.feature, CAST(0.0 AS DOUBLE) AS missing_pct, """ + r4("m.mi") + """ AS mi_score,

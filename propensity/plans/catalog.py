@@ -376,6 +376,7 @@ def q_preprocess_report(spark, sf):
 # ── feature selection (D) ──────────────────────────────────────────────────────────────────────────
 
 from propensity.operators import select as sl  # noqa: E402
+from propensity.operators import nearest  # noqa: E402
 
 MI_TOP_K_CAMPAIGN = 12  # the campaign frame has 19 model columns; keep 12 by MI
 
@@ -419,6 +420,12 @@ def q_mutual_info(spark, sf):
     return sl.mutual_information(num, cols).select("feature", "position", rnd("mi", 6).alias("mi"))
 
 
+@query("knn_mutual_info", Q.knn_mi_sql())
+def q_knn_mutual_info(spark, sf):
+    num, cols = _train_numeric(spark, sf)
+    return nearest.knn_mutual_information(num, cols).select("feature", "position", rnd("mi", 6).alias("mi"))
+
+
 @query("top_k_mi", Q.selection_sql("SELECT feature, position, mi6 AS mi FROM mi6 ORDER BY mi6 DESC, position LIMIT 12"))
 def q_top_k_mi(spark, sf):
     num, cols = _train_numeric(spark, sf)
@@ -708,9 +715,14 @@ def q_platt(spark, sf):
     return cal.platt(_cal_input(spark, sf))
 
 
-@query("isotonic")
+@query("isotonic", Q.isotonic_sql())
 def q_isotonic(spark, sf):
-    return cal.isotonic(_cal_input(spark, sf))
+    return cal.isotonic(_cal_input(spark, sf)).withColumn("proba", rnd("proba", 6))
+
+
+@query("isotonic_blocks", Q.isotonic_blocks_sql())
+def q_isotonic_blocks(spark, sf):
+    return cal.isotonic_blocks(_cal_input(spark, sf)).select("model", "block", "lo", "hi", "pos", "n", rnd("rate", 6).alias("rate"))
 
 
 @query("calibrated_threshold")
