@@ -207,3 +207,42 @@ def test_one_class_and_no_rows(spark, coded):
     assert all((t.feature < 0).all() for t in model.trees)
     with pytest.raises(ValueError):
         bo.fit_many(rows.limit(0), bins, [bo.Params(3, 0.1, max_depth=2)], 2)
+
+
+def test_a_leafwise_tree_takes_a_pass_per_level():
+    data, trees, passes = data_of(20_000, 8, 9, missing=40), [], []
+
+    def ask(wanted):
+        passes.extend(r.done for r in wanted.values() if r.nodes)
+        return {i: data.answer(i, r, lambda f, a, b: trees[a:b]) for i, r in wanted.items()}
+
+    bo.drive([bo.boost(bo.Params(6, 0.2, num_leaves=40, min_rows=5, patience=None), data.nominal, trees.append)], ask)
+    for k, tree in enumerate(trees):
+        level = np.zeros(len(tree.feature), int)
+        for i in np.flatnonzero(tree.feature >= 0):
+            level[tree.left[i]] = level[tree.right[i]] = level[i] + 1
+        assert passes.count(k) <= level.max() + 1
+
+
+def test_histograms_of_more_rows_than_fit_one_sum():
+    n, quarter = 80_000, bo.ONE // 4  # the largest hessian there is
+    at = np.arange(n) % 3 - 1
+    weights = (np.full(n, -float(bo.ONE)), np.full(n, float(quarter)), np.ones(n))
+    got = bo.histograms(np.ones((n, 2), np.uint8), np.array([1]), at, 2, weights, 4)
+    want = [[-bo.ONE * int((at == k).sum()), quarter * int((at == k).sum()), int((at == k).sum())] for k in (0, 1)]
+    assert got.shape == (2, 1, 4, 3) and got[:, 0, 1].tolist() == want and not got[:, 0, [0, 2, 3]].any()
+
+
+def test_margins_are_kept_beside_the_rows(coded):
+    """Trees are added to persisted blocks once, and what lies there is let go of at the end."""
+    _, bins, rows = coded
+    sc = rows.sparkSession.sparkContext
+    before = set(sc._jsc.getPersistentRDDs().keySet())
+    added, own = [], type(sc).broadcast
+    sc.broadcast = lambda value: (added.append({i: (first, len(trees)) for i, (first, trees) in value.items()}), own(sc, value))[1]
+    try:
+        bo.fit_many(rows, bins, [bo.Params(5, 0.2, num_leaves=4, patience=None)], 2)
+    finally:
+        del sc.broadcast
+    assert added == [{0: (k, 1)} for k in range(5)]
+    assert set(sc._jsc.getPersistentRDDs().keySet()) == before
