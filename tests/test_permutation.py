@@ -36,3 +36,16 @@ def test_importance_ranks_the_signal(spark):
     got = {r["feature"]: r for r in se.permutation_importance(df.where("id % 3 > 0"), df.where("id % 3 = 0"), ["x", "z", "k"], n_estimators=10).collect()}
     assert got["x"]["pfi_mean"] > 0.3 > 0.05 > abs(got["z"]["pfi_mean"]) and got["k"]["pfi_mean"] == got["k"]["pfi_std"] == 0.0
     assert [r["feature"] for r in se.top_n_pfi(spark.createDataFrame(list(got.values())), 1).collect()] == ["x"]
+
+
+def test_parts_of_trees_add_up_to_the_same_bits():
+    """A column's margins come from the parts of all trees, walked anew only where a tree splits on the column."""
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 5, (300, 3)).astype(np.uint8)
+    target = (codes[:, 0] * codes[:, 1] > rng.integers(0, 9, 300)).astype(np.int8)
+    rows, trees = bo.Rows(codes, target, np.zeros(300, np.int8), np.arange(300), 5), []
+    fit = bo.drive([bo.boost(bo.Params(9, 0.3, max_depth=3, patience=None), np.zeros(3, bool), trees.append)],
+                   lambda wanted: {i: rows.answer(i, r, lambda f, a, b: trees[a:b]) for i, r in wanted.items()})[0]
+    model = bo.BoostedModel(None, fit.base, fit.trees, [], {})
+    assert np.array_equal(model.total(model.parts(codes), 300), model.margins(codes))
+    assert bo.BoostedModel(None, 0.5, [], [], {}).total(bo.BoostedModel(None, 0.5, [], [], {}).parts(codes), 300).tolist() == [0.5] * 300
