@@ -130,3 +130,21 @@ def test_network_stops_on_validation_and_has_a_history(spark):
     assert own == pytest.approx(min(loss.values()), abs=1e-5)
     best = min(loss, key=lambda n: (loss[n], n))
     assert max(loss) == 40 or max(loss) - best == md.MLP_PATIENCE
+
+
+def test_fourier_features_equal_the_formula(spark):
+    """Computed in Arrow batches, not in a lambda per entry; a missing value gives NaN throughout its row."""
+    import math
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from propensity.operators import models as md
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1300, 4))
+    w, b = md.fourier_weights(4, 7, "matern", 2.0)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double, d double")
+    out = md.fourier_features(df, ["a", "b", "c", "d"], w, b)
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    got = np.array([r[0] for r in out.orderBy("id").select(vector_to_array("features")).collect()])
+    assert np.allclose(got, math.sqrt(2 / 7) * np.cos(x @ w.T + b), atol=1e-12)
+    assert np.array_equal(md.fourier_values(x[:1], w, b)[0], md.fourier_values(x, w, b)[0])
+    assert np.isnan(md.fourier_values(np.array([[1.0, np.nan, 0.0, 0.0]]), w, b)).all()
