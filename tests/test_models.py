@@ -148,3 +148,13 @@ def test_fourier_features_equal_the_formula(spark):
     assert np.allclose(got, math.sqrt(2 / 7) * np.cos(x @ w.T + b), atol=1e-12)
     assert np.array_equal(md.fourier_values(x[:1], w, b)[0], md.fourier_values(x, w, b)[0])
     assert np.isnan(md.fourier_values(np.array([[1.0, np.nan, 0.0, 0.0]]), w, b)).all()
+
+
+def test_training_tasks_grow_with_the_features(spark, monkeypatch):
+    from propensity.operators import models as md
+    assert md.feature_count("svc_poly", {"degree": 2}, 19) == 209 and md.feature_count("svc_linear", {}, 19) == 19
+    df = spark.range(1000).coalesce(2).withColumn("x", F.lit(1.0))
+    assert md.spread(df, 1000, 209).rdd.getNumPartitions() == 2  # small: as it is
+    monkeypatch.setattr(md, "TASK_BYTES", 100_000)
+    dealt = md.spread(df, 1000, 209)
+    assert dealt.rdd.getNumPartitions() == 17 and dealt.count() == 1000
