@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions.sizing import small_table
 from propensity.llm.common import record_batch
-from propensity.llm.tokenfile import encode
+from propensity.llm.tokenfile import encode_rows
 from propensity.session import materialize
 
 CONTEXTS = (2048, 1024, 512, 256, 128)
@@ -203,10 +203,8 @@ def pack_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, cont
 
         row = 0
         for batch in batches:
-            texts = batch.column("text")
-            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                text = texts[i].as_py()
-                emit(packer.add(row, doc, (encode(text, tokenizer_path) if text else b"") + end))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode_rows(batch.column("text"), tokenizer_path)):
+                emit(packer.add(row, doc, ids + end))
                 row += 1
                 if len(rows) >= 8192:
                     yield batch_of()

@@ -11,7 +11,7 @@ Documents are dealt by ranges of (doc_id, hash of the text), so the files in ord
 repeated or null id can still be spread over many tasks; each task encodes its range and writes one file into the
 shared folder, under a temporary name that is renamed when complete, so a lost or repeated task leaves the same
 file. Pieces that a text is cut into at boundaries which the tokenizer's own splitting always has are encoded once
-and kept in a bounded cache.
+and kept in a bounded cache; of the rows of a slice each distinct word is looked up once.
 
 Edge cases: null and empty texts have only the end id; null ids come first, as Spark sorts them; rows with equal
 id are ordered by text; an empty table gives files without documents; only doc_id and text are read.
@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensity.functions.sizing import small_table
-from propensity.llm.common import record_batch
+from propensity.llm.common import record_batch, slices
 from propensity.session import materialize, shared_path
 
 MAGIC = b"TIDPLN01"
@@ -46,6 +47,7 @@ BLOCK_IDS = 1 << 16
 END_ID = 2
 CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 200  # of a dictionary's slot, a string and a bytes object
+SLICE_BYTES = 8 << 20  # of texts whose words are looked up together
 MAX_FILES = 1_000_000  # rows of the table of file offsets that may go to every executor
 
 
@@ -194,8 +196,12 @@ _WHITE = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c)
 _SPACED = re.compile(f" [{_WS}]")
 # Pieces end where the byte-level splitting pattern always ends a match: letters before plain punctuation or white
 # space, and any run without white space (with one space before it) at its end.
+_LETTERS, _PLAIN = "A-Za-zÀ-ÖØ-öø-ʯ", ".,;:!?$%&*#()|/-"
 _PIECES = re.compile(
-    rf" ?[A-Za-zÀ-ÖØ-öø-ʯ]+(?=[\t-\r .,;:!?$%&*#()|/-]|\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+    rf" ?[{_LETTERS}]+(?=[\t-\r {_PLAIN}]|\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+# The usual keys that aren't one word: a word and plain punctuation, or words with one line end between them.
+_TAILED = re.compile(rf"([{_LETTERS}]+)([{_PLAIN}][^{_WS}]*)")
+_BROKEN = re.compile(rf"([^{_WS}]+)(\n)([^{_WS}]+)")
 
 
 def _byte_letters() -> list[str]:
@@ -237,6 +243,13 @@ class _Pieces(dict):
         """A piece without a space before it is kept under a key that no split text gives."""
         return self[" " + piece]
 
+    def start(self, word: str) -> bytes:
+        """Ids of a word without a space before it."""
+        if word.isalpha():
+            return self[" " + word]
+        tailed = _TAILED.fullmatch(word)
+        return self[" " + tailed[1]] + self[" " + tailed[2]] if tailed else self.of(word)
+
     def __missing__(self, key: str) -> bytes:
         if key[-1:] in _ENDS and key.isascii() and key[:-1].isalpha():  # put together each time, not kept
             return self[key[:-1]] + self[" " + key[-1]]
@@ -246,6 +259,12 @@ class _Pieces(dict):
                 ids = self.raw(key[1:])
             elif key.isascii() and key.isalpha():
                 ids = array("I", [t.id for t in self.tokenize(_SPACE + key)]).tobytes()
+            elif key.isalpha():
+                ids = self.raw(" " + key)
+            elif tailed := _TAILED.fullmatch(key):
+                return self[tailed[1]] + self[" " + tailed[2]]
+            elif broken := _BROKEN.fullmatch(key):
+                ids = self[broken[1]] + self[" \n"] + self.start(broken[3])
             else:
                 cut = _PIECES.findall(" " + key)
                 ids = self.raw(cut[0]) if len(cut) == 1 else self[cut[0][1:]] + b"".join(map(self.part, cut[1:]))
@@ -284,6 +303,34 @@ def encode(text: str, path: str, limit: int = CACHE_BYTES) -> bytes:
     return head + b"".join([pieces[p] for p in rest])
 
 
+def encode_rows(texts: pa.Array, path: str, limit: int = CACHE_BYTES, slice_bytes: int = SLICE_BYTES) -> Iterator[bytes]:
+    """``encode`` of every row, no ids for a null: of a slice of the rows each distinct word is looked up once."""
+    _, pieces, added = _encoder(path, limit)
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for start, stop in slices(lengths, lengths, slice_bytes):
+        part = texts.slice(start, stop - start)
+        rows = part.to_pylist()
+        plain = [bool(pieces is not None and r and r[-1] != " " and not any(t in r for t in added) and not _SPACED.search(r)) for r in rows]
+        words = pc.split_pattern(part.filter(pa.array(plain, pa.bool_())), " ")  # every space starts a piece
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False)).tolist()
+        coded = words.flatten().dictionary_encode()
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        inner = np.ones(len(places), bool)
+        inner[[0, *ends[:-1]] if ends else []] = False  # a text's first word has no space before it
+        asked = np.zeros(len(coded.dictionary), bool)
+        asked[places[inner]] = True
+        found = np.empty(len(asked), object)
+        found[asked] = [pieces[w] for w in coded.dictionary.to_numpy(zero_copy_only=False)[asked].tolist()]
+        ids, at, bounds = found[places].tolist(), 0, iter(ends)
+        for row, simple in zip(rows, plain):
+            if not simple:
+                yield encode(row, path, limit) if row else b""
+                continue
+            first, end = row.partition(" ")[0], next(bounds)
+            yield (pieces.of(first) if first else b"") + b"".join(ids[at + 1:end])
+            at = end
+
+
 # ---------------------------------------------------------------- Spark
 
 _MANIFEST = "file string, part int, n_docs long, n_ids long"
@@ -306,10 +353,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         with files.open_output_stream(trial) as sink:
             out = Writer(sink, block_ids, bits)
             for batch in batches:
-                texts = batch.column("text")
-                for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                    text = texts[i].as_py()
-                    out.add(doc, (encode(text, tokenizer_path, cache_bytes) if text else b"") + end)
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), encode_rows(batch.column("text"), tokenizer_path, cache_bytes)):
+                    out.add(doc, ids + end)
             n_docs, n_ids = out.close()
         files.move(trial, name)
         yield record_batch(_MANIFEST_SCHEMA, {"file": [f"part-{part:06d}.tid"], "part": [part], "n_docs": [n_docs], "n_ids": [n_ids]})

@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,3 +101,22 @@ def test_rewriting_gives_the_same_files(spark, documents):
         files = sorted(pathlib.Path(folder.removeprefix("file:").replace("//", "/")).glob("*.tid"))
         data.append([(f.name, f.read_bytes()) for f in files])
     assert data[0] == data[1] and data[0]
+
+
+TEXTS = ["Éé, word word. ça!&& ", None, "", " lead", "one", "two  spaces", "a b,c word.\nNext, é\nÉé,été лл, x\n\ny", "<|endoftext|> word.", "word. word. word."]
+
+
+@pytest.mark.parametrize("limit", [t.CACHE_BYTES, 1000])
+@pytest.mark.parametrize("slice_bytes", [1, 40, t.SLICE_BYTES])
+def test_rows_equal_library(tokenizer, limit, slice_bytes):
+    for rows in (TEXTS, TEXTS[3:], [None], []):
+        got = list(t.encode_rows(pa.array(rows, pa.string()), tokenizer_path(), limit, slice_bytes))
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(r or "", add_special_tokens=False).ids for r in rows]
+
+
+def test_distinct_words_are_looked_up_once(monkeypatch):
+    """op7_token_files: a word and its punctuation isn't kept, but asked for once a slice, however often it comes."""
+    asked, missing = [], t._Pieces.__missing__
+    monkeypatch.setattr(t._Pieces, "__missing__", lambda self, key: asked.append(key) or missing(self, key))
+    list(t.encode_rows(pa.array(["x wörd, wörd, word. word."] * 50), tokenizer_path(), 4321))
+    assert asked.count("wörd,") == asked.count("word.") == 1
